@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import token_output
+from . import decontaminate, lang_id, token_output
 
 
 def queries() -> dict:
-    return {"op6_token_output": token_output.op6_token_output}
+    return {
+        "op1_language_id": lang_id.op1_language_id,
+        "op6_token_output": token_output.op6_token_output,
+        "op8_decontamination": decontaminate.op8_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontamination": decontaminate.ORACLE_SQL}
