@@ -80,8 +80,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
-def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
-    """An Arrow string column as lower-cased (A-Z only) bytes and row offsets; nulls are empty."""
+def text_bytes(column, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """An Arrow string column as bytes, A-Z lower-cased if asked for, and row offsets; nulls are empty."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -93,35 +93,41 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     data = column.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return LOWER[raw], offsets - offsets[0]
+    return LOWER[raw] if lower else raw, offsets - offsets[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word (64 bits), byte position of every word, and for each row the number of words before it (one more than rows)."""
+def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, cuts: np.ndarray | None = None):
+    """Hash of every word (64 bits), its first and end byte, and for each row the number of words before it (one more than
+    rows). cuts: places where another word begins though the bytes on both sides belong to words."""
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
     inside = table[raw]
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = inside[:-1]
     first = offsets[:-1]
     before[first[first < n]] = False
+    if cuts is not None:
+        before[cuts] = False
     starts = np.flatnonzero(inside & ~before)
     after = np.empty(n, bool)
     after[-1] = False
     after[:-1] = inside[1:]
     last = offsets[1:] - 1
     after[last[last >= 0]] = False
+    if cuts is not None:
+        after[cuts - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * down[:n], out=sums[1:])
     hashes = fmix((sums[ends] - sums[starts]) * up[ends])
-    return hashes, starts, np.searchsorted(starts, offsets)
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 
-def mb_slices(offsets: np.ndarray, limit: int = 1 << 21):
+def mb_slices(offsets: np.ndarray, limit: int = 1 << 18):
     """Row ranges of about `limit` bytes each, one row at least: what the arrays of one step hold is bounded by this or the longest row."""
     n, i = len(offsets) - 1, 0
     while i < n:

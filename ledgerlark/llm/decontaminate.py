@@ -136,7 +136,7 @@ def build_phrases(ids: list[str], texts: list[str | None], window: int) -> Phras
     """Distinct windows of the items; an item of fewer words than `window`, but not none, is one window."""
     import pyarrow as pa
 
-    hashes, _, ends = words(*text_bytes(pa.array(texts, pa.string())), byte_class("alnum"))
+    hashes, _, _, ends = words(*text_bytes(pa.array(texts, pa.string())), byte_class("alnum"))
     vocabulary, symbol = np.unique(hashes, return_inverse=True)
     symbol = symbol.astype(np.int64) + 1
     names = sorted(set(ids))
@@ -164,7 +164,7 @@ def shard_hits(raw: np.ndarray, offsets: np.ndarray, phrases: Phrases):
     """Of the documents of one shard: words of each, (document, first byte, end byte) of the merged spans with their number of
     words, and the distinct (document, item) pairs."""
     none = np.zeros(0, np.int64)
-    hashes, starts, ends = words(raw, offsets, byte_class("alnum"))
+    hashes, starts, stops, ends = words(raw, offsets, byte_class("alnum"))
     n_words = np.diff(ends)
     maybe = np.flatnonzero(phrases.filter[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)]) if phrases.windows else none
     at = np.searchsorted(phrases.vocabulary, hashes[maybe])
@@ -212,14 +212,7 @@ def shard_hits(raw: np.ndarray, offsets: np.ndarray, phrases: Phrases):
     last = np.concatenate([first[1:], [True]])
     group = np.cumsum(first) - 1
     a, b = place[h[first]], place[h[last]]
-    inside = byte_class("alnum")
-    end_byte = []
-    for w in b:  # the end of the last word of each span
-        e, stop = int(starts[w]), int(offsets[np.searchsorted(ends, w, side="right")])
-        while e < stop and inside[raw[e]]:
-            e += 1
-        end_byte.append(e)
-    return n_words, owner[h[first]], starts[a], np.array(end_byte), np.bincount(group), pairs // len(phrases.items), pairs % len(phrases.items)
+    return n_words, owner[h[first]], starts[a], stops[b], np.bincount(group), pairs // len(phrases.items), pairs % len(phrases.items)
 
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lang_id, token_output
+from . import chat_format, decontaminate, lang_id, mixing, quality, token_output, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_language_id": lang_id.op1_language_id,
+        "op4_url_filter": url_filter.op4_url_filter,
+        "op5_chat_format": chat_format.op5_chat_format,
         "op6_token_output": token_output.op6_token_output,
+        "op7_quality": quality.op7_quality,
         "op8_decontamination": decontaminate.op8_decontamination,
+        "op9_mixing": mixing.op9_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": decontaminate.ORACLE_SQL}
+    return {"op5_chat_format": chat_format.ORACLE_SQL, "op8_decontamination": decontaminate.ORACLE_SQL}
