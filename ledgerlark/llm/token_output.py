@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ragged, work_path
+from .common import fmix, mb_slices, ragged, text_bytes, words, work_path
 
 MAGIC = b"RPK1"
 SEGMENT_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
@@ -26,72 +26,134 @@ SEGMENT_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
 class Encoder:
     """Whole-text encoding with the tokenizers library, a vocabulary entry at a time.
 
-    The byte-level pattern never lets a token cross the place before a single space that a non-space follows, so text is cut
-    there and each distinct piece is encoded once and kept. Text with two spaces in a row, or with a special token's string,
-    is encoded in one piece.
+    The byte-level pattern never lets a token cross the place before a single space that a non-space follows, nor one between
+    an ASCII letter and another ASCII character (after an apostrophe or white space it may), so text is cut there, and each
+    distinct piece (by a 64-bit hash) is encoded once and kept. Pieces that are one word of Latin letters go to the library's
+    BPE model at once, all others through its whole pipeline. Text with two spaces in a row, with a space at its end, or with
+    a special token's string is encoded in one piece.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    SLOTS = 1 << 22
+
+    def __init__(self, path: str, keep: int = 1_200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.table = np.ones(256, bool)
+        self.table[0x20] = False
+        code = np.arange(256)
+        self.letter = ((code >= 65) & (code <= 90)) | ((code >= 97) & (code <= 122))
+        self.other = (code < 128) & ~self.letter & (code != 0x20)
+        self.before_letter = self.other & (code != 0x27) & (code > 0x20) & (code != 0x7F)
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the byte alphabet of byte-level BPE
+        rest = [b for b in range(256) if b not in printable]
+        self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        probe = " Probe"
+        self.direct = [t.id for t in self.tokenizer.model.tokenize(self.mapped(probe))] == self.whole(probe).tolist()
         self.reset()
 
     def reset(self) -> None:
-        self.pending: list[str] = []
-        pending = self.pending
-
-        class Pieces(dict):
-            def __missing__(self, piece: str) -> int:
-                self[piece] = n = len(self)
-                pending.append(piece)
-                return n
-
-        self.pieces = Pieces()
-        self.flat, self.begin, self.length = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.slot_hash = np.zeros(self.SLOTS, np.uint64)
+        self.slot_row = np.full(self.SLOTS, -1, np.int32)
+        self.flat, self.begin, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.crowded: dict[int, int] = {}  # pieces whose slot another one has
+
+    def mapped(self, piece: str) -> str:
+        if piece.isascii():
+            return piece.replace(" ", self.alphabet[0x20])
+        return "".join(map(self.alphabet.__getitem__, piece.encode()))
+
+    def encoded(self, pieces: list[str]) -> list[list[int]]:
+        out: list[list[int] | None] = [None] * len(pieces)
+        rest, tokenize = [], self.tokenizer.model.tokenize
+        for i, p in enumerate(pieces):
+            if self.direct and (p.isalpha() or p[0] == " " and p[1:].isalpha()) and (p.isascii() or max(p) < "\u0250"):
+                out[i] = [t.id for t in tokenize(self.mapped(p))]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def learn(self) -> None:
-        if not self.pending:
-            return
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(self.pending, add_special_tokens=False)]
+    def rows_of(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each known piece, -1 for unknown ones."""
+        slot = (keys >> np.uint64(42)).astype(np.int64)
+        row = self.slot_row[slot]
+        miss = np.flatnonzero((self.slot_hash[slot] != keys) | (row < 0))
+        if len(miss):
+            row[miss] = [self.crowded.get(k, -1) for k in keys[miss].tolist()]
+        return row
+
+    def learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        got = self.encoded(pieces)
         size = np.array([len(x) for x in got], dtype=np.int64)
         new = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(size.sum()))
+        rows = np.arange(len(self.begin), len(self.begin) + len(keys))
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
         self.length = np.concatenate([self.length, size])
-        self.flat = np.concatenate([self.flat.astype(np.uint32), new])
-        self.pending.clear()
-
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text; null and empty texts have none."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        if len(self.pieces) > self.keep:
+        self.flat = np.concatenate([self.flat, new])
+        slot = (keys >> np.uint64(42)).astype(np.int64)
+        free = self.slot_row[slot] < 0
+        slot, own, rows_free = slot[free], keys[free], rows[free]
+        self.slot_hash[slot], self.slot_row[slot] = own, rows_free
+        lost = np.concatenate([rows[~free], rows_free[self.slot_row[slot] != rows_free]])
+        self.crowded.update(zip(keys[lost - rows[0]].tolist(), lost.tolist()))
+
+    def batch(self, column):
+        """Of an Arrow column of texts, slice by slice: first row, the ids in a row, and the number of each text's; null and
+        empty texts have none."""
+        raw, offsets = text_bytes(column, lower=False)
+        for i, j in mb_slices(offsets):
+            yield i, *self._slice(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+
+    def _slice(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.begin) > self.keep or len(self.flat) > 8 * self.keep:
             self.reset()
-        get, all_ids, cut, rows = self.pieces.__getitem__, [], [], []
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = np.zeros(0, np.uint32)
-            elif "  " in text or any(s in text for s in self.special):
-                out[i] = self.whole(text)
+        n = len(offsets) - 1
+        space = raw == 0x20
+        odd = np.zeros(n, bool)
+        if len(raw):
+            twice = np.flatnonzero(space[1:] & space[:-1]) + 1
+            odd[np.searchsorted(offsets, twice, side="right") - 1] = True
+            last = offsets[1:] - 1
+            odd |= (np.diff(offsets) > 0) & space[np.maximum(last, 0)]
+        data = raw.tobytes()
+        if any(s in data for s in self.special):
+            odd |= [any(s in data[a:b] for s in self.special) for a, b in zip(offsets[:-1], offsets[1:])]
+        left, right = raw[:-1], raw[1:]
+        cuts = np.flatnonzero((self.letter[left] & self.other[right]) | (self.before_letter[left] & self.letter[right])) + 1
+        hashes, starts, stops, ends = words(raw, offsets, self.table, cuts)
+        owner = np.repeat(np.arange(n), np.diff(ends))
+        led = (starts > offsets[owner]) & (space[starts - 1] if len(raw) else False)  # a space stands before it
+        keys = np.where(led, hashes, fmix(hashes + np.uint64(1)))
+        if odd.any():
+            stay = ~odd[owner]
+            keys, starts, stops, owner, led = keys[stay], starts[stay], stops[stay], owner[stay], led[stay]
+        rows = self.rows_of(keys)
+        miss = np.flatnonzero(rows < 0)
+        if len(miss):
+            new, first = np.unique(keys[miss], return_index=True)
+            at = miss[first]
+            self.learn(new, [data[a:b].decode() for a, b in zip((starts[at] - led[at]).tolist(), stops[at].tolist())])
+            rows[miss] = self.rows_of(keys[miss])
+        size = self.length[rows]
+        flat = self.flat[ragged(self.begin[rows], size)]
+        counts = np.bincount(owner, weights=size, minlength=n).astype(np.int64)
+        if not odd.any():
+            return flat, counts
+        parts, at = [], 0
+        for d in range(n):
+            if odd[d]:
+                parts.append(self.whole(data[offsets[d] : offsets[d + 1]].decode()))
+                counts[d] = len(parts[-1])
             else:
-                parts = text.split(" ")
-                head = [get(parts[0])] if parts[0] else []
-                ids = head + [get(" " + p) for p in parts[1:]]
-                all_ids += ids
-                cut.append(len(ids))
-                rows.append(i)
-        self.learn()
-        if rows:
-            idx = np.array(all_ids, dtype=np.int64)
-            size = self.length[idx]
-            flat = self.flat[ragged(self.begin[idx], size)]
-            ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(cut)]
-            for i, a, b in zip(rows, np.concatenate([[0], ends[:-1]]), ends):
-                out[i] = flat[a:b]
-        return out
+                parts.append(flat[at : at + counts[d]])
+                at += int(counts[d])
+        return np.concatenate(parts), counts
 
 
 def repair(seq: np.ndarray, counts: np.ndarray, first_rule: int, rounds: int = 4, least: int = 8, most_rules: int = 15_000):
@@ -260,10 +322,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
                 {"part": pa.array([own], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_docs": [len(keys)], "n_ids": [held], "blob": [pack(keys, ids, first_rule)]})
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                piece = batch.slice(lo, 512)
-                for key, x in zip(piece.column("doc_id").to_pylist(), encoder.batch(piece.column("text").to_pylist())):
-                    x = np.concatenate([x, end])
+            own_keys = batch.column("doc_id").to_pylist()
+            for i, flat, counts in encoder.batch(batch.column("text")):
+                stops = np.cumsum(counts)
+                for key, a, b in zip(own_keys[i : i + len(counts)], stops - counts, stops):
+                    x = np.concatenate([flat[a:b], end])
                     keys.append(key)
                     ids.append(x)
                     held += len(x)

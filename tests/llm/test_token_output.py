@@ -1,11 +1,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from ledgerlark.llm.token_output import Encoder, Segment, default_tokenizer, op6_token_output, pack, token_output
 
-ODD = [None, "", " ", "  ", "a  b", "x \n y", "x\n\n b", "a \nb", "end ", " lead", "<|endoftext|> x <|endoftext|>", "ünï 中文 😀's it's", "a  b", "\t\tq   r", "w " * 5000, "same text here"]
+ODD = ["don't we'll I'D ''s a's'x", 'x1y2 3z*** aODD = [ODD = [ODD = [\n\nThe end.\nNext', 'A\n\nB', 'q.\n Z', None, "", " ", "  ", "a  b", "x \n y", "x\n\n b", "a \nb", "end ", " lead", "<|endoftext|> x <|endoftext|>", "ünï 中文 😀's it's", "a  b", "\t\tq   r", "w " * 5000, "same text here"]
 
 
 def brute(texts):
@@ -14,9 +15,14 @@ def brute(texts):
 
 
 def test_pieces_equal_whole_texts():
-    e = Encoder(default_tokenizer(), keep=3)
-    for texts in (ODD, ODD[::-1]):
-        assert [[*map(int, x)] + [2] for x in e.batch(texts)] == brute(texts)
+    for keep in (3, 800_000):
+        e = Encoder(default_tokenizer(), keep=keep)
+        for texts in (ODD, ODD[::-1], ODD):
+            got = []
+            for _, ids, counts in e.batch(pa.array(texts, pa.string())):
+                stops = np.cumsum(counts)
+                got += [ids[a:b].tolist() + [2] for a, b in zip(stops - counts, stops)]
+            assert got == brute(texts)
 
 
 def test_segment_round_trip_and_random_access():
