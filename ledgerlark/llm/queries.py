@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, lang_id, mixing, quality, token_output, url_filter
+from . import chat_format, decontaminate, html_extract, lang_id, mixing, quality, token_output, url_filter
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op7_quality": quality.op7_quality,
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_mixing": mixing.op9_mixing,
+        "op10_html_extract": html_extract.op10_html_extract,
     }
 
 
