@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, lang_id, mixing, quality, token_output, url_filter
+from . import chat_format, decontaminate, html_extract, lang_id, mixing, ngram_join, quality, token_output, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_language_id": lang_id.op1_language_id,
+        "op3_ngram_join": ngram_join.op3_ngram_join,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_chat_format": chat_format.op5_chat_format,
         "op6_token_output": token_output.op6_token_output,
