@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, lang_id, mixing, ngram_join, quality, token_output, url_filter
+from . import chat_format, decontaminate, embedding_dedup, html_extract, lang_id, mixing, ngram_join, quality, token_output, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_language_id": lang_id.op1_language_id,
+        "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op3_ngram_join": ngram_join.op3_ngram_join,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_chat_format": chat_format.op5_chat_format,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": chat_format.ORACLE_SQL, "op8_decontamination": decontaminate.ORACLE_SQL}
+    return {"op2_embedding_dedup": embedding_dedup.ORACLE_SQL, "op5_chat_format": chat_format.ORACLE_SQL, "op8_decontamination": decontaminate.ORACLE_SQL}
