@@ -6,7 +6,10 @@ from . import chat_format, decontaminate, embedding_dedup, html_extract, lang_id
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_language_id": lang_id.op1_language_id,
         "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op3_ngram_join": ngram_join.op3_ngram_join,
