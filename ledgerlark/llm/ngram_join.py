@@ -8,9 +8,10 @@ lists) can't all miss; the other T - 1 lists, the long ones, are never merged bu
 2. A second scan puts every document's short lists into an inverted index, tokens ordered from rare to frequent. A
    frequent token is in the bounded set that every task knows; its list is long and needed only by documents that consist of
    such tokens. Lists of one document are dropped.
-3. Every list has a pivot, its smallest document. A document is searched for with the pivot it meets in most lists, then, in
-   lists that still hold several components, with those lists' pivots, and at last with all documents of other components.
-   A pair in one list is thus linked through its component or tested itself: no link between components is lost, and groups
+3. Two documents that link meet in T less the rest of their lists of the short ones (T-occurrence on the index). Every list
+   has a pivot, its smallest document. A document is searched for with the pivot it meets in most lists, then, in large lists
+   that still hold several components, with those lists' pivots, and at last with every document of another component that it
+   meets often enough. So a pair is either in one component or tested itself: no link between components is lost, and groups
    of near copies cost a test a document, not one a pair.
 4. A search groups documents by query: their lists, restricted to the query's tokens, are divided into short and long
    ones; short ones are merged with a heap, documents with enough occurrences are looked up in the long ones by bisection.
@@ -353,7 +354,15 @@ def fitting(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512, tokens_a_bucket: int = 500_000, broadcast_rows: int = 2_000_000) -> DataFrame:
+def enough(lists: str, a: str, b: str, percent: int):
+    """Whether documents of a and b tokens that meet in so many short lists may link: up to the last short list of the one whose
+    lists end first all common tokens are met, and the larger of what both have beyond their short lists bounds the rest."""
+    wanted = F.floor((F.lit(percent) * (F.col(a) + F.col(b)) + 99 + percent) / (100 + percent))
+    beyond = F.floor((F.lit(percent) * F.greatest(a, b) + 99) / 100) - 1
+    return F.col(lists) >= wanted - beyond
+
+
+def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512, large: int = 64, tokens_a_bucket: int = 500_000, broadcast_rows: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id of the same set) and component_id of every row of docs.
 
     Null, wordless and empty texts have the empty set and are classes and components of their own. Rows of the same doc_id are
@@ -378,23 +387,27 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512,
         counts |= {r["token"]: r["c"] for r in more}
     lists = rare.unionByName(saved(long_lists(postings), "frequent"))
 
-    met = lists.where((F.col("doc") != F.col("pivot")) & fitting("n", "pivot_n", percent)).groupBy("doc", "pivot").agg(F.count("*").alias("lists"))
-    first = met.groupBy("doc").agg(F.max(F.struct(F.col("lists"), (-F.col("pivot")).alias("minus"))).alias("m")).select("doc", (-F.col("m.minus")).alias("pivot"))
-    links = saved(linked_pairs(docs, first, size, percent, broadcast_rows), "links")
+    met = lists.where((F.col("doc") != F.col("pivot")) & fitting("n", "pivot_n", percent)).groupBy("doc", "pivot", "n", "pivot_n").agg(F.count("*").alias("lists")).where(enough("lists", "n", "pivot_n", percent))
+    tested = met.groupBy("doc").agg(F.max(F.struct(F.col("lists"), (-F.col("pivot")).alias("minus"))).alias("m")).select("doc", (-F.col("m.minus")).alias("pivot"))
+    tested = saved(tested, "first")
+    links = saved(linked_pairs(docs, tested, size, percent, broadcast_rows), "links")
     labels = components(links)
     for last in (False, True):
-        entries = lists.join(labels.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        entries = (lists if last else lists.where(F.col("length") > large)).join(labels.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         mixed = entries.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-        entries = saved(entries.join(mixed, "token", "left_semi"), "mixed")
+        entries = entries.join(mixed, "token", "left_semi")
         if last:
-            x, y = (entries.where("doc <> pivot").select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "place", "component"))) for s in "xy")
-            reach = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))  # no more tokens than these can be shared
-            pairs = x.join(y, "token").where((F.col("component_x") < F.col("component_y")) & fitting("n_x", "n_y", percent) & (reach * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)).select(F.col("doc_x").alias("doc"), F.col("doc_y").alias("pivot"))
+            entries = saved(entries, "mixed")
+            x, y = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "component"))) for s in "xy")
+            pairs = x.join(y, "token").where((F.col("component_x") < F.col("component_y")) & fitting("n_x", "n_y", percent)).groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.count("*").alias("lists"))
+            pairs = pairs.where(enough("lists", "n_x", "n_y", percent)).select(F.greatest("doc_x", "doc_y").alias("doc"), F.least("doc_x", "doc_y").alias("pivot"))
         else:
             own = labels.select(F.col("id").alias("pivot"), F.col("component").alias("pivot_component"))
-            pairs = entries.where((F.col("doc") != F.col("pivot")) & fitting("n", "pivot_n", percent)).join(own, "pivot", "left").where(F.col("component") != F.coalesce("pivot_component", "pivot")).select("doc", "pivot").join(first, ["doc", "pivot"], "left_anti")
-        pairs = saved(pairs.distinct(), "more")
+            apart = entries.select("doc", "pivot", "component").distinct().join(own, "pivot", "left").where(F.col("component") != F.coalesce("pivot_component", "pivot")).select("doc", "pivot")
+            pairs = met.join(apart, ["doc", "pivot"], "left_semi").select("doc", "pivot")
+        pairs = saved(pairs.distinct().join(tested, ["doc", "pivot"], "left_anti"), "more")
         if not pairs.isEmpty():
+            tested = tested.unionByName(pairs)
             links = saved(links.unionByName(linked_pairs(docs, pairs, size, percent, broadcast_rows)), "links")
             labels = components(links)
 
