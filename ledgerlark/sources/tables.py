@@ -33,8 +33,10 @@ def append(df: DataFrame, table: str) -> None:
     """Appends by column name; creates the table on the first write."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df = require_columns(df, spark.table(table).columns).select(*spark.table(table).columns)
-    df.write.mode("append").saveAsTable(table)
+        columns = spark.table(table).columns
+        require_columns(df, columns).select(*columns).write.mode("append").insertInto(table)
+    else:
+        df.write.saveAsTable(table)
 
 
 def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
