@@ -82,14 +82,18 @@ class VersionedTable:
             name = None
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/{name[0]}") if name else self.spark.createDataFrame([], self.schema)
 
+    def fitted(self, df: DataFrame) -> DataFrame:
+        """df with the table's columns and types."""
+        return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.read().schema.fields))
+
     def write(self, df: DataFrame) -> None:
         name = f"v-{uuid.uuid4().hex}"
-        df.select(*self.read().columns).write.parquet(f"{self.path}/{name}")
+        self.fitted(df).write.parquet(f"{self.path}/{name}")
         self.spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/current")
 
     def upsert(self, new: DataFrame, keys: DataFrame, on: Sequence[str]) -> None:
         """Replaces all rows of `keys` by new."""
-        self.write(replaced(self.read(), new, keys, on))
+        self.write(replaced(self.read(), self.fitted(new), keys, on))
 
 
 def merged(tracker: DataFrame, change: DataFrame, key: str, updated: Sequence[str]) -> DataFrame:
