@@ -19,12 +19,18 @@ DUMMY_POSTAL_CODES = ["12212", "90021", "852", "853"]
 NULL_WORDS = ["null", "none", "n/a", "na", "-"]
 
 # States of the USA and provinces of Canada by their codes.
-STATES = dict(x.split("=") for x in (
-    "AL=ALABAMA;AK=ALASKA;AZ=ARIZONA;AR=ARKANSAS;CA=CALIFORNIA;CO=COLORADO;CT=CONNECTICUT;DE=DELAWARE;FL=FLORIDA;GA=GEORGIA;HI=HAWAII;ID=IDAHO;IL=ILLINOIS;IN=INDIANA;IA=IOWA;KS=KANSAS;"
-    "KY=KENTUCKY;LA=LOUISIANA;ME=MAINE;MD=MARYLAND;MA=MASSACHUSETTS;MI=MICHIGAN;MN=MINNESOTA;MS=MISSISSIPPI;MO=MISSOURI;MT=MONTANA;NE=NEBRASKA;NV=NEVADA;NH=NEW HAMPSHIRE;NJ=NEW JERSEY;"
-    "NM=NEW MEXICO;NY=NEW YORK;NC=NORTH CAROLINA;ND=NORTH DAKOTA;OH=OHIO;OK=OKLAHOMA;OR=OREGON;PA=PENNSYLVANIA;RI=RHODE ISLAND;SC=SOUTH CAROLINA;SD=SOUTH DAKOTA;TN=TENNESSEE;TX=TEXAS;"
-    "UT=UTAH;VT=VERMONT;VA=VIRGINIA;WA=WASHINGTON;WV=WEST VIRGINIA;WI=WISCONSIN;WY=WYOMING;AB=ALBERTA;BC=BRITISH COLUMBIA;MB=MANITOBA;NB=NEW BRUNSWICK;NL=NEWFOUNDLAND AND LABRADOR;"
-    "NS=NOVA SCOTIA;NT=NORTHWEST TERRITORIES;NU=NUNAVUT;ON=ONTARIO;PE=PRINCE EDWARD ISLAND;QC=QUEBEC;SK=SASKATCHEWAN;YT=YUKON").split(";"))
+STATES = {
+    "AL": "ALABAMA", "AK": "ALASKA", "AZ": "ARIZONA", "AR": "ARKANSAS", "CA": "CALIFORNIA", "CO": "COLORADO", "CT": "CONNECTICUT", "DE": "DELAWARE",
+    "FL": "FLORIDA", "GA": "GEORGIA", "HI": "HAWAII", "ID": "IDAHO", "IL": "ILLINOIS", "IN": "INDIANA", "IA": "IOWA", "KS": "KANSAS",
+    "KY": "KENTUCKY", "LA": "LOUISIANA", "ME": "MAINE", "MD": "MARYLAND", "MA": "MASSACHUSETTS", "MI": "MICHIGAN", "MN": "MINNESOTA",
+    "MS": "MISSISSIPPI", "MO": "MISSOURI", "MT": "MONTANA", "NE": "NEBRASKA", "NV": "NEVADA", "NH": "NEW HAMPSHIRE", "NJ": "NEW JERSEY",
+    "NM": "NEW MEXICO", "NY": "NEW YORK", "NC": "NORTH CAROLINA", "ND": "NORTH DAKOTA", "OH": "OHIO", "OK": "OKLAHOMA", "OR": "OREGON",
+    "PA": "PENNSYLVANIA", "RI": "RHODE ISLAND", "SC": "SOUTH CAROLINA", "SD": "SOUTH DAKOTA", "TN": "TENNESSEE", "TX": "TEXAS", "UT": "UTAH",
+    "VT": "VERMONT", "VA": "VIRGINIA", "WA": "WASHINGTON", "WV": "WEST VIRGINIA", "WI": "WISCONSIN", "WY": "WYOMING", "AB": "ALBERTA",
+    "BC": "BRITISH COLUMBIA", "MB": "MANITOBA", "NB": "NEW BRUNSWICK", "NL": "NEWFOUNDLAND AND LABRADOR", "NS": "NOVA SCOTIA",
+    "NT": "NORTHWEST TERRITORIES", "NU": "NUNAVUT", "ON": "ONTARIO", "PE": "PRINCE EDWARD ISLAND", "QC": "QUEBEC", "SK": "SASKATCHEWAN",
+    "YT": "YUKON",
+}
 
 
 def filled(c: Column) -> Column:
