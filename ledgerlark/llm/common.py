@@ -50,6 +50,26 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """A mapInArrow function that gives freed memory back to the system when its task ends: workers are used again, and
+    memory that allocators keep counts against the executor."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return inner
+
+
 def fmix(h: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of MurmurHash3 (public domain), on a fresh array."""
     h = h ^ (h >> np.uint64(33))

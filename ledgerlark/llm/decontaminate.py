@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_class, mb_slices, ragged, text_bytes, words
+from .common import byte_class, lean, mb_slices, ragged, text_bytes, words
 
 SAMPLE = 8
 
@@ -265,7 +265,7 @@ def one_pass(docs: DataFrame, phrases: Phrases, first: bool, text: str, keep_tex
                 [*(f.name for f in kept), *names])
 
     assert isinstance(cast, T.StringType)
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(lean(run), out)
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -15,7 +15,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import lean, saved
 from .url_filter import url_host
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -237,7 +237,7 @@ def template_counts(pages: DataFrame, html: str = "html") -> DataFrame:
                     counts[host, h] = counts.get((host, h), 0) + 1
             yield pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in counts], pa.string()), "subtree": pa.array([signed(k[1]) for k in counts], pa.int64()), "n": pa.array(list(counts.values()), pa.int64())})
 
-    return pages.select("host", html).mapInArrow(run, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("pages_with"))
+    return pages.select("host", html).mapInArrow(lean(run), "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("pages_with"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, share: float = 0.2, most_templates: int = 200_000) -> DataFrame:
@@ -279,14 +279,14 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages:
                 hosts = batch.column("__host").to_pylist()
                 yield emit(batch, lambda i: shared.value.get(hosts[i], frozenset()))
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(lean(run), schema)
     lists = templates.groupBy("host").agg(F.collect_list("subtree").alias("__known"))
 
     def run_joined(batches):
         for batch in batches:
             yield emit(batch, lambda i: set(batch.column("__known")[i].as_py() or ()))
 
-    return rows.join(lists.withColumnRenamed("host", "__host"), "__host", "left").mapInArrow(run_joined, schema)
+    return rows.join(lists.withColumnRenamed("host", "__host"), "__host", "left").mapInArrow(lean(run_joined), schema)
 
 
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

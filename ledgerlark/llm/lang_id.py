@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 CLASSES = 128
 SCALE = float(1 << 24)
 
@@ -138,7 +140,7 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dims:
         for n, v in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [n] * dims, "dim": pa.array(range(dims), pa.int32()), "v": v})
 
-    found = rows.mapInArrow(run, "lang string, dim int, v long").groupBy("lang", "dim").agg(F.sum("v").alias("v")).collect()
+    found = rows.mapInArrow(lean(run), "lang string, dim int, v long").groupBy("lang", "dim").agg(F.sum("v").alias("v")).collect()
     languages = sorted({r["lang"] for r in found})
     made = np.zeros((len(languages), dims))
     for r in found:
@@ -193,7 +195,7 @@ def identify(docs: DataFrame, model: Profiles, text: str = "text", keep_text: bo
             kept = [f.name for f in out.fields if f.name not in names]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(lang, pa.string()), pa.array(score), pa.array(cosine)], [*kept, *names])
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(lean(run), out)
 
 
 def fold(doc_id: str = "doc_id"):

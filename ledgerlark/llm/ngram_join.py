@@ -9,7 +9,7 @@ lists) can't all miss; the other T - 1 lists, the long ones, are never merged bu
    frequent token is in the bounded set that every task knows; its list is long and needed only by documents that consist of
    such tokens. Lists of one document are dropped.
 3. Two documents that link meet in T less the rest of their lists of the short ones (T-occurrence on the index). Every list
-   has a pivot, its smallest document. A document is searched for with the pivot it meets in most lists, then, in large lists
+   has a pivot, the document that shares most of its lists. A document is searched for with the pivot it meets in most lists, then, in large lists
    that still hold several components, with those lists' pivots, and at last with every document of another component that it
    meets often enough. So a pair is either in one component or tested itself: no link between components is lost, and groups
    of near copies cost a test a document, not one a pair.
@@ -23,13 +23,13 @@ import heapq
 from bisect import bisect_left
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_class, components, fmix, mb_slices, saved, text_bytes, words
+from .common import byte_class, components, fmix, lean, mb_slices, saved, text_bytes, words
 
 #: A token is frequent in a task's block of about BLOCK tokens from LOCAL occurrences; all tasks know at most FREQUENT tokens.
-BLOCK, LOCAL, FREQUENT = 4_000_000, 8, 1 << 18
+BLOCK, LOCAL, FREQUENT = 1_000_000, 4, 1 << 18
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +72,18 @@ def signatures(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
+def sketches(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """1024 parity bits of each set, as 16 longs: two sets differ in at least as many tokens as their sketches in bits."""
+    out = np.zeros((len(bounds) - 1, 16), np.int64)
+    for i in range(0, len(out), 256):
+        j = min(i + 256, len(out))
+        own = tokens[bounds[i] : bounds[j]]
+        owner = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+        parity = np.bincount(owner * 1024 + (own >> np.uint64(54)).astype(np.int64), minlength=(j - i) * 1024).reshape(j - i, 1024) & 1
+        out[i:j] = np.packbits(parity.astype(np.uint8), axis=1).view(np.int64)
+    return out
+
+
 def need(a: int, b: int, percent: int) -> int:
     """Least intersection of sets of a and b tokens that link: percent * (a + b - i) <= 100 * i."""
     return -(-percent * (a + b) // (100 + percent))
@@ -153,7 +165,8 @@ def search(query: np.ndarray, members: list[np.ndarray], percent: int) -> list[i
 
 
 def scan_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of kind 0: doc_id, n, s1, s2 of every document; of kind 1: token (n) and count (s1) of a task's frequent tokens."""
+    """Rows of kind 0: doc_id, n, s1, s2, sketch of every document; of kind 1: token (n) and count (s1) of a task's frequent
+    tokens."""
 
     def run(batches):
         import pyarrow as pa
@@ -164,15 +177,17 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts >= LOCAL
             k = int(often.sum())
-            return pa.RecordBatch.from_pydict({"kind": pa.array([1] * k, pa.int32()), "doc_id": pa.nulls(k, pa.int64()), "n": tokens[often].view(np.int64), "s1": counts[often], "s2": np.zeros(k, np.int64)})
+            return pa.RecordBatch.from_pydict({"kind": pa.array([1] * k, pa.int32()), "doc_id": pa.nulls(k, pa.int64()), "n": tokens[often].view(np.int64), "s1": counts[often], "s2": np.zeros(k, np.int64), "sketch": pa.nulls(k, pa.list_(pa.int64()))})
 
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
             n, s1, s2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+            bits = np.zeros((batch.num_rows, 16), np.int64)
             for i, j in mb_slices(offsets):
                 tokens, bounds = shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
                 n[i:j] = np.diff(bounds)
                 s1[i:j], s2[i:j] = signatures(tokens, bounds)
+                bits[i:j] = sketches(tokens, bounds)
                 for d, key in enumerate(zip(s1[i:j].tolist(), s2[i:j].tolist())):
                     if key not in seen and bounds[d + 1] > bounds[d]:
                         seen.add(key)
@@ -181,16 +196,16 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
                 if held_n > BLOCK:
                     yield flush()
                     held, held_n = [], 0
-            yield pa.RecordBatch.from_pydict({"kind": pa.array([0] * batch.num_rows, pa.int32()), "doc_id": batch.column("doc_id"), "n": n, "s1": s1, "s2": s2})
+            yield pa.RecordBatch.from_pydict({"kind": pa.array([0] * batch.num_rows, pa.int32()), "doc_id": batch.column("doc_id"), "n": n, "s1": s1, "s2": s2, "sketch": pa.ListArray.from_arrays(np.arange(0, 16 * len(n) + 1, 16, dtype=np.int32), bits.ravel())})
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind int, doc_id long, n long, s1 long, s2 long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "kind int, doc_id long, n long, s1 long, s2 long, sketch array<long>")
 
 
-def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: int) -> DataFrame:
-    """Short lists of every document as packed rows: (bucket, tokens, doc ids, sizes, places). Frequent tokens have bucket -1.
-    Rows of a task with equal sets count once; null ids have no lists."""
+def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: int, long: bool) -> DataFrame:
+    """Short lists of every document as packed rows: (bucket, tokens, doc ids, sizes); long: those of frequent tokens, else of
+    all others. Rows of a task with equal sets count once; null ids have no lists."""
 
     def run(batches):
         import pyarrow as pa
@@ -200,13 +215,13 @@ def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: i
         held_n = 0
 
         def flush():
-            token, doc, n, place, often = (np.concatenate(x) for x in zip(*held))
-            bucket = np.where(often, -1, (token >> np.uint64(32)).astype(np.int64) % buckets)
+            token, doc, n = (np.concatenate(x) for x in zip(*held))
+            bucket = (token >> np.uint64(32)).astype(np.int64) % buckets
             order = np.lexsort((token, bucket))
             bucket = bucket[order]
             cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
             pack = lambda x, kind: [x[order[a:b]].astype(kind).tobytes() for a, b in zip(cut[:-1], cut[1:])]
-            return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[cut[:-1]], pa.int32()), "token": pa.array(pack(token, "<u8"), pa.binary()), "doc": pa.array(pack(doc, "<i8"), pa.binary()), "n": pa.array(pack(n, "<u4"), pa.binary()), "place": pa.array(pack(place, "<u4"), pa.binary())})
+            return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[cut[:-1]], pa.int32()), "token": pa.array(pack(token, "<u8"), pa.binary()), "doc": pa.array(pack(doc, "<i8"), pa.binary()), "n": pa.array(pack(n, "<u4"), pa.binary())})
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -224,24 +239,22 @@ def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: i
                     own, r = tokens[a:b], rank[a:b]
                     p, rare = prefix_size(b - a, percent), r < 0
                     first = own[rare][:p]
-                    often = np.zeros(p, bool)
-                    if len(first) < p:
+                    if long:
                         rest = np.flatnonzero(~rare)
-                        rest = rest[np.argsort(r[rest])][: p - len(first)]
-                        often[len(first) :] = True
-                        first = np.concatenate([first, own[rest]])
-                    held.append((first, np.full(p, ids[i + d], np.int64), np.full(p, b - a, np.int64), np.arange(p), often))
-                    held_n += p
-                if held_n > BLOCK // 4:
+                        first = own[rest[np.argsort(r[rest])][: p - len(first)]]
+                    if len(first):
+                        held.append((first, np.full(len(first), ids[i + d], np.int64), np.full(len(first), b - a, np.int64)))
+                        held_n += len(first)
+                if held_n > BLOCK:
                     yield flush()
                     held, held_n = [], 0
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, token binary, doc binary, n binary, place binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "bucket int, token binary, doc binary, n binary")
 
 
-LISTS = "token long, doc long, n long, place long, pivot long, pivot_n long, length long"
+LISTS = "token long, doc long, n long, length long"
 
 
 def rare_lists(postings: DataFrame, buckets: int) -> DataFrame:
@@ -250,12 +263,12 @@ def rare_lists(postings: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        parts = [(np.frombuffer(r["token"], "<u8"), np.frombuffer(r["doc"], "<i8"), np.frombuffer(r["n"], "<u4"), np.frombuffer(r["place"], "<u4")) for b in batches for r in b.to_pylist()]
+        parts = [(np.frombuffer(r["token"], "<u8"), np.frombuffer(r["doc"], "<i8"), np.frombuffer(r["n"], "<u4")) for b in batches for r in b.to_pylist()]
         if not parts:
             return
-        token, doc, n, place = (np.concatenate(x) for x in zip(*parts))
+        token, doc, n = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((doc, token))
-        token, doc, n, place = token[order], doc[order], n[order].astype(np.int64), place[order].astype(np.int64)
+        token, doc, n = token[order], doc[order], n[order].astype(np.int64)
         cut = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1])
         length = np.diff(np.append(cut, len(token)))
         of = np.repeat(np.arange(len(cut)), length)
@@ -263,24 +276,58 @@ def rare_lists(postings: DataFrame, buckets: int) -> DataFrame:
         at = np.flatnonzero(stay)
         for k in range(0, len(at), 100_000):
             x = at[k : k + 100_000]
-            yield pa.RecordBatch.from_pydict({"token": token[x].view(np.int64), "doc": doc[x], "n": n[x], "place": place[x], "pivot": doc[cut[of[x]]], "pivot_n": n[cut[of[x]]], "length": length[of[x]]})
+            yield pa.RecordBatch.from_pydict({"token": token[x].view(np.int64), "doc": doc[x], "n": n[x], "length": length[of[x]]})
 
-    return postings.where("bucket >= 0").repartition(buckets, "bucket").mapInArrow(run, LISTS)
+    return postings.repartition(buckets, "bucket").mapInArrow(lean(run), LISTS)
 
 
 def long_lists(postings: DataFrame) -> DataFrame:
-    """Entries of the frequent tokens' lists; their pivots are a bounded table that is broadcast."""
+    """Entries of the frequent tokens' lists of two documents or more; their lengths are a bounded table that is broadcast."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             for r in b.to_pylist():
-                yield pa.RecordBatch.from_pydict({"token": np.frombuffer(r["token"], "<u8").view(np.int64), "doc": np.frombuffer(r["doc"], "<i8"), "n": np.frombuffer(r["n"], "<u4").astype(np.int64), "place": np.frombuffer(r["place"], "<u4").astype(np.int64)})
+                yield pa.RecordBatch.from_pydict({"token": np.frombuffer(r["token"], "<u8").view(np.int64), "doc": np.frombuffer(r["doc"], "<i8"), "n": np.frombuffer(r["n"], "<u4").astype(np.int64)})
+
+    rows = saved(postings.mapInArrow(lean(run), "token long, doc long, n long"), "long")
+    lengths = rows.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
+    return rows.join(F.broadcast(lengths), "token").select("token", "doc", "n", "length")
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, to be broadcast if it has no more than `rows` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
 
-    rows = saved(postings.where("bucket < 0").mapInArrow(run, "token long, doc long, n long, place long"), "long")
-    pivots = rows.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("p"), F.count("*").alias("length")).where("length > 1")
-    return rows.join(F.broadcast(pivots), "token").select("token", "doc", "n", "place", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"), "length")
+
+def over_lists(rare: DataFrame, often: DataFrame, **found) -> DataFrame:
+    """Entries beside aggregates over their list: a window for rare tokens, whose lists are short; for frequent ones, whose
+    number is bounded, an aggregate and a broadcast."""
+    w = Window.partitionBy("token")
+    a = rare.select("*", *(c.over(w).alias(name) for name, c in found.items()))
+    return a.unionByName(often.join(F.broadcast(often.groupBy("token").agg(*(c.alias(name) for name, c in found.items()))), "token"))
+
+
+def with_pivots(rare: DataFrame, often: DataFrame, percent: int, broadcast_rows: int) -> DataFrame:
+    """Entries beside their list's pivot: the document with the largest share of its short lists shared, the smallest of equal
+    ones. A text that others are near copies of shares all of its lists; its copies' changes are in lists of their own."""
+    prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
+    share = rare.unionByName(often).groupBy("doc", "n").agg(F.count("*").alias("c")).select("doc", (F.col("c") / prefix).alias("share")).groupBy("doc").agg(F.max("share").alias("share"))
+    share = small(saved(share, "share"), broadcast_rows)
+    best = F.max(F.struct(F.col("share"), (-F.col("doc")).alias("minus"), F.col("n")))
+    rows = over_lists(rare.withColumn("often", F.lit(False)).join(share, "doc"), often.withColumn("often", F.lit(True)).join(share, "doc"), p=best)
+    return rows.select("token", "doc", "n", "length", "often", (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("pivot_n"))
+
+
+def alike(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
+    """The pairs (doc, pivot) whose sketches don't rule a link out."""
+    own = base.where("n > 0").select("doc_id", "n", "sketch")
+    x, y = (own.select(*(F.col(c).alias(f"{c}_{s}") for c in own.columns)) for s in "xy")
+    both = pairs.join(x, pairs["doc"] == x["doc_id_x"]).join(y, F.col("pivot") == y["doc_id_y"])
+    apart = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
+    wanted = F.floor((F.lit(percent) * (F.col("n_x") + F.col("n_y")) + 99 + percent) / (100 + percent))
+    return both.where(apart <= F.col("n_x") + F.col("n_y") - 2 * wanted).select("doc", "pivot").distinct()
 
 
 def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_rows: int, group: int = 256) -> DataFrame:
@@ -310,7 +357,7 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, bro
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["query", "part", "role", "doc", "tokens"])
 
-    sets = rows.mapInArrow(spread, "query long, part int, role int, doc long, tokens binary")
+    sets = rows.mapInArrow(lean(spread), "query long, part int, role int, doc long, tokens binary")
     sets = sets.repartition("query", "part").sortWithinPartitions("query", "part", "role")
 
     def find(batches):
@@ -347,7 +394,74 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, bro
         if links:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
 
-    return sets.mapInArrow(find, "a long, b long")
+    return sets.mapInArrow(lean(find), "a long, b long")
+
+
+PAIRS = "doc_x long, doc_y long, n_x long, n_y long, lists long"
+
+
+def pairs_of_short_lists(entries: DataFrame, percent: int, held_most: int = 400_000) -> DataFrame:
+    """Pairs of different components and fitting sizes, and in how many lists they meet, added up in each task before they
+    leave it. A list is in one task whole; rare tokens' lists are short."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, held_n = [], 0
+
+        def add_up():
+            x, y, nx, ny, c = (np.concatenate(v) for v in zip(*held))
+            order = np.lexsort((y, x))
+            x, y, nx, ny, c = x[order], y[order], nx[order], ny[order], c[order]
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(x) != 0) | (np.diff(y) != 0)]))
+            return x[first], y[first], nx[first], ny[first], np.add.reduceat(c, first)
+
+        def emit():
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in add_up()], ["doc_x", "doc_y", "n_x", "n_y", "lists"])
+
+        def meet(doc, n, comp):
+            nonlocal held_n
+            for i in range(0, len(doc), 512):  # by blocks, whatever a list's length
+                for j in range(i, len(doc), 512):
+                    a, b = np.meshgrid(np.arange(i, min(i + 512, len(doc))), np.arange(j, min(j + 512, len(doc))), indexing="ij")
+                    a, b = a.ravel(), b.ravel()
+                    hit = (a < b) & (comp[a] != comp[b]) & (n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent)
+                    a, b = a[hit], b[hit]
+                    low, high = np.where(doc[a] < doc[b], a, b), np.where(doc[a] < doc[b], b, a)
+                    if len(low):
+                        held.append((doc[low], doc[high], n[low], n[high], np.ones(len(low), np.int64)))
+                        held_n += len(low)
+
+        rest = None
+        for batch in batches:
+            cols = [batch.column(c).to_numpy() for c in ("token", "doc", "n", "component")]
+            if rest is not None:
+                cols = [np.concatenate([r, c]) for r, c in zip(rest, cols)]
+            token = cols[0]
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
+            for a, b in zip(cut[:-2], cut[1:-1]):
+                meet(*(c[a:b] for c in cols[1:]))
+                if held_n > held_most:
+                    small = add_up()
+                    held[:], held_n = [small], len(small[0])
+                    if held_n > held_most // 2:
+                        yield emit()
+                        held.clear()
+                        held_n = 0
+            rest = [c[cut[-2] :] for c in cols]
+        if rest is not None:
+            meet(*rest[1:])
+        if held:
+            yield emit()
+
+    return entries.select("token", "doc", "n", "component").repartition("token").sortWithinPartitions("token").mapInArrow(lean(run), PAIRS)
+
+
+def pairs_of_long_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """The same for lists of frequent tokens, by a join whose large keys Spark splits."""
+    x, y = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "component"))) for s in "xy")
+    pairs = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("component_x") != F.col("component_y")) & fitting("n_x", "n_y", percent))
+    return pairs.groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.count("*").alias("lists"))
 
 
 def fitting(a: str, b: str, percent: int):
@@ -372,50 +486,51 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512,
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = saved(scan_sets(docs, size), "sets")
-    base = scanned.where("kind = 0").select("doc_id", "n", "s1", "s2")
+    base = scanned.where("kind = 0").select("doc_id", "n", "s1", "s2", "sketch")
     total = base.agg(F.sum("n")).first()[0] or 0
     buckets = max(8, int(total * (100 - percent) // 100 // tokens_a_bucket))
     often = scanned.where("kind = 1").groupBy(F.col("n").alias("token")).agg(F.sum("s1").alias("c")).orderBy(F.col("c").desc(), "token").limit(FREQUENT).collect()
     counts = {r["token"]: r["c"] for r in often}
     for _ in range(3):  # tokens whose lists turn out long become frequent ones
         frequent = spark.sparkContext.broadcast(Frequent(np.array(list(counts), np.int64).view(np.uint64), np.array(list(counts.values()), np.int64)))
-        postings = saved(scan_postings(docs, size, percent, frequent, buckets), "postings")
-        rare = saved(rare_lists(postings, buckets), "rare")
+        rare = saved(rare_lists(scan_postings(docs, size, percent, frequent, buckets, False), buckets), "rare")
         more = rare.where(F.col("length") > longest).groupBy("token").agg(F.max("length").alias("c")).orderBy(F.col("c").desc(), "token").limit(FREQUENT).collect()
         if not more or len(counts) + len(more) > 2 * FREQUENT:
             break
         counts |= {r["token"]: r["c"] for r in more}
-    lists = rare.unionByName(saved(long_lists(postings), "frequent"))
+    often = long_lists(scan_postings(docs, size, percent, frequent, buckets, True))
+    lists = saved(with_pivots(rare, often, percent, broadcast_rows), "lists")
 
     met = lists.where((F.col("doc") != F.col("pivot")) & fitting("n", "pivot_n", percent)).groupBy("doc", "pivot", "n", "pivot_n").agg(F.count("*").alias("lists")).where(enough("lists", "n", "pivot_n", percent))
     tested = met.groupBy("doc").agg(F.max(F.struct(F.col("lists"), (-F.col("pivot")).alias("minus"))).alias("m")).select("doc", (-F.col("m.minus")).alias("pivot"))
     tested = saved(tested, "first")
-    links = saved(linked_pairs(docs, tested, size, percent, broadcast_rows), "links")
+    links = saved(linked_pairs(docs, alike(tested, base, percent), size, percent, broadcast_rows), "links")
     labels = components(links)
     for last in (False, True):
-        entries = (lists if last else lists.where(F.col("length") > large)).join(labels.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        mixed = entries.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-        entries = entries.join(mixed, "token", "left_semi")
+        known = small(saved(labels.withColumnRenamed("id", "doc"), "labels"), broadcast_rows)
+        entries = (lists if last else lists.where(F.col("length") > large)).join(known, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        entries = over_lists(entries.where("not often"), entries.where("often"), low=F.min("component"), high=F.max("component")).where("low < high").drop("low", "high")
         if last:
             entries = saved(entries, "mixed")
-            x, y = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "component"))) for s in "xy")
-            pairs = x.join(y, "token").where((F.col("component_x") < F.col("component_y")) & fitting("n_x", "n_y", percent)).groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.count("*").alias("lists"))
+            pairs = pairs_of_short_lists(entries.where("not often"), percent).unionByName(pairs_of_long_lists(entries.where("often"), percent))
+            pairs = pairs.groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.sum("lists").alias("lists"))
             pairs = pairs.where(enough("lists", "n_x", "n_y", percent)).select(F.greatest("doc_x", "doc_y").alias("doc"), F.least("doc_x", "doc_y").alias("pivot"))
         else:
-            own = labels.select(F.col("id").alias("pivot"), F.col("component").alias("pivot_component"))
+            own = known.select(F.col("doc").alias("pivot"), F.col("component").alias("pivot_component"))
             apart = entries.select("doc", "pivot", "component").distinct().join(own, "pivot", "left").where(F.col("component") != F.coalesce("pivot_component", "pivot")).select("doc", "pivot")
             pairs = met.join(apart, ["doc", "pivot"], "left_semi").select("doc", "pivot")
-        pairs = saved(pairs.distinct().join(tested, ["doc", "pivot"], "left_anti"), "more")
+        either = tested.unionByName(tested.select(F.col("pivot").alias("doc"), F.col("doc").alias("pivot")))
+        pairs = saved(pairs.distinct().join(either, ["doc", "pivot"], "left_anti"), "more")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            links = saved(links.unionByName(linked_pairs(docs, pairs, size, percent, broadcast_rows)), "links")
+            links = saved(links.unionByName(linked_pairs(docs, alike(pairs, base, percent), size, percent, broadcast_rows)), "links")
             labels = components(links)
 
     known = base.where("n > 0").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     classes = saved(known.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.min("component").alias("label")), "classes")
     smallest = classes.where("label is not null").groupBy("label").agg(F.min("class_id").alias("least"))
     classes = classes.join(smallest, "label", "left").select("n", "s1", "s2", "class_id", F.coalesce("least", "class_id").alias("component_id"))
-    out = base.join(classes, ["n", "s1", "s2"], "left")
+    out = base.drop("sketch").join(classes, ["n", "s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

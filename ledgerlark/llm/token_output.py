@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fmix, mb_slices, ragged, text_bytes, words, work_path
+from .common import fmix, lean, mb_slices, ragged, text_bytes, words, work_path
 
 MAGIC = b"RPK1"
 SEGMENT_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
@@ -336,7 +336,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         if keys:
             yield segment()
 
-    part.mapInArrow(run, SEGMENT_SCHEMA).write.parquet(path, compression="zstd")
+    part.mapInArrow(lean(run), SEGMENT_SCHEMA).write.parquet(path, compression="zstd")
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -367,7 +367,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     out["ids"] = pa.array([flat[a:b].astype(np.int64) for a, b in zip(starts, ends)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
 
-    rows = table.select("part", "seq", "blob").mapInArrow(run, "part int, seq int, doc_id long, ahead long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
+    rows = table.select("part", "seq", "blob").mapInArrow(lean(run), "part int, seq int, doc_id long, ahead long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
     out = rows.join(base, ["part", "seq"])
     columns = ["doc_id", (F.col("ahead") + F.col("base")).alias("start"), "n_tokens", "ids_crc32"] + (["ids"] if with_ids else [])
     return out.select(*columns)

@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerlark.llm.ngram_join import divide_skip, join, need, op3_ngram_join
+from ledgerlark.llm.ngram_join import divide_skip, join, need, op3_ngram_join, pairs_of_long_lists, pairs_of_short_lists, sketches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -54,6 +55,17 @@ def test_divide_skip(lists, least, always):
     assert divide_skip(lists, least, always) == want
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(1)
+    sets = [np.sort(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (3, 40, 900)]
+    sets += [np.sort(np.concatenate([x[: len(x) * 9 // 10], rng.integers(0, 2**63, 5, dtype=np.uint64)])) for x in sets]
+    bits = sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            apart = sum(int(v).bit_count() for v in (bits[a] ^ bits[b]).view(np.uint64))
+            assert apart <= len(set(x.tolist()) ^ set(y.tolist()))
+
+
 def test_need():
     for a in range(1, 60):
         for b in range(1, 60):
@@ -89,6 +101,22 @@ def test_groups_chains_and_shared_passages(spark):
         assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in join(docs, **kind).collect()) == brute(rows)
 
 
+def test_pairs_of_short_and_long_lists_agree(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(t), int(d), int(80 + d % 30), int(d % 5)) for t in range(40) for d in rng.choice(200, rng.integers(2, 60), replace=False)]
+    entries = spark.createDataFrame(rows, "token long, doc long, n long, component long")
+    want = {}
+    for t, d, n, c in rows:
+        for u, e, m, k in rows:
+            if t == u and d < e and c != k and n * 100 >= 85 * m and m * 100 >= 85 * n:
+                want[d, e, n, m] = want.get((d, e, n, m), 0) + 1
+    for pairs in (pairs_of_short_lists(entries, 85, 500), pairs_of_long_lists(entries, 85)):
+        got = {}
+        for r in pairs.collect():
+            got[tuple(r)[:4]] = got.get(tuple(r)[:4], 0) + r.lists
+        assert got == want
+
+
 def test_odd_rows(spark):
     rows = [(None, "one two three four five"), (3, "one two three four five"), (2, "one two three four five"), (2, "one two three four five"), (None, "only without an id"), (9, "w" * 300_000), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
