@@ -325,9 +325,7 @@ def alike(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
     own = base.where("n > 0").select("doc_id", "n", "sketch")
     x, y = (own.select(*(F.col(c).alias(f"{c}_{s}") for c in own.columns)) for s in "xy")
     both = pairs.join(x, pairs["doc"] == x["doc_id_x"]).join(y, F.col("pivot") == y["doc_id_y"])
-    apart = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
-    wanted = F.floor((F.lit(percent) * (F.col("n_x") + F.col("n_y")) + 99 + percent) / (100 + percent))
-    return both.where(apart <= F.col("n_x") + F.col("n_y") - 2 * wanted).select("doc", "pivot").distinct()
+    return both.where(sketches_allow(percent)).select("doc", "pivot").distinct()
 
 
 def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_rows: int, group: int = 256) -> DataFrame:
@@ -457,11 +455,21 @@ def pairs_of_short_lists(entries: DataFrame, percent: int, held_most: int = 400_
     return entries.select("token", "doc", "n", "component").repartition("token").sortWithinPartitions("token").mapInArrow(lean(run), PAIRS)
 
 
-def pairs_of_long_lists(entries: DataFrame, percent: int) -> DataFrame:
-    """The same for lists of frequent tokens, by a join whose large keys Spark splits."""
-    x, y = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "component"))) for s in "xy")
-    pairs = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("component_x") != F.col("component_y")) & fitting("n_x", "n_y", percent))
-    return pairs.groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.count("*").alias("lists"))
+def pairs_of_long_lists(entries: DataFrame, base: DataFrame, percent: int) -> DataFrame:
+    """The same for lists of frequent tokens, by a join whose large keys Spark splits; pairs whose sketches rule a link out are
+    no rows of it. A document of several rows has each of their sketches; a list may then count twice, which only admits more."""
+    own = base.where("n > 0").select(F.col("doc_id").alias("doc"), "n", "sketch")
+    entries = entries.select("token", "doc", "n", "component").join(own, ["doc", "n"])
+    x, y = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "component", "sketch"))) for s in "xy")
+    hit = (F.col("doc_x") < F.col("doc_y")) & (F.col("component_x") != F.col("component_y")) & fitting("n_x", "n_y", percent) & sketches_allow(percent)
+    return x.join(y, "token").where(hit).groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.count("*").alias("lists"))
+
+
+def sketches_allow(percent: int):
+    """Whether sets of n_x and n_y tokens with sketch_x and sketch_y may link."""
+    apart = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
+    wanted = F.floor((F.lit(percent) * (F.col("n_x") + F.col("n_y")) + 99 + percent) / (100 + percent))
+    return apart <= F.col("n_x") + F.col("n_y") - 2 * wanted
 
 
 def fitting(a: str, b: str, percent: int):
@@ -512,7 +520,7 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512,
         entries = over_lists(entries.where("not often"), entries.where("often"), low=F.min("component"), high=F.max("component")).where("low < high").drop("low", "high")
         if last:
             entries = saved(entries, "mixed")
-            pairs = pairs_of_short_lists(entries.where("not often"), percent).unionByName(pairs_of_long_lists(entries.where("often"), percent))
+            pairs = pairs_of_short_lists(entries.where("not often"), percent).unionByName(pairs_of_long_lists(entries.where("often"), base, percent))
             pairs = pairs.groupBy("doc_x", "doc_y", "n_x", "n_y").agg(F.sum("lists").alias("lists"))
             pairs = pairs.where(enough("lists", "n_x", "n_y", percent)).select(F.greatest("doc_x", "doc_y").alias("doc"), F.least("doc_x", "doc_y").alias("pivot"))
         else:

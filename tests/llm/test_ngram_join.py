@@ -110,7 +110,8 @@ def test_pairs_of_short_and_long_lists_agree(spark):
         for u, e, m, k in rows:
             if t == u and d < e and c != k and n * 100 >= 85 * m and m * 100 >= 85 * n:
                 want[d, e, n, m] = want.get((d, e, n, m), 0) + 1
-    for pairs in (pairs_of_short_lists(entries, 85, 500), pairs_of_long_lists(entries, 85)):
+    same = spark.createDataFrame([(d, 80 + d % 30, [7] * 16) for d in range(200)], "doc_id long, n long, sketch array<long>")
+    for pairs in (pairs_of_short_lists(entries, 85, 500), pairs_of_long_lists(entries, same, 85)):
         got = {}
         for r in pairs.collect():
             got[tuple(r)[:4]] = got.get(tuple(r)[:4], 0) + r.lists
