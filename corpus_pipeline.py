@@ -14,6 +14,8 @@ from ledgerlark.llm.common import work_path
 
 #: Up to this many ids a join is a broadcast, beyond it a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Near copies share this percentage of their shingles of so many words; op3's query has a rule of its own.
+NEAR = {"size": 5, "percent": 80}
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: the smallest doc_id, once. Rows without an id stay if they are no copy of one with an id."""
-    groups = ngram_join.join(docs)
+    groups = ngram_join.join(docs, **NEAR)
     gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").where("doc_id is not null").distinct()
     n = gone.count()
     rows = docs.join(F.broadcast(gone) if n <= BROADCAST_IDS else gone, "doc_id", "left_anti")

@@ -2,6 +2,7 @@ import corpus_pipeline as p
 from ledgerlark.llm.lang_id import fit_profiles, fold, predict
 
 from .test_decontaminate import brute as brute_hits
+from . import test_ngram_join
 from .test_ngram_join import brute as brute_groups
 from .test_token_output import brute as brute_ids
 
@@ -53,3 +54,17 @@ def test_odd_rows_pass_through_all_stages(spark):
     for name, stage in p.STAGES:
         assert stage(spark, empty, d).count() == 0, name
     assert p.identify_language(spark, docs.selectExpr("doc_id", "text", "cast(null as string) as lang"), d).count() == 5
+
+
+def test_near_copies_share_four_fifths_of_five_word_shingles(spark, monkeypatch):
+    def text(k, *changed):
+        return " ".join(f"x{k}w{i}" if i in changed else f"d{k}w{i}" for i in range(100))
+
+    rows = [(1, text(1)), (2, text(1, 30, 60)), (3, text(2)), (4, text(2, 20, 50, 80)), (5, text(3)), (6, text(3, 40)), (7, text(4)), (8, text(4))]
+    d = "/root/testdata/sf0.01"
+    rows += [(r.doc_id + 100, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    kept = {r.doc_id for r in p.join_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), d).collect()}
+    assert kept & set(range(9)) == {1, 3, 4, 5, 7}  # 86 of 106 shingles are enough, 81 of 111 aren't
+    own = test_ngram_join.shingles
+    monkeypatch.setattr(test_ngram_join, "shingles", lambda t: own(t, 5))
+    assert kept == {i for i, _, c in brute_groups(rows, 80) if i == c}
