@@ -224,36 +224,43 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def template_counts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(host, subtree, pages_with): on how many pages of the host a subtree occurs. Tasks add up their own pages first."""
+def template_counts(pages: DataFrame, html: str = "html", most: int = 10) -> DataFrame:
+    """(host, subtree, pages_with): on how many different pages of the host a subtree occurs, counted up to `most`. Tasks send
+    up to `most` page hashes of a subtree; copies of a page are one page, else its text would be a template of its copies."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            counts: dict[tuple[str, int], int] = {}
+            seen: dict[tuple[str, int], set[int]] = {}
             for host, source in zip(batch.column("host").to_pylist(), batch.column(html)):
+                own = (source.as_py() or "").encode("utf-8", "replace")
+                page = signed(zlib.crc32(own) | zlib.adler32(own) << 32)
                 for h in set(Page(source.as_py()).subtrees().values()):
-                    counts[host, h] = counts.get((host, h), 0) + 1
-            yield pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in counts], pa.string()), "subtree": pa.array([signed(k[1]) for k in counts], pa.int64()), "n": pa.array(list(counts.values()), pa.int64())})
+                    if len(met := seen.setdefault((host, h), set())) < most:
+                        met.add(page)
+            yield pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in seen], pa.string()), "subtree": pa.array([signed(k[1]) for k in seen], pa.int64()), "met": pa.array([list(v) for v in seen.values()], pa.list_(pa.int64()))})
 
-    return pages.select("host", html).mapInArrow(lean(run), "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("pages_with"))
+    met = F.size(F.array_distinct(F.flatten(F.collect_list("met"))))
+    return pages.select("host", html).mapInArrow(lean(run), "host string, subtree long, met array<long>").groupBy("host", "subtree").agg(F.least(met, F.lit(most)).alias("pages_with"))
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, share: float = 0.2, most_templates: int = 200_000) -> DataFrame:
+def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, share: float = 0.5, most_templates: int = 200_000) -> DataFrame:
     """pages (without html) with text and n_chars; columns of these names are replaced.
 
-    A subtree outside the article, or a container inside it, is a site template if it occurs on `least_pages` pages of its host
-    or more and on at least `share` of them. Null html is empty; without any text the result is an empty string. Pages without
-    a host form one host. Templates are broadcast up to `most_templates` of them; beyond, each page gets those of its host by a
-    join on (host, hashed page part), so a large host is spread.
+    A subtree outside the article, or a container inside it, is a site template if it occurs on `least_pages` different pages of
+    its host, however large; on a host too small for that, on `share` of its different pages, two at least. Null html is empty;
+    without any text the result is an empty string. Pages without a host form one host. Templates are broadcast up to
+    `most_templates` of them; beyond, each page gets those of its host by a join on (host, hashed page part), so a large host is
+    spread.
     """
     added = ["text", "n_chars"]
     names = [c for c in pages.columns if c not in added]
     rows = pages.select(*names, url_host(F.col(url)).alias("__host"))
-    sizes = rows.groupBy(F.col("__host").alias("host")).agg(F.count("*").alias("pages"))
-    counted = template_counts(rows.select(F.col("__host").alias("host"), html), html)
-    templates = saved(counted.where(F.col("pages_with") >= least_pages).join(sizes, "host").where(F.col("pages_with") >= share * F.col("pages")).select("host", "subtree"), "templates")
+    sizes = rows.select(F.col("__host").alias("host"), F.xxhash64(html)).distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    counted = template_counts(rows.select(F.col("__host").alias("host"), html), html, max(2, least_pages)).where("pages_with >= 2")
+    wanted = F.least(F.lit(least_pages), F.greatest(F.lit(2), F.ceil(share * F.col("pages"))))
+    templates = saved(counted.join(sizes, "host").where(F.col("pages_with") >= wanted).select("host", "subtree"), "templates")
     n = templates.count()
     kept = [f for f in rows.schema.fields if f.name in names and f.name != html]
     schema = pages.select(*(f.name for f in kept)).schema.add("text", "string").add("n_chars", "long")

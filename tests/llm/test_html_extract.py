@@ -42,3 +42,17 @@ def test_templates_go_and_shared_sentences_stay(spark):
         assert got[3].text == "Same line. own 3" and got[103].text == "Same line. own 3"
         assert got[200].text == "x Read more at our site one" and got[201].text == "" and got[201].n_chars == 0 and got[202].n_chars == 399_999
     assert extract(pages.limit(0)).count() == 0 and extract(pages).count() == len(rows)
+
+
+def test_templates_of_part_of_a_large_host_and_of_small_hosts(spark):
+    box = "<div><span>Site notice</span></div>"
+    page = lambda i, more: f"<article><p>own {i}</p>{more}</article>"
+    rows = [(i, f"http://large.org/{i}", page(i, box if i < 12 else "<div>rare</div>" if i < 21 else "")) for i in range(200)]
+    rows += [(1000 + i, f"http://small.org/{i}", page(i, box)) for i in range(3)] + [(1010 + i, f"http://half.org/{i}", page(i, box if i == 0 else "")) for i in range(3)]
+    rows += [(1020, "http://one.org/", page(0, box))] + [(1100 + i, f"http://copies.org/{i}", page(0, box)) for i in range(30)] + [(1130 + i, f"http://copies.org/other{i}", page(i, "")) for i in range(1, 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (200_000, 0):
+        got = {r.page_id: r.text for r in extract(pages, most_templates=limit).collect()}
+        assert [got[i] for i in (0, 11, 12, 20, 199)] == ["own 0", "own 11", "own 12 rare", "own 20 rare", "own 199"]  # on 12 and on 9 pages of 200
+        assert [got[1000 + i] for i in range(3)] == ["own 0", "own 1", "own 2"]
+        assert got[1010] == got[1020] == got[1100] == got[1129] == "own 0 Site notice"  # on one page, or on copies of one
