@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import address_similarity, boost, name_similarity
-from ..functions.text import cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_text, postal_match
+from ..functions.text import cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_text, postal_match, remove_special
 
 #: A name is fuzzily equal from this token-sort ratio.
 FUZZY = 0.80
@@ -101,19 +101,48 @@ def name_variants(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__v", F.explode(kept)).select("*", "__v.variant", F.col("__v.name").alias("tried_name"), F.col("__v.suffix").alias("suffix")).drop("__v")
 
 
-def blocking_keys(country: Column, names: list[Column], postal: Column, city: Column) -> Column:
-    """Keys of which two records must share one to be compared: country with the first four letters of a name's word, with the
-    postal code's first three characters, or with the city."""
-    words = F.flatten(F.array(*(F.split(normalize_text(n), " ") for n in names)))
-    starts = F.transform(F.filter(words, lambda w: w != ""), lambda w: F.concat(F.lit("n:"), w.substr(1, 4)))
-    other = F.array(F.when(filled(postal) != "", F.concat(F.lit("p:"), F.upper(postal).substr(1, 3))), F.when(filled(city) != "", F.concat(F.lit("c:"), normalize_city(city))))
-    return F.transform(F.array_distinct(F.array_compact(F.concat(starts, other))), lambda k: F.concat_ws("|", F.upper(filled(country)), k))
+def trigrams(name: Column) -> Column:
+    """Distinct trigrams of the name as its ratio sees it, padded by one at its start and two at its end. Names of n characters
+    with a ratio of .80 share one at least: a deletion breaks three of n + 2 (with one more pad), an insertion two, and the
+    ratio allows so few that two stay; none for a name without letters and digits."""
+    plain = F.concat(F.lit("^"), F.array_join(F.array_sort(F.split(remove_special(F.lower(name)), " ")), " "), F.lit("$$"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(plain) - 2), lambda i: F.concat(F.lit("g:"), plain.substr(i, F.lit(3)))))
+    return F.when(F.length(plain) > 3, grams).otherwise(F.array().cast("array<string>"))
+
+
+def word_keys(words: Column) -> Column:
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.concat(F.lit("w:"), w))
+
+
+def place_keys(postal: Column, city: Column) -> Column:
+    return F.array(F.when(filled(postal) != "", F.concat(F.lit("p:"), F.upper(postal).substr(1, 3))), F.when(filled(city) != "", F.concat(F.lit("c:"), normalize_city(city))))
+
+
+def with_country(country: Column, keys: list[Column]) -> Column:
+    return F.transform(F.array_distinct(F.array_compact(F.concat(*keys))), lambda k: F.concat_ws("|", F.upper(filled(country)), k))
+
+
+def request_keys(country: Column, name: Column, postal: Column, city: Column) -> Column:
+    """Keys of a tried name. Each way to agree has its own: trigrams for fuzzy; the first four letters for equal, starts and
+    prefix; the longest word for words; the city for rule 9, which asks for no name."""
+    longest = F.array_max(F.transform(F.split(normalize_text(name), " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    return with_country(country, [trigrams(name), word_keys(F.array(longest)), F.array(F.concat(F.lit("s:"), F.lower(name).substr(1, 4))), place_keys(postal, city)])
+
+
+def entity_keys(country: Column, names: list[Column], postal: Column, city: Column) -> Column:
+    """The same of an entity: all its words, and one to four first letters of each name and each word."""
+    keys = [place_keys(postal, city)]
+    for n in map(filled, names):
+        starts = F.transform(F.concat(F.array(F.lower(n)), F.split(F.lower(n), r"\s+")), lambda w: F.array(*(F.concat(F.lit("s:"), w.substr(1, k)) for k in range(1, 5))))
+        keys += [trigrams(n), word_keys(F.split(normalize_text(n), " ")), F.filter(F.flatten(starts), lambda k: k != "s:")]
+    return with_country(country, keys)
 
 
 def candidates(rows: DataFrame, entities: DataFrame) -> DataFrame:
-    """(row_id, entity_id) of pairs that share a blocking key, once each; Spark splits the partitions of common keys."""
-    a = rows.select("row_id", F.explode(blocking_keys(F.col("norm_country"), [F.col("norm_supplier_name")], F.col("norm_postal_code"), F.col("norm_city"))).alias("k"))
-    b = entities.select("entity_id", F.explode(blocking_keys(F.col("country"), [F.col("legal_name"), F.col("dba_name")], F.col("postal_code"), F.col("city"))).alias("k"))
+    """(row_id, entity_id) of pairs that share a blocking key, once each: every pair that a rule accepts, but for names without
+    a Latin letter or digit, whose ratios say nothing. Spark splits the partitions of common keys."""
+    a = name_variants(rows).select("row_id", F.explode(request_keys(F.col("norm_country"), F.col("tried_name"), F.col("norm_postal_code"), F.col("norm_city"))).alias("k")).distinct()
+    b = entities.select("entity_id", F.explode(entity_keys(F.col("country"), [F.col("legal_name"), F.col("dba_name")], F.col("postal_code"), F.col("city"))).alias("k"))
     return a.join(b, "k").select("row_id", "entity_id").distinct()
 
 

@@ -54,6 +54,17 @@ def test_cascade(spark):
     assert got[3].matched_rule.endswith("_DBA_Part2") and got[5].successful == "Y"
 
 
+def test_cascade_tests_every_pair_that_a_rule_accepts(spark, monkeypatch):
+    names = ["Fedx", "Max", "a", "ab Co", "Foods Acme", "Acme", "Shop DBA Delta Air", "Kuehne-Nagel", "Inter national", "X1 2", "Bäcker", "Siemen", "Walmrt Stores", "Maxwel House", ""]
+    others = [("Fedex", ""), ("Maxwell", "House"), ("Alpha", "abco"), ("ab company", "x"), ("Acme Best Foods", ""), ("Acmee", "The acmeland"), ("Delta Airr", ""), ("KuehneNagel", None), ("International", "Inter"), ("X12", "2 X1"), ("Backer", "Bäckerei"), ("Simens", "AG"), ("Wal-mart Store", ""), ("House Maxwell", "")]
+    rows = spark.createDataFrame([(i, n, "", "Rome" if i == 9 else "", "", "DEU", "") for i, n in enumerate(names)], "row_id int, norm_supplier_name string, norm_street_address string, norm_city string, norm_postal_code string, norm_country string, full_form_state string")
+    entities = spark.createDataFrame([(f"E{i:02d}", *n, "", "rome" if i == 3 else "", "", "", "DEU") for i, n in enumerate(others)], "entity_id string, legal_name string, dba_name string, street_address string, city string, state string, postal_code string, country string")
+    got = sorted(map(tuple, matching.cascade(rows, entities).collect()))
+    assert [r[1] for r in got[:2]] == ["E00", "E01"]
+    monkeypatch.setattr(matching, "candidates", lambda a, b: a.select("row_id").crossJoin(b.select("entity_id")))
+    assert got == sorted(map(tuple, matching.cascade(rows, entities).collect()))
+
+
 def test_hybrid_match_uses_the_cache(spark):
     rows = spark.createDataFrame([(1, "h1", "Acme", "", "", "", "DEU", ""), (2, "h2", "Acme", "", "", "", "DEU", "")], "row_id int, request_hash string, norm_supplier_name string, norm_street_address string, norm_city string, norm_postal_code string, norm_country string, full_form_state string")
     entities = spark.createDataFrame([("E", "Acme", "", "", "", "", "", "DEU")], "entity_id string, legal_name string, dba_name string, street_address string, city string, state string, postal_code string, country string")
