@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,33 +27,84 @@ def byte_class(pattern: str) -> np.ndarray:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests on one machine)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a folder of our own, but only on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if root is None and known.isDefined():
         root = known.get()
     if root is None:
-        root = tempfile.mkdtemp(prefix="ledgerlark-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is unset; on a cluster it has to name a folder that all executors share")
+        root = _own_root.setdefault("root", tempfile.mkdtemp(prefix="ledgerlark-"))
     if not known.isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_own_root: dict[str, str] = {}
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; it is deleted when the session's JVM ends, if not before."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(at)  # only a path that exists can be marked; what is written there overwrites it
+    fs.deleteOnExit(at)
+    return path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: the lineage ends there, and lost executors cost no more than their own tasks."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes tables of saved() that nothing reads any more."""
+    for df in tables:
+        if df is not None and hasattr(df, "work_path"):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+#: Up to this size, as it lies in memory, a table is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def frame_bytes(df: DataFrame) -> int:
+    """What the rows of df take in a hash table about: 64 bytes a row, 8 a value, and the bytes of strings, binaries and arrays."""
+    size = F.lit(64 + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            size += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind == "array":
+            size += 16 * F.coalesce(F.size(f.name), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
+
 
+def small(df: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df, to be broadcast if it takes no more than `most_bytes`. df is read for that, so it should be a written table."""
+    return F.broadcast(df) if frame_bytes(df) <= most_bytes else df
 
-def lean(run):
-    """A mapInArrow function that gives freed memory back to the system when its task ends: workers are used again, and
-    memory that allocators keep counts against the executor."""
+
+#: Bytes and rows of an Arrow batch: a task holds one batch, its slices, and no more.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
+
+
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow with batches bounded by bytes, whose workers give freed memory back to the system when a task ends:
+    workers are used again, and memory that allocators keep counts against the executor."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = int(re.match(r"-?\d+", str(conf.get(key)))[0])
+        if not 0 < now <= most:
+            conf.set(key, str(most))
 
     def inner(batches):
         try:
@@ -67,7 +119,7 @@ def lean(run):
             if trim is not None:
                 trim(0)
 
-    return inner
+    return df.mapInArrow(inner, schema)
 
 
 def fmix(h: np.ndarray) -> np.ndarray:
@@ -82,22 +134,49 @@ def fmix(h: np.ndarray) -> np.ndarray:
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
+CHUNK = 1 << 17
+_powers: list[np.ndarray] = []
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse, modulo 2**64; kept up to 2**21."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 16)
-        made = {}
-        for name, base in (("up", BASE), ("down", INVERSE)):
-            x = np.full(size, base, dtype=np.uint64)
+def powers() -> list[np.ndarray]:
+    """The first CHUNK + 1 powers of BASE and of its inverse, modulo 2**64."""
+    if not _powers:
+        for base in (BASE, INVERSE):
+            x = np.full(CHUNK + 1, base, dtype=np.uint64)
             x[0] = 1
-            made[name] = np.cumprod(x, dtype=np.uint64)
-        if size > 1 << 21:
-            return made["up"][:n], made["down"][:n]
-        _powers.update(made)
-    return _powers["up"][:n], _powers["down"][:n]
+            _powers.append(np.cumprod(x, dtype=np.uint64))
+    return _powers
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of each span of bytes, in order and without overlap, the sum of (byte + 1) * BASE ** (distance to its end); by chunks of
+    CHUNK bytes, so that memory doesn't grow with raw, nor with a span."""
+    up, down = powers()
+    out = np.zeros(len(starts), np.uint64)
+
+    def sums(a: int, b: int) -> np.ndarray:
+        total = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((raw[a:b].astype(np.uint64) + np.uint64(1)) * down[: b - a], out=total[1:])
+        return total
+
+    k = 0
+    while k < len(starts):
+        at = int(starts[k])
+        stop = min(len(raw), at + CHUNK)
+        last = int(np.searchsorted(ends, stop, side="right"))
+        if last > k:
+            total, a, b = sums(at, stop), starts[k:last] - at, ends[k:last] - at
+            out[k:last] = (total[b] - total[a]) * up[b]
+            k = last
+        else:  # one span of more than a chunk
+            value, end = 0, int(ends[k])
+            while at < end:
+                stop = min(end, at + CHUNK)
+                value = (value * int(up[stop - at]) + int(sums(at, stop)[-1]) * int(up[stop - at])) & 0xFFFFFFFFFFFFFFFF
+                at = stop
+            out[k] = value
+            k += 1
+    return out
 
 
 def text_bytes(column, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -140,10 +219,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, cuts: np.ndar
     if cuts is not None:
         after[cuts - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * down[:n], out=sums[1:])
-    hashes = fmix((sums[ends] - sums[starts]) * up[ends])
+    hashes = fmix(span_hashes(raw, starts, ends))
     return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 
@@ -156,6 +232,17 @@ def mb_slices(offsets: np.ndarray, limit: int = 1 << 18):
         i = j
 
 
+def row_slices(column, limit: int = 1 << 18, most: int = 256):
+    """Row ranges of an Arrow string column of about `limit` bytes and at most `most` rows each, one row at least."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(column.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False)
+    for i, j in mb_slices(np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), limit):
+        for k in range(i, j, most):
+            yield k, min(j, k + most)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices starts[i], starts[i]+1, ... of lengths[i] each, one after the other."""
     total = int(lengths.sum())
@@ -183,14 +270,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
             point = point.join(hop, point["to"] == hop["h"]).select("id", F.col("next").alias("to"))
         point = saved(point, name)
         left, right = point.select(F.col("id").alias("a"), F.col("to").alias("ta")), point.select(F.col("id").alias("b"), F.col("to").alias("tb"))
-        edges = saved(
+        fewer = saved(
             edges.join(left, "a").join(right, "b").where("ta <> tb")
             .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(), name)
         if labels is None:
-            labels = point
+            labels, old = point, None
         else:
             moved = point.select(F.col("id").alias("to"), F.col("to").alias("next"))
-            labels = saved(labels.join(moved, "to", "left").select("id", F.coalesce("next", "to").alias("to")), name)
+            old, labels = labels, saved(labels.join(moved, "to", "left").select("id", F.coalesce("next", "to").alias("to")), name)
+            discard(point)
+        discard(edges, old)
+        edges = fewer
+    discard(edges)
     if labels is None:
         return spark.createDataFrame([], "id long, component long")
     return labels.select("id", F.col("to").alias("component"))

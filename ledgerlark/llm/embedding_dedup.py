@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, lean, saved
+from .common import components, mapped, saved
 
 
 def rotation(dims: int, rows: int, seed: int) -> np.ndarray:
@@ -104,7 +104,7 @@ def prepare(vectors: DataFrame, vector: str) -> DataFrame:
                 raws.append(raw)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.int64()), pa.array(dims, pa.int32()), pa.array(raws, pa.binary())], ["vec_id", "key", "dims", "unit"])
 
-    return vectors.select("vec_id", vector).mapInArrow(lean(run), "vec_id long, key long, dims int, unit binary")
+    return mapped(vectors.select("vec_id", vector), run, "vec_id long, key long, dims int, unit binary")
 
 
 def dedup(vectors: DataFrame, vector: str = "embedding", threshold: float = 0.9, recall: float = 0.995, bound: float = 4.0, block: int = 1024, seed: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
@@ -138,10 +138,10 @@ def dedup(vectors: DataFrame, vector: str = "embedding", threshold: float = 0.9,
                         ["table", "cell", "dims", "key", "copies", "unit", "cells"])
 
     fields = "table int, cell int, dims int, key long, copies long, unit binary, cells binary"
-    dealt = nodes.mapInArrow(lean(deal), fields)
+    dealt = mapped(nodes, deal, fields)
     group = ["table", "cell", "dims"]
     # a cell's size is counted without its vectors; cells larger than a block are dealt to all pairs of its blocks
-    sizes = saved(nodes.mapInArrow(lean(deal), fields).groupBy(*group).agg(F.count("*").alias("size")).where(F.col("size") > block).select(*group, F.ceil(F.col("size") / block).cast("int").alias("parts")), "sizes")
+    sizes = saved(mapped(nodes, deal, fields).groupBy(*group).agg(F.count("*").alias("size")).where(F.col("size") > block).select(*group, F.ceil(F.col("size") / block).cast("int").alias("parts")), "sizes")
     sizes = F.broadcast(sizes) if sizes.count() <= broadcast_rows else sizes
     dealt = dealt.join(sizes, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -194,7 +194,7 @@ def dedup(vectors: DataFrame, vector: str = "embedding", threshold: float = 0.9,
         if now is not None and (found := close()) is not None:
             yield found
 
-    found = saved(dealt.mapInArrow(lean(find), "key long, links long, root long"), "found")
+    found = saved(mapped(dealt, find, "key long, links long, root long"), "found")
     labels = components(found.select("key", "root"), "key", "root")
     graph = saved(
         nodes.select("key", "copies").join(found.groupBy("key").agg(F.sum("links").alias("links")), "key", "left").join(labels.withColumnRenamed("id", "key"), "key", "left")

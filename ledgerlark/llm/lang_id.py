@@ -3,7 +3,8 @@
 Every letter class has a random +1/-1 vector. A trigram binds its three letters: the first one's vector is rotated twice,
 the second's once, and the three are multiplied. A document bundles (adds) the vectors of its trigrams, a language bundles
 its normalised training documents, and a document gets the language with the highest cosine. Both are centred on the mean
-language first, so that what all languages share doesn't count.
+language first, so that what all languages share doesn't count. Cosines are rounded to six places, and of equal ones the
+alphabetically first language wins, so that neither batches nor the order of sums decide.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean
+from .common import mapped, row_slices
 
 CLASSES = 128
 SCALE = float(1 << 24)
+SLICE = 1 << 19  # bytes of text counted at once
 
 
 @dataclass
@@ -49,102 +51,98 @@ def letter_classes() -> np.ndarray:
 
 
 class TrigramVectors:
-    """Vectors of trigrams, made when first met; the table is emptied when it holds `keep` of them."""
+    """Vectors of trigrams as signed bytes, made when first met; the table has a fixed size, and is emptied when full."""
 
-    def __init__(self, dims: int, seed: int, keep: int = 20_000):
-        self.letters = np.random.default_rng(seed).choice(np.array([-1, 1], np.float32), (CLASSES, dims))
-        self.keep, self.dims = keep, dims
-        self.reset()
-
-    def reset(self) -> None:
-        self.row = np.full(CLASSES**3, -1, np.int32)
-        self.table, self.n = np.zeros((1024, self.dims), np.float32), 0
+    def __init__(self, dims: int, seed: int, keep: int = 16_384):
+        self.letters = np.random.default_rng(seed).choice(np.array([-1, 1], np.float32), (CLASSES, dims)).astype(np.int8)
+        self.row, self.table = np.full(CLASSES**3, -1, np.int32), np.zeros((keep, dims), np.int8)
+        self.n = 0
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        if self.n + len(keys) > self.keep:
-            self.reset()
+        """Vectors of at most `keep` different trigrams."""
         new = keys[self.row[keys] < 0]
-        if len(new):
-            first, second, third = new >> 14, (new >> 7) & 127, new & 127
-            made = np.roll(self.letters[first], 2, axis=1) * np.roll(self.letters[second], 1, axis=1) * self.letters[third]
-            while self.n + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[self.n : self.n + len(new)] = made
-            self.row[new] = np.arange(self.n, self.n + len(new))
-            self.n += len(new)
+        if self.n + len(new) > len(self.table):
+            self.row[:], self.n, new = -1, 0, keys
+        for i in range(0, len(new), 1024):
+            own = new[i : i + 1024]
+            first, second, third = own >> 14, (own >> 7) & 127, own & 127
+            self.table[self.n : self.n + len(own)] = np.roll(self.letters[first], 2, axis=1) * np.roll(self.letters[second], 1, axis=1) * self.letters[third]
+            self.row[own] = np.arange(self.n, self.n + len(own))
+            self.n += len(own)
         return self.table[self.row[keys]]
 
-
-def trigram_vectors(dims: int, seed: int) -> TrigramVectors:
-    if (dims, seed) not in _cache:
-        _cache[dims, seed] = TrigramVectors(dims, seed)
-    return _cache[dims, seed]
-
-
-def text_slices(texts: list[str | None], limit: int = 1 << 20, most: int = 512):
-    """Row ranges of about `limit` characters, one row at least."""
-    i = 0
-    while i < len(texts):
-        j, n = i, 0
-        while j < len(texts) and j - i < most and (j == i or n + len(texts[j] or "") <= limit):
-            n += len(texts[j] or "")
-            j += 1
-        yield i, j
-        i = j
+    def bundle(self, counts: np.ndarray, keys: np.ndarray, block: int = 2048) -> np.ndarray:
+        """Sum of the trigrams' vectors for each row of counts, by blocks of trigrams."""
+        out = np.zeros((len(counts), self.table.shape[1]), np.float32)
+        for k in range(0, len(keys), block):
+            out += counts[:, k : k + block] @ self.of(keys[k : k + block]).astype(np.float32)
+        return out
 
 
 def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct trigrams, a count matrix (text x trigram), and whether each text has a letter."""
     lowered = [f"\n{(t or '').lower()}\n" for t in texts]
-    size = np.array([len(t) for t in lowered])
-    codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
-    classes = letter_classes()[codes]
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), size)
-    has = np.bincount(owner, weights=classes > 0, minlength=len(texts)) > 0
-    stay = np.ones(len(classes), bool)
-    stay[1:] = (classes[1:] != 0) | (classes[:-1] != 0) | (owner[1:] != owner[:-1])
-    classes, owner = classes[stay].astype(np.int32), owner[stay]
-    inside = owner[2:] == owner[:-2]
-    key = ((classes[:-2] << 14) | (classes[1:-1] << 7) | classes[2:])[inside]
-    owner = owner[2:][inside]
-    present = np.bincount(key, minlength=CLASSES**3) > 0
-    keys = np.flatnonzero(present)
-    place = np.cumsum(present) - 1
-    flat = owner.astype(np.int64) * len(keys) + place[key]
-    counts = np.bincount(flat, minlength=len(texts) * len(keys)).reshape(len(texts), len(keys)).astype(np.float32)
+    size = np.fromiter(map(len, lowered), np.int64, len(texts))
+    classes = letter_classes()[np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")]
+    ends = np.cumsum(size)
+    letters = np.concatenate([[0], np.cumsum(classes > 0)])
+    has = letters[ends] > letters[ends - size]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int64), size)
+    stay = np.ones(len(classes), bool)  # of what is no letter, the first in a row stands for all
+    stay[1:] = (classes[1:] != 0) | (classes[:-1] != 0)
+    stay[ends - size] = True
+    classes, owner = classes[stay].astype(np.int64), owner[stay]
+    found = np.sort(((owner[2:] << 21) | (classes[:-2] << 14) | (classes[1:-1] << 7) | classes[2:])[owner[2:] == owner[:-2]])
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
+    n, found = np.diff(np.append(first, len(found))), found[first]
+    keys, place = np.unique(found & ((1 << 21) - 1), return_inverse=True)
+    counts = np.zeros((len(texts), len(keys)), np.float32)
+    counts[found >> 21, place] = n
     return keys, counts, has
 
 
-def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = 1024, seed: int = 7) -> Profiles:
+def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = 1024, seed: int = 7, most_languages: int = 4096) -> Profiles:
     """Learns one prototype for each non-null value of `lang` from all rows of docs.
 
-    Rows with a null language, null text or no letter teach nothing. What reaches the driver is one vector a language.
+    Rows with a null language, null text or no letter teach nothing. What reaches the driver is one vector a language, of the
+    `most_languages` languages with most rows (of equal ones the alphabetically first): a bound on the model, not on the rows.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
         import pyarrow as pa
 
-        vectors, sums = trigram_vectors(dims, seed), {}
+        vectors, sums, n_rows = TrigramVectors(dims, seed), {}, {}
+
+        def send():
+            for n, v in sums.items():
+                yield pa.RecordBatch.from_pydict({"lang": [n] * dims, "dim": pa.array(range(dims), pa.int32()), "v": v, "n": [n_rows[n]] * dims})
+            sums.clear()
+            n_rows.clear()
+
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            for i, j in text_slices(texts):
-                keys, counts, has = trigram_counts(texts[i:j])
+            for i, j in row_slices(batch.column("text"), SLICE, 512):
+                langs = batch.column("lang").slice(i, j - i).to_pylist()
+                keys, counts, has = trigram_counts(batch.column("text").slice(i, j - i).to_pylist())
                 if not has.any():
                     continue
-                unit = counts / np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
-                names = sorted(set(langs[i:j]))
-                member = np.array([[x == n for x in langs[i:j]] for n in names], np.float32) * has
-                for n, v in zip(names, (member @ unit) @ vectors.of(keys)):
-                    sums[n] = sums.get(n, 0) + np.rint(v.astype(np.float64) * SCALE).astype(np.int64)
-        for n, v in sums.items():
-            yield pa.RecordBatch.from_pydict({"lang": [n] * dims, "dim": pa.array(range(dims), pa.int32()), "v": v})
-
-    found = rows.mapInArrow(lean(run), "lang string, dim int, v long").groupBy("lang", "dim").agg(F.sum("v").alias("v")).collect()
-    languages = sorted({r["lang"] for r in found})
-    made = np.zeros((len(languages), dims))
-    for r in found:
-        made[languages.index(r["lang"]), r["dim"]] = r["v"] / SCALE
+                counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
+                names = sorted(set(langs))
+                member = np.array([[x == n for x in langs] for n in names], np.float32) * has
+                for n, v, k in zip(names, vectors.bundle(member @ counts, keys), member.sum(axis=1)):
+                    if k:
+                        sums[n] = sums.get(n, 0) + np.rint(v.astype(np.float64) * SCALE).astype(np.int64)
+                        n_rows[n] = n_rows.get(n, 0) + int(k)
+                if len(sums) > 512:
+                    yield from send()
+        yield from send()
+
+    sums = mapped(rows, run, "lang string, dim int, v long, n long").groupBy("lang", "dim").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    whole = sums.groupBy("lang").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("dim", "v"))).alias("vector"))  # dims entries a language
+    best = whole.orderBy(F.col("n").desc(), "lang").limit(most_languages).select("lang", F.col("vector.v").alias("v"))
+    found = sorted((r["lang"], np.array(r["v"], np.float64)) for r in best.toLocalIterator())
+    languages = [n for n, _ in found]
+    made = np.array([v for _, v in found]).reshape(len(found), dims) / SCALE
     made /= np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
     mean = made.mean(axis=0) if len(languages) > 1 else np.zeros(dims)
     made -= mean
@@ -152,27 +150,20 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dims:
     return Profiles(languages, made.astype(np.float32), mean.astype(np.float32), dims, seed)
 
 
-def predict(texts: list[str | None], model: Profiles, sharpness: float = 16.0) -> tuple[list[str], np.ndarray, np.ndarray]:
+def predict(texts: list[str | None], model: Profiles, sharpness: float = 16.0, vectors: TrigramVectors | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score (softmax of the cosines times `sharpness`) and highest cosine of each text."""
-    vectors, names, scores, cosines = trigram_vectors(model.dims, model.seed), [], [], []
-    for i, j in text_slices(texts):
-        keys, counts, has = trigram_counts(texts[i:j])
-        if not model.languages or not has.any():
-            names += ["und"] * (j - i)
-            scores.append(np.zeros(j - i))
-            cosines.append(np.zeros(j - i))
-            continue
-        v = counts @ vectors.of(keys)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-        v -= model.mean
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-        cos = (v @ model.prototypes.T).astype(np.float64)
-        best = cos.argmax(axis=1)
-        e = np.exp(sharpness * (cos - cos.max(axis=1, keepdims=True)))
-        names += [model.languages[b] if h else "und" for b, h in zip(best, has)]
-        scores.append(np.where(has, 1 / e.sum(axis=1), 0.0))
-        cosines.append(np.where(has, cos.max(axis=1), 0.0))
-    return names, np.concatenate(scores) if scores else np.zeros(0), np.concatenate(cosines) if cosines else np.zeros(0)
+    vectors = vectors or TrigramVectors(model.dims, model.seed)
+    keys, counts, has = trigram_counts(texts)
+    if not model.languages or not has.any():
+        return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    v = vectors.bundle(counts, keys)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+    v -= model.mean
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+    cos = (v @ model.prototypes.T).astype(np.float64).round(6)
+    e = np.exp(sharpness * (cos - cos.max(axis=1, keepdims=True)))
+    names = [model.languages[b] if h else "und" for b, h in zip(cos.argmax(axis=1), has)]
+    return names, np.where(has, 1 / e.sum(axis=1), 0.0), np.where(has, cos.max(axis=1), 0.0)
 
 
 ADDED = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("cosine", T.DoubleType())]
@@ -190,12 +181,18 @@ def identify(docs: DataFrame, model: Profiles, text: str = "text", keep_text: bo
     def run(batches):
         import pyarrow as pa
 
+        vectors = TrigramVectors(model.dims, model.seed)
+        kept = [f.name for f in out.fields if f.name not in names]
         for batch in batches:
-            lang, score, cosine = predict(batch.column(text).to_pylist(), model)
-            kept = [f.name for f in out.fields if f.name not in names]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(lang, pa.string()), pa.array(score), pa.array(cosine)], [*kept, *names])
-
-    return rows.mapInArrow(lean(run), out)
+            lang, score, cosine = [], [np.zeros(0)], [np.zeros(0)]
+            for i, j in row_slices(batch.column(text), SLICE, 512):
+                x, y, z = predict(batch.column(text).slice(i, j - i).to_pylist(), model, vectors=vectors)
+                lang += x
+                score.append(y)
+                cosine.append(z)
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(lang, pa.string()), pa.array(np.concatenate(score)), pa.array(np.concatenate(cosine))], [*kept, *names])
+
+    return mapped(rows, run, out)
 
 
 def fold(doc_id: str = "doc_id"):

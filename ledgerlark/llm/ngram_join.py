@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_class, components, fmix, lean, mb_slices, saved, text_bytes, words
+from .common import byte_class, components, fmix, mapped, mb_slices, saved, text_bytes, words
 
 #: A token is frequent in a task's block of about BLOCK tokens from LOCAL occurrences; all tasks know at most FREQUENT tokens.
 BLOCK, LOCAL, FREQUENT = 1_000_000, 4, 1 << 18
@@ -200,7 +200,7 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(lean(run), "kind int, doc_id long, n long, s1 long, s2 long, sketch array<long>")
+    return mapped(docs.select("doc_id", "text"), run, "kind int, doc_id long, n long, s1 long, s2 long, sketch array<long>")
 
 
 def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: int, long: bool) -> DataFrame:
@@ -251,7 +251,7 @@ def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: i
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(lean(run), "bucket int, token binary, doc binary, n binary")
+    return mapped(docs.select("doc_id", "text"), run, "bucket int, token binary, doc binary, n binary")
 
 
 LISTS = "token long, doc long, n long, length long"
@@ -278,7 +278,7 @@ def rare_lists(postings: DataFrame, buckets: int) -> DataFrame:
             x = at[k : k + 100_000]
             yield pa.RecordBatch.from_pydict({"token": token[x].view(np.int64), "doc": doc[x], "n": n[x], "length": length[of[x]]})
 
-    return postings.repartition(buckets, "bucket").mapInArrow(lean(run), LISTS)
+    return mapped(postings.repartition(buckets, "bucket"), run, LISTS)
 
 
 def long_lists(postings: DataFrame) -> DataFrame:
@@ -291,7 +291,7 @@ def long_lists(postings: DataFrame) -> DataFrame:
             for r in b.to_pylist():
                 yield pa.RecordBatch.from_pydict({"token": np.frombuffer(r["token"], "<u8").view(np.int64), "doc": np.frombuffer(r["doc"], "<i8"), "n": np.frombuffer(r["n"], "<u4").astype(np.int64)})
 
-    rows = saved(postings.mapInArrow(lean(run), "token long, doc long, n long"), "long")
+    rows = saved(mapped(postings, run, "token long, doc long, n long"), "long")
     lengths = rows.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     return rows.join(F.broadcast(lengths), "token").select("token", "doc", "n", "length")
 
@@ -355,7 +355,7 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, bro
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["query", "part", "role", "doc", "tokens"])
 
-    sets = rows.mapInArrow(lean(spread), "query long, part int, role int, doc long, tokens binary")
+    sets = mapped(rows, spread, "query long, part int, role int, doc long, tokens binary")
     sets = sets.repartition("query", "part").sortWithinPartitions("query", "part", "role")
 
     def find(batches):
@@ -392,7 +392,7 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, bro
         if links:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
 
-    return sets.mapInArrow(lean(find), "a long, b long")
+    return mapped(sets, find, "a long, b long")
 
 
 PAIRS = "doc_x long, doc_y long, n_x long, n_y long, lists long"
@@ -452,7 +452,7 @@ def pairs_of_short_lists(entries: DataFrame, percent: int, held_most: int = 400_
         if held:
             yield emit()
 
-    return entries.select("token", "doc", "n", "component").repartition("token").sortWithinPartitions("token").mapInArrow(lean(run), PAIRS)
+    return mapped(entries.select("token", "doc", "n", "component").repartition("token").sortWithinPartitions("token"), run, PAIRS)
 
 
 def pairs_of_long_lists(entries: DataFrame, base: DataFrame, percent: int) -> DataFrame:

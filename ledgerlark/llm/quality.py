@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_class, fmix, lean, mb_slices, saved, text_bytes, words
+from .common import byte_class, fmix, mapped, mb_slices, saved, text_bytes, words
 
 
 def buckets_of(raw: np.ndarray, offsets: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +41,7 @@ def fit_ratio(docs: DataFrame, is_target: str, text: str = "text", n_buckets: in
         yield pa.RecordBatch.from_pydict({"bucket": at, "raw": counts[0, at], "target": counts[1, at]})
 
     made = np.ones((2, n_buckets))
-    for r in rows.mapInArrow(lean(run), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
+    for r in mapped(rows, run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
         made[:, r["bucket"]] += r["raw"], r["target"]
     made /= made.sum(axis=1, keepdims=True)
     return np.log(made[1]) - np.log(made[0])
@@ -68,7 +68,7 @@ def score(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
                 total[i:j] = np.bincount(owner, weights=known[b], minlength=j - i)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(n), pa.array(total, mask=n == 0)], [*(f.name for f in kept), *added])
 
-    return rows.mapInArrow(lean(run), out)
+    return mapped(rows, run, out)
 
 
 def kth_largest(df: DataFrame, column: str, k: int, few: int = 10_000) -> float | None:

@@ -1,10 +1,10 @@
 """Token-id output: byte-level BPE ids, Re-Pair compressed per segment, with random access to every document.
 
-Layout of a segment (little endian): magic `RPK1`; u32 number of documents, number of rules, first rule symbol, number of
+Layout of a segment (little endian): magic `RPK2`; u32 number of documents, number of rules, first rule symbol, number of
 symbols, width of a symbol in bytes, number of ids; i64 doc ids; u8 null flags of doc ids; u32 symbols of each document;
-u32 ids of each document; u32 left, right and expansion length of each rule; the symbols. A rule's two sides are ids or
+u32 ids of each document; left, right and expansion length of each rule; the symbols. A rule's two sides are ids or
 earlier rules. No rule spans two documents, so a document is decoded from its own symbols alone, and a position inside
-it is found from the expansion lengths.
+it is found from the expansion lengths. Sides are as wide as symbols; a length is one or more of 7 bits, low ones first.
 Segments are rows of a Parquet dataset written by Spark's committer: lost executors leave no partial files.
 """
 
@@ -17,9 +17,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fmix, lean, mb_slices, ragged, text_bytes, words, work_path
+from .common import fmix, mapped, mb_slices, ragged, text_bytes, words, work_path
 
-MAGIC = b"RPK1"
+MAGIC = b"RPK2"
 SEGMENT_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
 
 
@@ -30,15 +30,15 @@ class Encoder:
     an ASCII letter and another ASCII character (after an apostrophe or white space it may), so text is cut there, and each
     distinct piece (by a 64-bit hash) is encoded once and kept. Pieces that are one word of Latin letters go to the library's
     BPE model at once, all others through its whole pipeline. Text with two spaces in a row, with a space at its end, or with
-    a special token's string is encoded in one piece.
-    """
+    a special token's string is encoded in one piece. Texts over `chunk` bytes are cut at such spaces and encoded chunk by chunk.
 
-    SLOTS = 1 << 22
+    Pieces and their ids are kept in arrays of fixed size, about `held_bytes` in all; full, they are emptied and filled anew.
+    """
 
-    def __init__(self, path: str, keep: int = 1_200_000):
+    def __init__(self, path: str, keep: int = 1 << 19, chunk: int = 1 << 18, tokenizer=None):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        self.tokenizer, self.keep, self.chunk = tokenizer or Tokenizer.from_file(path), keep, chunk
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.table = np.ones(256, bool)
         self.table[0x20] = False
@@ -51,14 +51,23 @@ class Encoder:
         self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
         probe = " Probe"
         self.direct = [t.id for t in self.tokenizer.model.tokenize(self.mapped(probe))] == self.whole(probe).tolist()
+        bits = max(8, (4 * keep - 1).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slot_hash, self.slot_row = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+        self.flat, self.begin, self.length = np.zeros(8 * keep, np.uint32), np.zeros(keep, np.int32), np.zeros(keep, np.int32)
         self.reset()
 
     def reset(self) -> None:
-        self.slot_hash = np.zeros(self.SLOTS, np.uint64)
-        self.slot_row = np.full(self.SLOTS, -1, np.int32)
-        self.flat, self.begin, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.slot_hash[:] = 0
+        self.slot_row[:] = -1
+        self.n_pieces = self.n_flat = 0
         self.crowded: dict[int, int] = {}  # pieces whose slot another one has
 
+    @property
+    def held_bytes(self) -> int:
+        """What the piece table holds at most."""
+        return sum(x.nbytes for x in (self.slot_hash, self.slot_row, self.flat, self.begin, self.length)) + 100 * len(self.crowded)
+
     def mapped(self, piece: str) -> str:
         if piece.isascii():
             return piece.replace(" ", self.alphabet[0x20])
@@ -81,38 +90,64 @@ class Encoder:
 
     def rows_of(self, keys: np.ndarray) -> np.ndarray:
         """Number of each known piece, -1 for unknown ones."""
-        slot = (keys >> np.uint64(42)).astype(np.int64)
+        slot = (keys >> self.shift).astype(np.int64)
         row = self.slot_row[slot]
         miss = np.flatnonzero((self.slot_hash[slot] != keys) | (row < 0))
         if len(miss):
-            row[miss] = [self.crowded.get(k, -1) for k in keys[miss].tolist()]
+            row[miss] = [self.crowded.get(k, -1) for k in keys[miss].tolist()] if self.crowded else -1
         return row
 
-    def learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+    def learn(self, keys: np.ndarray, pieces: list[str]) -> bool:
+        """Keeps the pieces' ids; false if there is no room for them."""
         got = self.encoded(pieces)
         size = np.array([len(x) for x in got], dtype=np.int64)
-        new = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(size.sum()))
-        rows = np.arange(len(self.begin), len(self.begin) + len(keys))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
-        self.length = np.concatenate([self.length, size])
-        self.flat = np.concatenate([self.flat, new])
-        slot = (keys >> np.uint64(42)).astype(np.int64)
+        total, at = int(size.sum()), self.n_pieces
+        if at + len(keys) > self.keep or self.n_flat + total > len(self.flat):
+            return False
+        self.flat[self.n_flat : self.n_flat + total] = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=total)
+        self.begin[at : at + len(keys)] = self.n_flat + np.cumsum(size) - size
+        self.length[at : at + len(keys)] = size
+        self.n_pieces, self.n_flat = at + len(keys), self.n_flat + total
+        rows = np.arange(at, at + len(keys))
+        slot = (keys >> self.shift).astype(np.int64)
         free = self.slot_row[slot] < 0
         slot, own, rows_free = slot[free], keys[free], rows[free]
         self.slot_hash[slot], self.slot_row[slot] = own, rows_free
         lost = np.concatenate([rows[~free], rows_free[self.slot_row[slot] != rows_free]])
-        self.crowded.update(zip(keys[lost - rows[0]].tolist(), lost.tolist()))
+        self.crowded.update(zip(keys[lost - at].tolist(), lost.tolist()))
+        return True
 
     def batch(self, column):
         """Of an Arrow column of texts, slice by slice: first row, the ids in a row, and the number of each text's; null and
         empty texts have none."""
         raw, offsets = text_bytes(column, lower=False)
-        for i, j in mb_slices(offsets):
-            yield i, *self._slice(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        for i, j in mb_slices(offsets, self.chunk):
+            own = raw[offsets[i] : offsets[j]]
+            if j == i + 1 and len(own) > self.chunk:
+                parts = [self._slice(part, np.array([0, len(part)], np.int64))[0] for part in self._chunks(own)]
+                yield i, np.concatenate(parts), np.array([sum(map(len, parts))], np.int64)
+            else:
+                yield i, *self._slice(own, offsets[i : j + 1] - offsets[i])
+
+    def _chunks(self, raw: np.ndarray):
+        """A long text in parts of about `chunk` bytes, cut before single spaces between non-spaces; where there is none, longer."""
+        at = 0
+        while at < len(raw):
+            stop, reach = at + self.chunk, 1 << 12
+            while stop < len(raw):
+                near = raw[stop - 1 : stop + reach]
+                space = near == 0x20
+                cut = np.flatnonzero(space[1:-1] & ~space[:-2] & ~space[2:])
+                if len(cut):
+                    stop += int(cut[0])
+                    break
+                stop, reach = stop + max(1, len(near) - 2), min(2 * reach, self.chunk)
+                if stop >= len(raw) - 2:
+                    stop = len(raw)
+            yield raw[at : min(stop, len(raw))]
+            at = stop
 
     def _slice(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.begin) > self.keep or len(self.flat) > 8 * self.keep:
-            self.reset()
         n = len(offsets) - 1
         space = raw == 0x20
         odd = np.zeros(n, bool)
@@ -136,12 +171,12 @@ class Encoder:
         rows = self.rows_of(keys)
         miss = np.flatnonzero(rows < 0)
         if len(miss):
-            new, first = np.unique(keys[miss], return_index=True)
-            at = miss[first]
-            self.learn(new, [data[a:b].decode() for a, b in zip((starts[at] - led[at]).tolist(), stops[at].tolist())])
-            rows[miss] = self.rows_of(keys[miss])
-        size = self.length[rows]
-        flat = self.flat[ragged(self.begin[rows], size)]
+            rows = self._learned(keys, rows, miss, data, starts - led, stops)
+            if rows is None:  # more pieces than the table can hold, even empty
+                odd[:] = True
+                rows, owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        size = self.length[rows].astype(np.int64)
+        flat = self.flat[ragged(self.begin[rows].astype(np.int64), size)]
         counts = np.bincount(owner, weights=size, minlength=n).astype(np.int64)
         if not odd.any():
             return flat, counts
@@ -155,47 +190,102 @@ class Encoder:
                 at += int(counts[d])
         return np.concatenate(parts), counts
 
-
-def repair(seq: np.ndarray, counts: np.ndarray, first_rule: int, rounds: int = 4, least: int = 8, most_rules: int = 15_000):
-    """Re-Pair in rounds: all pairs that occur `least` times or more become nonterminals, the most frequent first, up to the
-    share of the remaining rule room; then left-to-right replacement, and again on the result.
-
+    def _learned(self, keys, rows, miss, data: bytes, starts, stops):
+        """Rows of all pieces after the missing ones are learned; if the table was full, it is emptied and all are."""
+        for again in (False, True):
+            new, first = np.unique(keys[miss], return_index=True)
+            at = miss[first]
+            if self.learn(new, [data[a:b].decode() for a, b in zip(starts[at].tolist(), stops[at].tolist())]):
+                rows[miss] = self.rows_of(keys[miss])
+                return rows
+            self.reset()
+            miss = np.arange(len(keys))
+        return None
+
+
+def count_pairs(seq: np.ndarray, inside: np.ndarray, least: int):
+    """The pair of adjacent symbols at each place, whether it can be replaced there (inside a document; in a run of one symbol
+    every second place), and the pairs that can `least` times or more with that number."""
+    same = np.flatnonzero((seq[:-1] == seq[1:]) & inside)
+    if len(same):
+        run = np.concatenate([[True], np.diff(same) != 1])
+        since = np.arange(len(same)) - np.flatnonzero(run)[np.cumsum(run) - 1]
+        inside = inside.copy()
+        inside[same[since % 2 == 1]] = False
+    kind, bits = (np.uint32, 16) if seq.dtype == np.uint16 else (np.uint64, 32)
+    key = seq[:-1].astype(kind)
+    key <<= kind(bits)
+    key |= seq[1:]
+    ordered = np.sort(key[inside])
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    n = np.diff(np.append(first, len(ordered)))
+    often = n >= least
+    return key, inside, ordered[first[often]], n[often]
+
+
+def pair_bucket(key: np.ndarray) -> np.ndarray:
+    """20 bits of a multiplicative hash."""
+    if key.dtype == np.uint32:
+        return (key * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.uint32)
+
+
+#: A rule is stored in three symbols' room (two sides and a length), so it pays from four replacements.
+PAYS = 4
+
+
+def repair(seq: np.ndarray, counts: np.ndarray, first_rule: int, most_rules: int, least: int = PAYS):
+    """Re-Pair: the most frequent pairs become nonterminals, again and again, until no pair pays for its rule.
+
+    Each round takes many pairs, the most frequent first, two thirds of the room for rules at most; of pairs that overlap in
+    the text the left one is replaced, and a pair that is left with fewer than `least` replacements stays for a later round.
+    `most_rules` is the number of rules that symbols of two bytes can name, as one more would widen every symbol.
     seq: ids; counts: ids of each document. Returns symbols, symbols per document, rules (n x 2).
     """
-    seq = seq.astype(np.uint32)
-    owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    small = first_rule + most_rules <= 1 << 16
+    seq = seq.astype(np.uint16 if small else np.uint32)
+    bits = 16 if small else 32
+    end = np.zeros(len(seq), bool)  # the last symbol of each document
+    last = np.cumsum(counts)[counts > 0] - 1
+    end[last] = True
     rules: list[np.ndarray] = []
-    n_rules = 0
-    for r in range(rounds):
-        if len(seq) < 2 or n_rules >= most_rules:
-            break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-        inside = owner[:-1] == owner[1:]
-        often = np.bincount(bucket[inside], minlength=1 << 20) >= least
-        at = np.flatnonzero(inside & often[bucket])
-        mine = key[at]
-        pairs, n = np.unique(mine, return_counts=True)
-        pairs, n = pairs[n >= least], n[n >= least]
-        room = max(1, (most_rules - n_rules) // (2 if r + 1 < rounds else 1))
-        if len(pairs) > room:
-            pairs = np.sort(pairs[np.lexsort((pairs, -n))[:room]])
+    n_rules, batch = 0, most_rules
+    slot = np.full(1 << 20, -1, np.int32)
+    while len(seq) > 1 and n_rules < most_rules:
+        key, can, pairs, n = count_pairs(seq, ~end[:-1], least)
         if not len(pairs):
             break
-        found = np.minimum(np.searchsorted(pairs, mine), len(pairs) - 1)
-        hit = pairs[found] == mine
+        room = most_rules - n_rules
+        room = min(batch, room if room <= 2048 else room * 2 // 3)
+        pairs = pairs[np.lexsort((pairs, -n))[:room]]
+        bucket = pair_bucket(pairs)
+        slot[bucket[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]  # of pairs in one bucket the most frequent one goes first
+        found = slot[pair_bucket(key)]
+        slot[bucket] = -1
+        at = np.flatnonzero((found >= 0) & can)
+        found = found[at]
+        hit = pairs[found] == key[at]
         at, found = at[hit], found[hit]
-        run = np.concatenate([[True], np.diff(at) != 1])  # in a run of adjacent matches every second one can be replaced
+        run = np.concatenate([[True], np.diff(at) != 1])  # of adjacent matches every second one can be replaced
         since = np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]
         take = since % 2 == 0
         at, found = at[take], found[take]
-        seq[at] = (first_rule + n_rules + found).astype(np.uint32)
+        pays = np.bincount(found, minlength=len(pairs)) >= least
+        if not pays.any():  # all were in each other's way; the most frequent pair alone always pays
+            batch = max(1, min(batch, len(pairs)) // 4)
+            continue
+        at, found = at[pays[found]], (np.cumsum(pays) - 1)[found[pays[found]]]
+        pairs, batch = pairs[pays].astype(np.uint64), most_rules
+        seq[at] = first_rule + n_rules + found
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, owner = seq[stay], owner[stay]
-        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        end[at] = end[at + 1]
+        seq, end = seq[stay], end[stay]
+        rules.append(np.stack([pairs >> np.uint64(bits), pairs & np.uint64((1 << bits) - 1)], axis=1).astype(np.uint32))
         n_rules += len(pairs)
-    return seq, np.bincount(owner, minlength=len(counts)), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+    per_doc = np.zeros(len(counts), np.int64)
+    per_doc[counts > 0] = np.diff(np.concatenate([[-1], np.flatnonzero(end)]))
+    return seq, per_doc, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansions(rules: np.ndarray, first_rule: int) -> np.ndarray:
@@ -210,18 +300,41 @@ def expansions(rules: np.ndarray, first_rule: int) -> np.ndarray:
     return size
 
 
-def pack(doc_ids: list[int | None], ids: list[np.ndarray], first_rule: int) -> bytes:
-    """One segment; first_rule: above every id."""
-    counts = np.array([len(x) for x in ids], dtype=np.int64)
+def pack_lengths(n: np.ndarray) -> bytes:
+    """Numbers in bytes of 7 bits, low ones first; the top bit says that more follow."""
+    out, shown = [], n.astype(np.int64)
+    size = np.ones(len(n), np.int64)
+    while (more := shown >> (7 * size)).any():
+        size += more > 0
+    place = ragged(np.zeros(len(n), np.int64), size)
+    whole = np.repeat(shown, size)
+    out = ((whole >> (7 * place)) & 127) | (np.where(place < np.repeat(size, size) - 1, 128, 0))
+    return out.astype(np.uint8).tobytes()
+
+
+def unpack_lengths(raw: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+    """n numbers from the start of raw, and the bytes they take."""
+    last = np.flatnonzero(raw < 128)[:n]
+    used = int(last[-1]) + 1 if n else 0
+    first = np.concatenate([[0], last[:-1] + 1]) if n else np.zeros(0, np.int64)
+    size = last - first + 1
+    parts = (raw[:used].astype(np.int64) & 127) << (7 * ragged(np.zeros(n, np.int64), size))
+    return np.add.reduceat(parts, first) if n else np.zeros(0, np.int64), used
+
+
+def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, first_rule: int) -> bytes:
+    """One segment; ids of all documents in a row, counts of each; first_rule: above every id."""
     room = (1 << 16) - first_rule
-    symbols, per_doc, rules = repair(np.concatenate(ids), counts, first_rule, most_rules=room if room >= 4096 else 1 << 16)
-    width = 2 if first_rule + len(rules) <= 1 << 16 else 4
+    wide = room < 4096
+    symbols, per_doc, rules = repair(ids, counts, first_rule, (1 << 31) - first_rule if wide else room)
+    width = 4 if wide else 2
+    kind = f"<u{width}"
     return b"".join([
-        MAGIC, struct.pack("<6I", len(ids), len(rules), first_rule, len(symbols), width, int(counts.sum())),
+        MAGIC, struct.pack("<6I", len(counts), len(rules), first_rule, len(symbols), width, int(counts.sum())),
         np.array([x or 0 for x in doc_ids], "<i8").tobytes(), np.array([x is None for x in doc_ids], "u1").tobytes(),
         per_doc.astype("<u4").tobytes(), counts.astype("<u4").tobytes(),
-        rules[:, 0].astype("<u4").tobytes(), rules[:, 1].astype("<u4").tobytes(), expansions(rules, first_rule).astype("<u4").tobytes(),
-        symbols.astype(f"<u{width}").tobytes(),
+        rules[:, 0].astype(kind).tobytes(), rules[:, 1].astype(kind).tobytes(), pack_lengths(expansions(rules, first_rule)),
+        symbols.astype(kind).tobytes(),
     ])
 
 
@@ -243,7 +356,9 @@ class Segment:
         ids, null = read("<i8", docs), read("u1", docs)
         self.doc_ids = [None if z else int(i) for i, z in zip(ids, null)]
         self.symbols_of, self.n_tokens = read("<u4", docs), read("<u4", docs)
-        self.left, self.right, self.size = read("<u4", n_rules), read("<u4", n_rules), read("<u4", n_rules)
+        self.left, self.right = read(f"<u{width}", n_rules), read(f"<u{width}", n_rules)
+        self.size, used = unpack_lengths(np.frombuffer(blob, np.uint8, -1, at), n_rules)
+        at += used
         self.symbols = read(f"<u{width}", n)
         self.ends = np.cumsum(self.symbols_of, dtype=np.int64)
         self._flat: tuple[np.ndarray, np.ndarray] | None = None
@@ -295,15 +410,16 @@ class Segment:
         return s
 
 
-_encoders: dict[str, Encoder] = {}
+#: A worker's tokenizers, about 30 MB each; piece tables live as long as their task.
+_tokenizers: dict = {}
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, segment_ids: int = 1_000_000) -> None:
     """Encodes every text in ascending (doc_id, text) order and writes the segments to `path`.
 
     Null and empty texts are the end id alone; null doc ids come first; repeated doc ids stay as rows of their own; other
-    columns are ignored. An empty table writes a dataset without rows. One range-partitioning shuffle; a task holds one
-    segment and one Arrow batch.
+    columns are ignored. An empty table writes a dataset without rows. One range-partitioning shuffle. A task holds one Arrow
+    batch, one segment's ids and one piece table of fixed size; a segment has about `segment_ids` ids, or one longer document.
     """
     part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     part = part.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -312,31 +428,36 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = _encoders.get(tokenizer_path) or _encoders.setdefault(tokenizer_path, Encoder(tokenizer_path))
+        tokenizer = _tokenizers.get(tokenizer_path)  # loading it takes longer than a small task
+        encoder = Encoder(tokenizer_path, tokenizer=tokenizer)
+        _tokenizers[tokenizer_path] = encoder.tokenizer
         first_rule = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        end = np.array([end_id], np.uint32)
-        own, seq, ids, keys, held = TaskContext.get().partitionId(), 0, [], [], 0
+        own, seq, ids, counts, keys, held = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def segment():
+            blob = pack(keys, np.concatenate(counts), np.concatenate(ids), first_rule)
             return pa.RecordBatch.from_pydict(
-                {"part": pa.array([own], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_docs": [len(keys)], "n_ids": [held], "blob": [pack(keys, ids, first_rule)]})
+                {"part": pa.array([own], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_docs": [len(keys)], "n_ids": [held], "blob": [blob]})
 
         for batch in batches:
             own_keys = batch.column("doc_id").to_pylist()
-            for i, flat, counts in encoder.batch(batch.column("text")):
-                stops = np.cumsum(counts)
-                for key, a, b in zip(own_keys[i : i + len(counts)], stops - counts, stops):
-                    x = np.concatenate([flat[a:b], end])
-                    keys.append(key)
-                    ids.append(x)
-                    held += len(x)
-                    if held >= segment_ids:
-                        yield segment()
-                        seq, ids, keys, held = seq + 1, [], [], 0
+            for i, flat, n in encoder.batch(batch.column("text")):
+                ends = np.cumsum(n + 1) - 1
+                with_end = np.empty(len(flat) + len(n), np.uint32)
+                text = np.ones(len(with_end), bool)
+                text[ends] = False
+                with_end[text], with_end[ends] = flat, end_id
+                keys += own_keys[i : i + len(n)]
+                ids.append(with_end)
+                counts.append(n + 1)
+                held += len(with_end)
+                if held >= segment_ids:
+                    yield segment()
+                    seq, ids, counts, keys, held = seq + 1, [], [], [], 0
         if keys:
             yield segment()
 
-    part.mapInArrow(lean(run), SEGMENT_SCHEMA).write.parquet(path, compression="zstd")
+    mapped(part, run, SEGMENT_SCHEMA).write.mode("overwrite").parquet(path, compression="zstd")
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -367,7 +488,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     out["ids"] = pa.array([flat[a:b].astype(np.int64) for a, b in zip(starts, ends)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
 
-    rows = table.select("part", "seq", "blob").mapInArrow(lean(run), "part int, seq int, doc_id long, ahead long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
+    rows = mapped(table.select("part", "seq", "blob"), run, "part int, seq int, doc_id long, ahead long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
     out = rows.join(base, ["part", "seq"])
     columns = ["doc_id", (F.col("ahead") + F.col("base")).alias("start"), "n_tokens", "ids_crc32"] + (["ids"] if with_ids else [])
     return out.select(*columns)

@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from ledgerlark.llm.token_output import Encoder, Segment, default_tokenizer, op6_token_output, pack, token_output
+from ledgerlark.llm.common import work_path
+from ledgerlark.llm.token_output import (
+    PAYS, SEGMENT_SCHEMA, Encoder, Segment, default_tokenizer, op6_token_output, pack, pack_lengths, repair, token_output, unpack_lengths, write_tokens)
 
 ODD = ["don't we'll I'D ''s a's'x", 'x1y2 3z*** aODD = [ODD = [ODD = [\n\nThe end.\nNext', 'A\n\nB', 'q.\n Z', None, "", " ", "  ", "a  b", "x \n y", "x\n\n b", "a \nb", "end ", " lead", "<|endoftext|> x <|endoftext|>", "ünï 中文 😀's it's", "a  b", "\t\tq   r", "w " * 5000, "same text here"]
 
@@ -28,7 +30,7 @@ def test_pieces_equal_whole_texts():
 def test_segment_round_trip_and_random_access():
     rng = np.random.default_rng(0)
     ids = [rng.choice(30, n, p=np.arange(1, 31) / 465).astype(np.uint32) for n in (1, 700, 0, 3000, 5)]
-    s = Segment(pack([5, None, 7, 7, 9], ids, 50_260))
+    s = Segment(pack([5, None, 7, 7, 9], np.array([len(x) for x in ids]), np.concatenate(ids), 50_260))
     assert s.doc_ids == [5, None, 7, 7, 9] and len(s.left) > 3 and len(s.symbols) < 3000
     for i, x in enumerate(ids):
         assert (s.document(i) == x).all()
@@ -52,3 +54,60 @@ def test_nulls_ties_empty_and_clashing_columns(spark):
     got = token_output(spark, docs).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, 3, 3, 3] and [r.n_tokens for r in got] == [3, 1, 3, 3] and [r.start for r in got] == [0, 3, 4, 7]
     assert token_output(spark, docs.limit(0)).count() == 0
+
+
+def test_piece_table_is_bounded():
+    e = Encoder(default_tokenizer(), keep=2000)
+    before = e.held_bytes
+    texts = [" ".join(f"w{i}x{k}" for k in range(400)) for i in range(60)]
+    for _ in range(2):
+        got = [ids[a:b].tolist() + [2] for _, ids, counts in e.batch(pa.array(texts, pa.string())) for b, a in zip(np.cumsum(counts), np.cumsum(counts) - counts)]
+        assert got == brute(texts)
+    assert e.n_pieces <= 2000 and e.held_bytes <= before + 100 * 2000
+    assert Encoder(default_tokenizer()).held_bytes < 64 << 20
+
+
+def test_long_texts_are_cut_at_single_spaces():
+    rng = np.random.default_rng(1)
+    words = ["don't", "x1", "\n", "", " ", "naïve", "word.", "中文", "\t", "123", "<|endoftext|>"]
+    texts = [" ".join(rng.choice(words, 4000)), "no-space-" * 3000, "x" + " " * 9000 + "y", "a b" * 20_000, "e " * 3000]
+    e = Encoder(default_tokenizer(), chunk=1000)
+    got = [(i, ids.tolist() + [2]) for i, ids, counts in e.batch(pa.array(texts, pa.string()))]
+    assert [i for i, _ in got] == list(range(5)) and [x for _, x in got] == brute(texts)
+
+
+def test_no_pair_is_left_that_pays():
+    rng = np.random.default_rng(2)
+    ids = [rng.choice(40, n, p=np.arange(1, 41) / 820).astype(np.uint32) for n in (5000, 3, 9000)] + [np.full(999, 7, np.uint32)]
+    counts = np.array([len(x) for x in ids])
+    symbols, per_doc, rules = repair(np.concatenate(ids), counts, 50_260, 15_276)
+    assert len(rules) < 15_276 and per_doc.sum() == len(symbols)
+    owner, used = np.repeat(np.arange(len(counts)), per_doc), {}
+    k = 0
+    while k + 1 < len(symbols):  # plain count of what could still be replaced
+        if owner[k] == owner[k + 1]:
+            used.setdefault((symbols[k], symbols[k + 1]), []).append(k)
+        k += 1
+    for (a, b), at in used.items():
+        n, last = 0, -2
+        for x in at:
+            if x != last + 1 or a != b:
+                n, last = n + 1, x
+        assert n < PAYS
+    few = repair(np.concatenate(ids), counts, 50_260, 10)[2]
+    assert len(few) == 10
+
+
+def test_segments_of_the_table_are_small(spark):
+    path = work_path(spark, "small")
+    write_tokens(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), default_tokenizer(), path)
+    n, size = spark.read.schema(SEGMENT_SCHEMA).parquet(path).selectExpr("sum(n_ids)", "sum(length(blob))").first()
+    assert size < 0.6 * 2 * n
+
+
+def test_lengths_round_trip():
+    n = np.array([1, 2, 127, 128, 16_383, 16_384, 2**31, 5])
+    raw = np.frombuffer(pack_lengths(n) + b"\x01\x80", np.uint8)
+    got, used = unpack_lengths(raw, len(n))
+    assert (got == n).all() and used == len(raw) - 2
+    assert unpack_lengths(raw, 0)[1] == 0 and pack_lengths(n[:0]) == b""
