@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_class, lean, mb_slices, ragged, text_bytes, words
+from .common import byte_class, mapped, mb_slices, ragged, text_bytes, words
 
 SAMPLE = 8
 
@@ -141,20 +141,17 @@ def build_phrases(ids: list[str], texts: list[str | None], window: int) -> Phras
     symbol = symbol.astype(np.int64) + 1
     names = sorted(set(ids))
     number = {n: i for i, n in enumerate(names)}
-    rows: dict[int, list] = {}
-    for i, name in enumerate(ids):
-        own = symbol[ends[i] : ends[i + 1]]
-        size = min(window, len(own))
-        if size:
-            rows.setdefault(size, []).extend((tuple(own[k : k + size]), number[name]) for k in range(len(own) - size + 1))
+    of_item, count = np.array([number[n] for n in ids], np.int64), np.diff(ends)
     windows, item_of = {}, {}
-    for size, pairs in rows.items():
-        pairs = sorted(set(pairs))
-        distinct = sorted({p for p, _ in pairs})
-        place = {p: k for k, p in enumerate(distinct)}
-        windows[size] = np.array(distinct, np.int64).reshape(len(distinct), size)
-        where = np.array([place[p] for p, _ in pairs])
-        item_of[size] = np.array([i for _, i in pairs]), np.searchsorted(where, np.arange(len(distinct) + 1))
+    for size in np.unique(np.minimum(count[count > 0], window)).tolist():
+        own = np.flatnonzero(count == size if size < window else count >= window)
+        n = count[own] - size + 1
+        rows = symbol[ragged(ends[own], n)[:, None] + np.arange(size)].astype(np.int32)
+        as_one = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * size))).ravel()
+        _, first, which = np.unique(as_one, return_index=True, return_inverse=True)
+        pairs = np.unique(which.astype(np.int64) * len(names) + np.repeat(of_item[own], n))
+        windows[size] = rows[first]
+        item_of[size] = pairs % len(names), np.searchsorted(pairs // len(names), np.arange(len(first) + 1))
     low = np.zeros(1 << 20, bool)
     low[(vocabulary & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
     return Phrases(vocabulary, low, windows, item_of, names)
@@ -265,7 +262,7 @@ def one_pass(docs: DataFrame, phrases: Phrases, first: bool, text: str, keep_tex
                 [*(f.name for f in kept), *names])
 
     assert isinstance(cast, T.StringType)
-    return docs.mapInArrow(lean(run), out)
+    return mapped(docs, run, out)
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -279,11 +276,12 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text", keep_text: bool = True, block_chars: int = 16_000_000, shard_bytes: int = 1 << 23) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text", keep_text: bool = True, block_chars: int = 4_000_000, shard_bytes: int = 1 << 23) -> DataFrame:
     """docs with n_words, n_hit (words in any occurrence of a window), items (ids as sorted strings) and spans (merged byte ranges).
 
     Columns of these names in docs are replaced. Null and empty texts have no words. Items without id or words are ignored;
-    rows of the same item id add up. The driver holds one block of `block_chars` characters of the benchmark at a time.
+    rows of the same item id add up. The driver and every worker hold one block of `block_chars` characters of the benchmark at
+    a time, its windows as arrays of about 10 bytes a character.
     """
     known = items.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("t")).where("id is not null and t is not null")
     chars = known.agg(F.sum(F.length("t"))).first()[0] or 0
