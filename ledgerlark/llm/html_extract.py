@@ -1,6 +1,10 @@
 """Main text of web pages: site templates are removed by hashing element subtrees, counting them per host, and deleting
 those that recur on many pages of a host; then the article's blocks are joined.
 
+What is boilerplate is decided in this order: recurring subtrees (templates); elements whose tag, role or hidden state says so
+(`nav`, `footer`, role=navigation ...); outside articles, lists and boxes of links; and containers, never text blocks, whose
+class or id is made of nothing but words for such parts (`cookie-notice`, not `share-price` or `search-results-discussion`).
+
 A page is parsed into a flat element table by one regular expression; void elements, implied ends (`p`, `li`, ...), comments,
 raw text elements and unclosed tags are handled as browsers do, as far as text is concerned. The same parse serves both
 passes, so no tree leaves a task: between them only (host, subtree hash) counts are shuffled, pre-aggregated by task.
@@ -12,10 +16,11 @@ import html as html_lib
 import re
 import zlib
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lean, saved
+from .common import mapped, saved
 from .url_filter import url_host
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -36,16 +41,20 @@ ENDS = {
 }
 #: Elements that are never the article's text.
 DROPPED = frozenset("head nav footer aside form button select input menu dialog svg math canvas object audio video map".split()) | RAW
-#: Words of class, id or role that mark what is not the article's text.
+#: Roles of what is never the article's text.
+ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+#: Words for such parts in a class or id, and words that may stand beside them.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertisements adbox adslot sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar rail related recommended "
+    "ad ads advert adverts advertisement advertisements sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar rail related recommended "
     "notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social comment comments disqus respond reply replies pagination pager "
-    "toolbar widget widgets complementary contentinfo search skip".split())
-#: Beside these, `header` marks the article's own heading.
-OWN = frozenset("article post entry content story".split())
+    "toolbar widget widgets skip".split())
+NEUTRAL = frozenset("page site main top bottom left right box slot wrapper container area block list section bar inner outer unit links the".split())
 #: Marks that hold for `article` elements too: comments and adverts are often articles of their own.
 NESTED = frozenset("ad ads advert advertisement promo sponsored related comment comments reply replies".split())
-TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption caption article main body html".split())
+#: Blocks of text: inside an article they are neither templates nor marked by a class or id, whatever it says.
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption caption".split())
+NEVER = frozenset("html head body article main".split())
+LINK_BOXES = frozenset("ul ol menu div section table dl p".split())
 ROOTS = ("article", "main")
 
 
@@ -132,32 +141,69 @@ class Page:
     @staticmethod
     def _is_marked(name: str, attributes: str) -> bool:
         for m in ATTRIBUTE.finditer(attributes):
-            key = (m[1] or m[3]).lower()
-            if key == "hidden" or key == "aria-hidden" and "true" in (m[2] or ""):
+            key, value = (m[1] or m[3]).lower(), (m[2] or "").strip("\"'")
+            if key == "hidden" or key == "aria-hidden" and "true" in value:
+                return True
+            if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 return True
-            if key in ("class", "id", "role") and name not in ("html", "body", "main"):
-                said = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", (m[2] or "").strip("\"'")).lower()))
-                if said & (NESTED if name == "article" else MARKS - {"header"} if said & OWN else MARKS):
-                    return True
-            if key == "style" and re.search(r"display\s*:\s*none", m[2] or "", re.I):
+            if name in ("html", "body", "main"):
+                continue
+            if key == "role" and value.strip().lower() in ROLES:
                 return True
+            if key in ("class", "id") and name not in TEXT_BLOCKS:
+                for one in value.split():
+                    said = {w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower()) if w}
+                    if said & (NESTED if name == "article" else MARKS) and said <= MARKS | NEUTRAL:
+                        return True
         return False
 
-    def root(self) -> int:
-        """The article: of the unmarked `article` (else `main`) elements the one with most text; else the body, else all."""
+    def roots(self, hidden: list[bool]) -> list[int]:
+        """The article: of the `article` elements that aren't inside another one, the largest and its siblings; the `main` around
+        them, if most of its text is outside them; without an article `main`, else the body, else all."""
         size = [0] * (len(self.tag) + 1)
         for e, text in self.runs:
-            if text:
-                size[e] += len(text)
+            if text and not hidden[e]:
+                size[e] += len(text.strip())
         total = [0]
         for n in size:
             total.append(total[-1] + n)
-        hidden = self._hidden(frozenset())
-        for name in ROOTS:
-            found = [e for e in range(1, len(self.tag)) if self.tag[e] == name and not hidden[e]]
-            if found:
-                return max(found, key=lambda e: (total[self.last[e]] - total[e], -e))
-        return next((e for e in range(1, len(self.tag)) if self.tag[e] == "body"), 0)
+        weight = lambda e: total[self.last[e]] - total[e]
+        mains = [e for e in range(1, len(self.tag)) if self.tag[e] == "main" and not hidden[e]]
+        articles = [e for e in range(1, len(self.tag)) if self.tag[e] == "article" and not hidden[e] and not any(self.tag[a] == "article" for a in self._above(e))]
+        if articles:
+            best = max(articles, key=lambda e: (weight(e), -e))
+            found = [e for e in articles if self.parent[e] == self.parent[best]]
+            around = next((a for a in self._above(best) if self.tag[a] == "main"), None)
+            if around is not None and 2 * sum(map(weight, found)) < weight(around):
+                return [around]
+            return found
+        if mains:
+            return [max(mains, key=lambda e: (weight(e), -e))]
+        return [next((e for e in range(1, len(self.tag)) if self.tag[e] == "body"), 0)]
+
+    def link_boxes(self, inside: list[bool]) -> set[int]:
+        """Outside articles: lists and boxes with three links or more whose text is links for four fifths at least."""
+        text, linked, links = ([0] * len(self.tag) for _ in range(3))
+        in_link = [False]
+        for e in range(1, len(self.tag)):
+            in_link.append(in_link[self.parent[e]] or self.tag[e] == "a")
+        for e, run in self.runs:
+            if run and self.tag[e] not in RAW:
+                n = len(run.strip())
+                text[e] += n
+                linked[e] += n if in_link[e] else 0
+        for e in range(len(self.tag) - 1, 0, -1):
+            p = self.parent[e]
+            text[p] += text[e]
+            linked[p] += linked[e]
+            links[p] += links[e] + (self.tag[e] == "a")
+        return {e for e in range(1, len(self.tag)) if self.tag[e] in LINK_BOXES and not inside[e] and links[e] >= 3 and 5 * linked[e] >= 4 * text[e] > 0}
+
+    def _inside(self) -> list[bool]:
+        inside = [False]
+        for e in range(1, len(self.tag)):
+            inside.append(inside[self.parent[e]] or self.tag[e] in ROOTS)
+        return inside
 
     def _hidden(self, deleted: frozenset[int] | set[int]) -> list[bool]:
         hidden = [False]
@@ -174,12 +220,10 @@ class Page:
             yield e
 
     def subtrees(self) -> dict[int, int]:
-        """Hash of each candidate subtree: tag, attributes, text and all below. Inside the article only containers are
-        candidates, so a sentence that many articles share is no template."""
+        """Hash of each candidate subtree: tag, attributes, text and all below. Inside an article only containers are
+        candidates, so a sentence that many articles share is no template; outside all elements are."""
         parts: list[list[str]] = [[] for _ in self.tag]
-        inside = [False]
-        for e in range(1, len(self.tag)):
-            inside.append(inside[self.parent[e]] or self.tag[e] in ROOTS)
+        inside = self._inside()
         for e, text in self.runs:
             if text is not None and (t := SPACE.sub(" ", text).strip()):
                 parts[e].append(t)
@@ -197,16 +241,19 @@ class Page:
             if p > 0:
                 hashes[p] = (hashes.get(p, 0) * 0x100000001B3 + value) & 0xFFFFFFFFFFFFFFFF
                 length[p] += length[e]
-        return {e: h for e, h in hashes.items() if length[e] and self.tag[e] not in TEXT_BLOCKS | RAW and not (inside[e] and self.tag[e] not in BLOCKS) and self.tag[e] != "head"}
+        return {e: h for e, h in hashes.items() if length[e] and self.tag[e] not in RAW | NEVER and not (inside[e] and (self.tag[e] in TEXT_BLOCKS or self.tag[e] not in BLOCKS))}
 
     def text(self, deleted: frozenset[int] | set[int] = frozenset()) -> str:
         """Blocks of the article in page order, without marked elements and deleted subtrees."""
-        root = self.root()
-        hidden = self._hidden(deleted)
-        first, last = root, self.last[root]
+        gone = {*deleted, *self.link_boxes(self._inside())}
+        hidden = self._hidden(gone)
+        roots = self.roots(hidden)
+        kept = [False] * len(self.tag)
+        for r in roots:
+            kept[r : self.last[r]] = [True] * (self.last[r] - r)
         blocks, run = [], []
         for e, text in self.runs:
-            if not first <= e < last and e != root:
+            if not kept[e]:
                 if run and text is None:
                     blocks.append("".join(run))
                     run = []
@@ -214,7 +261,7 @@ class Page:
             if text is None:
                 blocks.append("".join(run))
                 run = []
-            elif not hidden[e] or root == 0 and e == 0:
+            elif not hidden[e] or roots == [0] and e == 0:
                 run.append(html_lib.unescape(text))
         blocks.append("".join(run))
         return " ".join(b for b in (SPACE.sub(" ", x).strip() for x in blocks) if b)
@@ -224,44 +271,60 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def page_hash(source: str | None) -> int:
+    own = (source or "").encode("utf-8", "replace")
+    return signed(zlib.crc32(own) | zlib.adler32(own) << 32)
+
+
 def template_counts(pages: DataFrame, html: str = "html", most: int = 10) -> DataFrame:
-    """(host, subtree, pages_with): on how many different pages of the host a subtree occurs, counted up to `most`. Tasks send
-    up to `most` page hashes of a subtree; copies of a page are one page, else its text would be a template of its copies."""
+    """(site, subtree, pages_with): on how many different pages of a site a subtree occurs. A task sends up to `most` pages of a
+    subtree, which is all that has to be known; copies of a page are one page, else its text would be a template of its copies."""
 
     def run(batches):
         import pyarrow as pa
 
+        seen: dict[tuple[int, int], set[int]] = {}
+
+        def send():
+            rows = [(*k, p) for k, met in seen.items() for p in met]
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] or [pa.array([], pa.int64())] * 3, ["site", "subtree", "page"])
+
         for batch in batches:
-            seen: dict[tuple[str, int], set[int]] = {}
-            for host, source in zip(batch.column("host").to_pylist(), batch.column(html)):
-                own = (source.as_py() or "").encode("utf-8", "replace")
-                page = signed(zlib.crc32(own) | zlib.adler32(own) << 32)
-                for h in set(Page(source.as_py()).subtrees().values()):
-                    if len(met := seen.setdefault((host, h), set())) < most:
+            for site, source in zip(batch.column("site").to_pylist(), batch.column(html)):
+                source = source.as_py()
+                page = page_hash(source)
+                for h in set(Page(source).subtrees().values()):
+                    if len(met := seen.setdefault((site, signed(h)), set())) < most:
                         met.add(page)
-            yield pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in seen], pa.string()), "subtree": pa.array([signed(k[1]) for k in seen], pa.int64()), "met": pa.array([list(v) for v in seen.values()], pa.list_(pa.int64()))})
+            if len(seen) > 50_000:
+                yield send()
+        yield send()
+
+    met = mapped(pages.select("site", html), run, "site long, subtree long, page long").distinct()
+    return met.groupBy("site", "subtree").agg(F.count("*").alias("pages_with"))
+
 
-    met = F.size(F.array_distinct(F.flatten(F.collect_list("met"))))
-    return pages.select("host", html).mapInArrow(lean(run), "host string, subtree long, met array<long>").groupBy("host", "subtree").agg(F.least(met, F.lit(most)).alias("pages_with"))
+def find_templates(rows: DataFrame, html: str, least_pages: int, share: float) -> DataFrame:
+    """(site, subtree) of the templates of rows (site, html), as a written table."""
+    sizes = rows.select("site", F.xxhash64(html).alias("page")).distinct().groupBy("site").agg(F.count("*").alias("pages"))
+    counted = template_counts(rows, html, max(2, least_pages)).where("pages_with >= 2")
+    wanted = F.least(F.lit(least_pages), F.greatest(F.lit(2), F.ceil(share * F.col("pages"))))
+    return saved(counted.join(sizes, "site").where(F.col("pages_with") >= wanted).select("site", "subtree"), "templates")
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, share: float = 0.5, most_templates: int = 200_000) -> DataFrame:
+def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, share: float = 0.5, most_templates: int = 1_000_000, templates: bool = True) -> DataFrame:
     """pages (without html) with text and n_chars; columns of these names are replaced.
 
-    A subtree outside the article, or a container inside it, is a site template if it occurs on `least_pages` different pages of
+    A subtree outside articles, or a container inside one, is a site template if it occurs on `least_pages` different pages of
     its host, however large; on a host too small for that, on `share` of its different pages, two at least. Null html is empty;
-    without any text the result is an empty string. Pages without a host form one host. Templates are broadcast up to
-    `most_templates` of them; beyond, each page gets those of its host by a join on (host, hashed page part), so a large host is
-    spread.
+    without any text the result is an empty string. Pages without a host form one host. Up to `most_templates` templates (16
+    bytes each) are broadcast; beyond, each page's own subtrees are joined with them, in rows of their own, so neither a
+    large host nor a template that is on all of its pages meets in one task. templates=False leaves that step out.
     """
     added = ["text", "n_chars"]
     names = [c for c in pages.columns if c not in added]
-    rows = pages.select(*names, url_host(F.col(url)).alias("__host"))
-    sizes = rows.select(F.col("__host").alias("host"), F.xxhash64(html)).distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    counted = template_counts(rows.select(F.col("__host").alias("host"), html), html, max(2, least_pages)).where("pages_with >= 2")
-    wanted = F.least(F.lit(least_pages), F.greatest(F.lit(2), F.ceil(share * F.col("pages"))))
-    templates = saved(counted.join(sizes, "host").where(F.col("pages_with") >= wanted).select("host", "subtree"), "templates")
-    n = templates.count()
+    rows = pages.select(*names, F.xxhash64(url_host(F.col(url))).alias("__site"), F.col(html).cast("string").alias("__html"))
     kept = [f for f in rows.schema.fields if f.name in names and f.name != html]
     schema = pages.select(*(f.name for f in kept)).schema.add("text", "string").add("n_chars", "long")
 
@@ -269,31 +332,64 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages:
         import pyarrow as pa
 
         texts = []
-        for i, source in enumerate(batch.column(html)):
-            page, known = Page(source.as_py()), of_row(i)
-            gone = {e for e, h in page.subtrees().items() if signed(h) in known} if known else frozenset()
-            texts.append(page.text(gone))
+        for i, source in enumerate(batch.column("__html")):
+            page = Page(source.as_py())
+            texts.append(page.text(of_row(i, page)))
         return pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*(f.name for f in kept), *added])
 
-    if n <= most_templates:
-        held: dict[str, set[int]] = {}
-        for r in templates.collect():
-            held.setdefault(r["host"], set()).add(r["subtree"])
+    sited = rows.select(F.col("__site").alias("site"), F.col("__html").alias("html"))
+    found = find_templates(sited, "html", least_pages, share) if templates else None
+    if found is None or found.count() <= most_templates:
+        held = np.array([(r["site"], r["subtree"]) for r in found.collect()] if found is not None else [], np.int64).reshape(-1, 2)
+        held = held[np.lexsort((held[:, 1], held[:, 0]))]
         shared = pages.sparkSession.sparkContext.broadcast(held)
 
         def run(batches):
+            sites, trees = shared.value[:, 0], shared.value[:, 1]
+            own: dict[int, frozenset[int]] = {}  # of the sites of one batch
             for batch in batches:
-                hosts = batch.column("__host").to_pylist()
-                yield emit(batch, lambda i: shared.value.get(hosts[i], frozenset()))
+                own.clear()
+                of = batch.column("__site").to_pylist()
+
+                def gone(i, page, of=of):
+                    a, b = np.searchsorted(sites, of[i], "left"), np.searchsorted(sites, of[i], "right")
+                    if a == b:
+                        return frozenset()
+                    known = own.get(of[i])
+                    if known is None:
+                        known = own[of[i]] = frozenset(trees[a:b].tolist())
+                    return {e for e, h in page.subtrees().items() if signed(h) in known}
+
+                yield emit(batch, gone)
 
-        return rows.mapInArrow(lean(run), schema)
-    lists = templates.groupBy("host").agg(F.collect_list("subtree").alias("__known"))
+        return mapped(rows, run, schema)
+
+    def subtrees(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = [(site, a, b, signed(h)) for site, a, b, source in zip(*(batch.column(c).to_pylist() for c in ("site", "a", "b", "html"))) for h in set(Page(source).subtrees().values())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)] or [pa.array([], pa.int64())] * 4, ["site", "a", "b", "subtree"])
+
+    keys = [F.xxhash64(F.lit(k), "__site", "__html").alias(f"__{k}") for k in "ab"]  # a page is named by its content
+    rows = rows.withColumns({"__a": keys[0], "__b": keys[1]})
+    spread = 16  # a template of a third of all pages is dealt to so many tasks, beyond what Spark splits by itself
+    own = mapped(rows.select(F.col("__site").alias("site"), F.col("__a").alias("a"), F.col("__b").alias("b"), F.col("__html").alias("html")), subtrees, "site long, a long, b long, subtree long")
+    own = own.distinct().withColumn("salt", F.pmod("a", F.lit(spread)))
+    salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)).cast("array<long>")))
+    known = own.join(salted, ["site", "subtree", "salt"]).groupBy(F.col("a").alias("__a"), F.col("b").alias("__b")).agg(F.collect_set("subtree").alias("__known"))  # a page's own subtrees
 
     def run_joined(batches):
         for batch in batches:
-            yield emit(batch, lambda i: set(batch.column("__known")[i].as_py() or ()))
+            lists = batch.column("__known")
+
+            def gone(i, page, lists=lists):
+                known = set(lists[i].as_py() or ())
+                return {e for e, h in page.subtrees().items() if signed(h) in known} if known else frozenset()
+
+            yield emit(batch, gone)
 
-    return rows.join(lists.withColumnRenamed("host", "__host"), "__host", "left").mapInArrow(lean(run_joined), schema)
+    return mapped(rows.join(known, ["__a", "__b"], "left"), run_joined, schema)
 
 
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
