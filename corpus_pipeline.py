@@ -71,7 +71,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = work_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
