@@ -35,10 +35,13 @@ class Encoder:
     Pieces and their ids are kept in arrays of fixed size, about `held_bytes` in all; full, they are emptied and filled anew.
     """
 
-    def __init__(self, path: str, keep: int = 1 << 19, chunk: int = 1 << 18, tokenizer=None):
+    def __init__(self, path: str, keep: int = 1 << 18, chunk: int = 1 << 18):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would take those of others
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.chunk = tokenizer or Tokenizer.from_file(path), keep, chunk
+        self.tokenizer, self.keep, self.chunk = Tokenizer.from_file(path), keep, chunk
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.table = np.ones(256, bool)
         self.table[0x20] = False
@@ -410,10 +413,6 @@ class Segment:
         return s
 
 
-#: A worker's tokenizers, about 30 MB each; piece tables live as long as their task.
-_tokenizers: dict = {}
-
-
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, segment_ids: int = 1_000_000) -> None:
     """Encodes every text in ascending (doc_id, text) order and writes the segments to `path`.
 
@@ -428,9 +427,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        tokenizer = _tokenizers.get(tokenizer_path)  # loading it takes longer than a small task
-        encoder = Encoder(tokenizer_path, tokenizer=tokenizer)
-        _tokenizers[tokenizer_path] = encoder.tokenizer
+        encoder = Encoder(tokenizer_path)  # not kept between tasks: its 80 MB would count in every later stage of the worker
         first_rule = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         own, seq, ids, counts, keys, held = TaskContext.get().partitionId(), 0, [], [], [], 0
 
