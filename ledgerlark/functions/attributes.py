@@ -40,22 +40,36 @@ def entity_id(uri: Column) -> Column:
 
 # Output column and the path of its attribute.
 PATHS = {
-    "matched_mmhid": "MMHID", "matched_dba_name": "DoingBusinessAsName", "matched_mmh_name": "Name", "matched_street_address": "Address value AddressLine1", "matched_city": "Address value City",
-    "matched_postal_code": "Address value PostalCode value PostalCode", "matched_country": "Address value Country", "matched_industry": "Industry value Code value", "matched_url": "URL value URLValue value",
-    "matched_mmc_code": "MCC_Code value Code lookupCode", "matched_naics": "NAICS value Code lookupCode", "matched_clearing_last_seen_date": "CLEARING_LAST_SEEN_DATE value",
-    "matched_auth_last_seen_date": "AUTH_LAST_SEEN_DATE value", "matched_zi_c_last_updated_date": "ZI_C_LAST_UPDATED_DATE value", "matched_agg_merch_id": "AggrMerchID", "matched_agg_merch_name": "AggrMerchName",
-    "matched_parent_agg_merch_id": "ParentAggrMerchID", "matched_parent_agg_merch_name": "ParentAggregateMerchantName", "matched_region_code": "Address value FinanceRegioncode lookupRawValue",
-    "matched_region_name": "Address value RegionName value",
+    "matched_mmhid": ("MMHID",),
+    "matched_dba_name": ("DoingBusinessAsName",),
+    "matched_mmh_name": ("Name",),
+    "matched_street_address": ("Address", "value", "AddressLine1",),
+    "matched_city": ("Address", "value", "City",),
+    "matched_postal_code": ("Address", "value", "PostalCode", "value", "PostalCode",),
+    "matched_country": ("Address", "value", "Country",),
+    "matched_industry": ("Industry", "value", "Code", "value",),
+    "matched_url": ("URL", "value", "URLValue", "value",),
+    "matched_mmc_code": ("MCC_Code", "value", "Code", "lookupCode",),
+    "matched_naics": ("NAICS", "value", "Code", "lookupCode",),
+    "matched_clearing_last_seen_date": ("CLEARING_LAST_SEEN_DATE", "value",),
+    "matched_auth_last_seen_date": ("AUTH_LAST_SEEN_DATE", "value",),
+    "matched_zi_c_last_updated_date": ("ZI_C_LAST_UPDATED_DATE", "value",),
+    "matched_agg_merch_id": ("AggrMerchID",),
+    "matched_agg_merch_name": ("AggrMerchName",),
+    "matched_parent_agg_merch_id": ("ParentAggrMerchID",),
+    "matched_parent_agg_merch_name": ("ParentAggregateMerchantName",),
+    "matched_region_code": ("Address", "value", "FinanceRegioncode", "lookupRawValue",),
+    "matched_region_name": ("Address", "value", "RegionName", "value",),
 }
 
 
 def entity_attributes(json: Column) -> list[Column]:
     """All attributes a match carries over."""
-    get = lambda path: attribute(json, *path.split())
-    country = get("Address value Country lookupCode")
+    get = lambda *path: attribute(json, *path)
+    country = get("Address", "value", "Country", "lookupCode")
     iso3 = F.coalesce(F.get_json_object(json, "$.Address[0].value['ISO3166-3'][0].value"), F.lit(""))
     return [
-        *(get(p).alias(name) for name, p in PATHS.items()), sic8(json).alias("matched_sic"), normalize_state(get("Address value StateProvince"), get("Address value Country")).alias("matched_state"),
+        *(get(*p).alias(name) for name, p in PATHS.items()), sic8(json).alias("matched_sic"), normalize_state(get("Address", "value", "StateProvince"), get("Address", "value", "Country")).alias("matched_state"),
         F.when(iso3 != "", iso3).otherwise(country).alias("matched_country_cd")]
 
 
@@ -69,3 +83,26 @@ def entity_request(supplier_id: Column, name: Column, street: Column, city: Colu
 
 def filled_text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
+
+
+def match_response(json: Column, supplier_id: Column, request_hash: Column) -> list[Column]:
+    """Columns of one row of a match service's answer: the first entity under the best rule, its attributes, score and rule;
+    empty attributes and N where there is none. What isn't JSON reads as an empty answer."""
+    best = best_rule(F.from_json(F.get_json_object(json, "$.relevance"), "map<string,map<string,double>>"))
+    by_rule = F.from_json(F.get_json_object(json, "$.object"), "map<string,string>")
+    entity = F.get_json_object(F.try_element_at(by_rule, best["rule"]), "$[0]")
+    found = entity_id(F.get_json_object(entity, "$.uri"))
+    attributes = F.coalesce(F.get_json_object(entity, "$.attributes"), F.lit("{}"))
+    return [
+        filled_text(supplier_id).alias("supplier_id"), found.alias("entity_id"), *entity_attributes(attributes), best["score"].alias("matched_score"), best["rule"].alias("matched_rule"),
+        F.when(found != "", "Y").otherwise("N").alias("successful"), filled_text(request_hash).alias("request_hash")]
+
+
+def search_results(json: Column) -> Column:
+    """The entities of a search service's answer as an array of JSON texts: under `entities`, or the answer itself if it is a list."""
+    return F.coalesce(F.from_json(F.get_json_object(json, "$.entities"), "array<string>"), F.from_json(json, "array<string>"), F.array().cast("array<string>"))
+
+
+def search_entity(json: Column) -> list[Column]:
+    """Id and attributes of one entity of search_results()."""
+    return [entity_id(F.get_json_object(json, "$.uri")).alias("entity_id"), *entity_attributes(F.coalesce(F.get_json_object(json, "$.attributes"), F.lit("{}")))]

@@ -77,6 +77,17 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(None).cast("double")).when(both == 0, 0.0).otherwise(dot / both)
 
 
+def unit(a: Column) -> Column:
+    """The vector over its length; null for a null or zero one."""
+    norm = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return F.when(norm > 0, F.transform(a, lambda x: x.cast("double") / norm))
+
+
+def dot(a: Column, b: Column) -> Column:
+    """Inner product; of unit vectors their cosine."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
 def best_name(legal_score: Column, other_score: Column, legal: Column, other: Column) -> Column:
     """The legal name if its score is strictly higher, else the other."""
     return F.when(legal_score > other_score, legal).otherwise(other)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import base62_8, best_name, cosine
+from ..functions.scalar import base62_8, best_name, cosine, dot, unit
 from ..functions.text import normalize_text
 from ..schemas import require_columns
 
@@ -52,14 +52,21 @@ def with_cluster(rows: DataFrame, model, vector: str, name: str) -> DataFrame:
 
 
 def cluster_pairs(rows: DataFrame, source: DataFrame, cluster: str = "input_cluster_id") -> DataFrame:
-    """Rows beside the source rows whose legal or other cluster is theirs: an equi-join on the exploded distinct clusters."""
+    """Rows beside the source rows whose legal or other cluster is theirs: an equi-join on the exploded distinct clusters. Unit
+    vectors are made once a row, before it meets its partners."""
+    rows = rows.withColumn("in_unit", unit(F.col("in_emb")))
+    source = source.withColumns({"ln_unit": unit(F.col("ln_emb")), "mn_unit": unit(F.col("mn_emb"))})
     spread = source.withColumn("__c", F.explode(F.array_distinct(F.array_compact(F.array("legal_cluster_id", "merchant_cluster_id")))))
     return rows.join(spread, rows[cluster] == spread["__c"]).drop("__c")
 
 
 def best_matches(pairs: DataFrame, least: float = 0.60, top: int = 1) -> DataFrame:
     """The `top` best source rows of each supplier by the higher cosine of both names, from `least` on; ties by entity_id."""
-    scored = pairs.withColumn("legal_name_score", cosine(F.col("in_emb"), F.col("ln_emb"))).withColumn("merchant_name_score", cosine(F.col("in_emb"), F.col("mn_emb")))
+    if "in_unit" in pairs.columns:  # of cluster_pairs()
+        score = {n: F.when(F.size("in_emb") == F.size(f"{u}_emb"), F.coalesce(dot(F.col("in_unit"), F.col(f"{u}_unit")), F.lit(0.0))) for n, u in (("legal_name_score", "ln"), ("merchant_name_score", "mn"))}
+    else:
+        score = {n: cosine(F.col("in_emb"), F.col(u)) for n, u in (("legal_name_score", "ln_emb"), ("merchant_name_score", "mn_emb"))}
+    scored = pairs.withColumns(score).drop("in_unit", "ln_unit", "mn_unit")
     scored = scored.withColumn("matched_score", F.greatest("legal_name_score", "merchant_name_score")).where(F.col("matched_score") >= least)
     scored = scored.withColumn("best_match_name", best_name(F.col("legal_name_score"), F.col("merchant_name_score"), F.col("legal_name"), F.col("merchant_name")))
     w = Window.partitionBy("supplier_id").orderBy(F.col("matched_score").desc(), "entity_id")

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import address_similarity, boost, name_similarity
-from ..functions.text import cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_text, postal_match, remove_special
+from ..functions.text import (
+    cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_rows, normalize_text, postal_match, remove_special, request_hash, resolve_country)
 
 #: A name is fuzzily equal from this token-sort ratio.
 FUZZY = 0.80
@@ -199,3 +200,22 @@ def hybrid_match(rows: DataFrame, entities: DataFrame, cache: DataFrame, as_of:
     columns = ["row_id", "entity_id", "matched_score", "matched_rule", "request_hash"]
     results = hits.select(*columns).unionByName(found.select(*columns)).withColumn("successful", F.when(filled(F.col("entity_id")) != "", "Y").otherwise("N"))
     return results, found.where(F.col("entity_id").isNotNull()).select("request_hash", "entity_id", "matched_score", "matched_rule")
+
+
+REQUEST = ("norm_supplier_name", "norm_street_address", "norm_city", "norm_state", "norm_postal_code", "norm_country")
+
+
+def match_suppliers(rows: DataFrame, entities: DataFrame, cache: DataFrame, names: DataFrame, aliases: DataFrame, as_of: str, days: int = 7, least: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """hybrid_match() from raw supplier rows: countries resolved, fields normalised, hash and row_id made of them. Rows that read
+    the same once normalised are asked once; results come back for every row, by supplier_id. least: only matches from this
+    score on count, the others read as unmatched."""
+    ready = normalize_rows(resolve_country(rows, "country", names, aliases)).withColumn("request_hash", request_hash(*map(F.col, REQUEST))).withColumn("row_id", F.col("request_hash"))
+    asked = ready.dropDuplicates(["request_hash"])
+    results, fresh = hybrid_match(asked, entities, cache, as_of, days)
+    if least is not None:
+        good = accept(results, least).select("row_id").withColumn("__good", F.lit(True))
+        results = results.join(good, "row_id", "left").select(
+            "row_id", F.when(F.col("__good"), F.col("entity_id")).otherwise("").alias("entity_id"), F.when(F.col("__good"), F.col("matched_score")).otherwise(0.0).alias("matched_score"), "matched_rule", "request_hash",
+            F.when(F.col("__good"), "Y").otherwise("N").alias("successful"))
+    back = results.select("request_hash", "entity_id", "matched_score", "matched_rule", "successful")
+    return ready.select("supplier_id", "request_hash").join(back, "request_hash"), fresh

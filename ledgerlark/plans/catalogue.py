@@ -224,9 +224,9 @@ def clearing_missing_days(spark, d):
 
 
 def entity_rows(spark, d):
-    c = table(spark, d, "customer").where("c_custkey % 4 = 0")
+    c = table(spark, d, "customer")
     ids = F.when(F.col("c_custkey") % 8 == 0, F.array((F.col("c_custkey") % 50).cast("string"), F.lit("x"))).otherwise(F.array((F.col("c_custkey") % 50).cast("string")))
-    return c.where("c_custkey <= 100").select(F.concat(F.lit("E"), "c_custkey").alias("entity_id"), (F.col("c_nationkey") % 10).cast("string").alias("mcc_code"), ids.alias("mmh_id"), F.concat((F.col("c_custkey") % 3 + 1).cast("string")).alias("region_code"))
+    return c.select(F.concat(F.lit("E"), "c_custkey").alias("entity_id"), (F.col("c_nationkey") % 10).cast("string").alias("mcc_code"), ids.alias("mmh_id"), F.concat((F.col("c_custkey") % 3 + 1).cast("string")).alias("region_code"))
 
 
 def location_rows(spark, d):
@@ -235,7 +235,7 @@ def location_rows(spark, d):
 
 FEATURE_SQL = CLEARING_SQL + """,
 loc AS (SELECT range AS id, range + CASE WHEN range % 5 = 0 THEN 1 ELSE 0 END AS mmh, range % 2 + 1 AS region FROM range(50)),
-ent AS (SELECT 'E' || c_custkey AS entity_id, c_custkey % 50 AS mmh, c_custkey % 3 + 1 AS region FROM customer WHERE c_custkey % 4 = 0 AND c_custkey <= 100),
+ent AS (SELECT 'E' || c_custkey AS entity_id, c_custkey % 50 AS mmh, c_custkey % 3 + 1 AS region FROM customer),
 txn AS (SELECT clr.*, ent.entity_id FROM clr JOIN loc ON clr.loc = loc.id AND CAST(clr.region AS INTEGER) = loc.region LEFT JOIN ent ON loc.mmh = ent.mmh AND loc.region = ent.region),
 feat AS (
   SELECT entity_id, region, round(sum(CASE WHEN process_date >= '2024-01-21' THEN amt ELSE 0 END), 2) AS value_90, sum(CASE WHEN process_date >= '2024-01-21' THEN cnt ELSE 0 END) AS vol_90,
@@ -287,7 +287,7 @@ bin AS (SELECT i - 1 AS bin_idx, CASE WHEN i = 1 THEN '-Infinity'::DOUBLE ELSE l
 
 
 def percentile_bins(spark, d):
-    return bins.bin_table(price_quantiles(spark, d)).where("bin_idx between 1 and 98").select(F.col("bin_idx").cast("long").alias("bin_idx"), "prev_hi", "hi", F.round("pct_lower", 2).alias("pct_lower"))
+    return bins.bin_table(price_quantiles(spark, d)).select(F.col("bin_idx").cast("long").alias("bin_idx"), *(F.when(F.abs(c) != float("inf"), F.col(c)).alias(c) for c in ("prev_hi", "hi")), F.round("pct_lower", 2).alias("pct_lower"))
 
 
 def bin_score(spark, d):
@@ -365,6 +365,34 @@ def json_attrs(spark, d):
     return rows.select("c_custkey", "matched_mmh_name", "matched_city", "matched_state", "matched_sic", "matched_dba_name")
 
 
+def response_json(spark, d):
+    """Customers as answers of a match service: even ones with two rules of two entities, those divisible by 5 without any."""
+    c = entity_json(table(spark, d, "customer")).withColumn("uri", F.concat(F.lit("entities/E"), "c_custkey"))
+    entity = F.concat(F.lit('{"uri":"'), F.col("uri"), F.lit('","attributes":'), F.col("json"), F.lit("}"))
+    other = F.lit('{"uri":"entities/other","attributes":{}}')
+    second = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit(',"r2":{"u2":'), (F.col("c_custkey") % 7 / 10).cast("string"), F.lit("}"))).otherwise("")
+    objects = F.concat(F.lit('{"r1":['), entity, F.lit(","), other, F.lit('],"r2":['), other, F.lit("]}"))
+    full = F.concat(F.lit('{"relevance":{"r1":{"u1":0.35}'), second, F.lit('},"object":'), objects, F.lit("}"))
+    return c.select("c_custkey", F.when(F.col("c_custkey") % 5 == 0, "{}").otherwise(full).alias("answer"), F.concat(F.lit('{"entities":['), entity, F.lit(","), other, F.lit("]}")).alias("search"))
+
+
+def match_response(spark, d):
+    rows = response_json(spark, d).select("c_custkey", *attributes.match_response(F.col("answer"), F.col("c_custkey").cast("string"), F.lit(None)))
+    return rows.select("supplier_id", "entity_id", "matched_mmh_name", "matched_city", "matched_sic", "matched_score", "matched_rule", "successful", "request_hash")
+
+
+def search_response(spark, d):
+    rows = response_json(spark, d).select("c_custkey", F.posexplode(attributes.search_results(F.col("search"))).alias("place", "entity"))
+    return rows.select("c_custkey", "place", *attributes.search_entity(F.col("entity"))).select("c_custkey", "place", "entity_id", "matched_mmh_name", "matched_city", "matched_state")
+
+
+def cluster_match_accepted(spark, d):
+    """The matcher's own threshold: vectors and their opposites, of which none below 0.60 is a match."""
+    rows, source = embedding_sources(spark, d)
+    turned = rows.withColumn("in_emb", F.when(F.col("supplier_id").cast("long") % 2 == 0, F.transform("in_emb", lambda x: -x)).otherwise(F.col("in_emb")))
+    return blocking.best_matches(blocking.cluster_pairs(turned, source)).select("supplier_id", "entity_id", F.round("matched_score", 4).alias("matched_score"))
+
+
 def best_rule(spark, d):
     relevance = F.create_map(
         F.lit("r1"), F.create_map(F.lit("u1"), F.col("s_suppkey") % 5 / 10.0, F.lit("u2"), F.lit(9.0)), F.lit("r2"), F.create_map(F.lit("u1"), F.col("s_suppkey") % 3 / 10.0), F.lit("r3"), F.create_map(F.lit("u1"), F.lit(0.1)))
@@ -420,10 +448,15 @@ def base62_id(spark, d):
     return c.select("c_custkey", scalar.base62_8(F.col("n")).alias("code"))
 
 
-def vector_pairs(spark, d):
+def vector_pairs(spark, d, block=2048):
+    """The query set, every vector whose id is divisible by 100, beside all vectors: a join on pairs of blocks."""
     e = table(spark, d, "embeddings")
-    a, b = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a"), "label"), e.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("b"), "label")
-    return a.join(b, "label").where("a_id <> b_id")
+    a, b = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a")), e.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("b"))
+    a_blocks, b_blocks = (max(1, -(-x.count() // block)) for x in (a, b))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = a.withColumn("i", F.pmod(F.xxhash64("a_id"), F.lit(a_blocks)).cast("int")).withColumn("j", every(b_blocks))
+    b = b.withColumn("j", F.pmod(F.xxhash64("b_id"), F.lit(b_blocks)).cast("int")).withColumn("i", every(a_blocks))
+    return a.join(b, ["i", "j"]).where("a_id <> b_id")
 
 
 def cosine_pairs(spark, d):
@@ -433,7 +466,7 @@ def cosine_pairs(spark, d):
 def embedding_sources(spark, d):
     e = table(spark, d, "embeddings")
     source = e.select(F.concat(F.lit("E"), "vec_id").alias("entity_id"), F.lit("legal").alias("legal_name"), F.lit("other").alias("merchant_name"), F.col("embedding").alias("ln_emb"), F.col("embedding").alias("mn_emb"), F.col("label").alias("legal_cluster_id"), ((F.col("label") + F.col("vec_id").cast("int") % 2) % 10).alias("merchant_cluster_id"))
-    rows = e.where("vec_id % 20 = 0").select((-F.col("vec_id")).cast("string").alias("supplier_id"), F.transform("embedding", lambda x: -x).alias("in_emb"), F.col("label").alias("input_cluster_id"))
+    rows = e.select((-F.col("vec_id")).cast("string").alias("supplier_id"), F.transform("embedding", lambda x: -x).alias("in_emb"), F.col("label").alias("input_cluster_id"))
     return rows, source
 
 
@@ -462,7 +495,7 @@ def merge_tracker(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     ap_enrich, ap_contrib, ap_totals, ap_due_date, quarter_label, recency_flags, latest_version, period_expand, invoice_rollup, po_rollup, payment_rollup, final_metrics, merchant_rollup, clearing_union_agg, clearing_missing_days,
-    txn_features, feature_join, percentile_bins, bin_score, propensity_label, top_n_by_key, id_explode, normalize_text, cleanse_name, postal_valid, state_norm, country_resolve, dba_split, request_hash, json_attrs, best_rule,
+    txn_features, feature_join, percentile_bins, bin_score, propensity_label, top_n_by_key, id_explode, normalize_text, cleanse_name, postal_valid, state_norm, country_resolve, dba_split, request_hash, json_attrs, match_response, search_response, cluster_match_accepted, best_rule,
     name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker)}
 QUERIES |= {"confidence_tier": confidence, "category_dim": category_rows}
 
@@ -489,17 +522,17 @@ SQL = {
     "clearing_missing_days": f"""WITH {CLEARING_SQL}, last AS (SELECT region, max(CAST(process_date AS DATE)) AS d FROM clr WHERE process_date < '2024-01-20' OR region <> '01' GROUP BY 1)
       SELECT r.region, strftime(unnest(generate_series(coalesce(last.d + 1, DATE '2024-01-28'), DATE '2024-02-02', INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM (VALUES ('01'), ('02'), ('03')) AS r(region) LEFT JOIN last USING (region)""",
     "txn_features": f"WITH {FEATURE_SQL} SELECT entity_id, region, value_90, CAST(vol_90 AS BIGINT) AS vol_90, amt_range, products, last_day, CAST(matched AS BIGINT) AS matched, avg_amt, comm, ctrl, days_since FROM feat",
-    "feature_join": f"""WITH {FEATURE_SQL}, {CATEGORY_SQL}, e AS (SELECT 'E' || c_custkey AS entity_id, CAST(c_nationkey % 10 AS VARCHAR) AS mcc_code, c_custkey % 50 || CASE WHEN c_custkey % 8 = 0 THEN ',x' ELSE '' END AS mmh_id, c_custkey % 3 + 1 AS region FROM customer WHERE c_custkey % 4 = 0 AND c_custkey <= 100)
+    "feature_join": f"""WITH {FEATURE_SQL}, {CATEGORY_SQL}, e AS (SELECT 'E' || c_custkey AS entity_id, CAST(c_nationkey % 10 AS VARCHAR) AS mcc_code, c_custkey % 50 || CASE WHEN c_custkey % 8 = 0 THEN ',x' ELSE '' END AS mmh_id, c_custkey % 3 + 1 AS region FROM customer)
       SELECT e.entity_id, e.mcc_code, cat.mcc_group_name AS mcc_group, cat.classification_code AS industry_classification_code, CAST(f.matched AS BIGINT) AS matched, CASE WHEN f.last_day IS NULL THEN NULL WHEN f.comm IS NOT NULL THEN 'YES' ELSE 'NO' END AS commercial_history,
         CASE WHEN f.last_day IS NULL THEN NULL WHEN f.ctrl IS NOT NULL THEN 'YES' ELSE 'NO' END AS in_control_history, e.mmh_id, CASE WHEN f.last_day IS NULL THEN NULL ELSE 'YES' END AS card_acceptor
       FROM e LEFT JOIN feat f ON f.entity_id = e.entity_id AND CAST(f.region AS INTEGER) = e.region LEFT JOIN cat ON cat.mcc_code = e.mcc_code""",
-    "percentile_bins": f"WITH {QUANTILE_SQL} SELECT bin_idx, prev_hi, hi, round(CAST(bin_idx AS DOUBLE) / 100, 2) AS pct_lower FROM bin WHERE bin_idx BETWEEN 1 AND 98",
+    "percentile_bins": f"WITH {QUANTILE_SQL} SELECT bin_idx, CASE WHEN NOT isinf(prev_hi) THEN prev_hi END AS prev_hi, CASE WHEN NOT isinf(hi) THEN hi END AS hi, round(CAST(bin_idx AS DOUBLE) / 100, 2) AS pct_lower FROM bin",
     "bin_score": f"WITH {QUANTILE_SQL} SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 0.0 ELSE CAST(round(CAST(2 * bin_idx + 1 AS DECIMAL(10,3)) / 200, 3) AS DECIMAL(10,3))::DECIMAL(10,2)::DOUBLE END AS percentile FROM customer JOIN bin ON c_acctbal > prev_hi AND c_acctbal <= hi",
     "propensity_label": f"""WITH {QUANTILE_SQL}, p AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 0.0 ELSE CAST(floor((2 * bin_idx + 2) / 2) AS DOUBLE) / 100 END AS x FROM customer JOIN bin ON c_acctbal > prev_hi AND c_acctbal <= hi), s AS (SELECT c_custkey, round(1 / (1 + exp(-(2.0 * x - 0.5))), 2) AS y FROM p)
       SELECT c_custkey, CAST(y AS DOUBLE) AS propensity_score, CASE WHEN y > 0.7 THEN 'HIGH' WHEN y > 0.6 THEN 'MEDIUM' ELSE 'LOW' END AS propensity_score_label FROM s""",
     "category_dim": f"WITH {CATEGORY_SQL} SELECT * FROM cat",
     "top_n_by_key": "SELECT l_suppkey, l_extendedprice, l_orderkey, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey DESC, l_partkey DESC) AS rn FROM (SELECT DISTINCT l_suppkey, l_extendedprice, l_orderkey, l_partkey FROM lineitem)) WHERE rn = 1",
-    "id_explode": "SELECT 'E' || c_custkey AS entity_id, unnest(CASE WHEN c_custkey % 8 = 0 THEN [CAST(c_custkey % 50 AS VARCHAR), 'x'] ELSE [CAST(c_custkey % 50 AS VARCHAR)] END) AS mmh_id FROM customer WHERE c_custkey % 4 = 0 AND c_custkey <= 100",
+    "id_explode": "SELECT 'E' || c_custkey AS entity_id, unnest(CASE WHEN c_custkey % 8 = 0 THEN [CAST(c_custkey % 50 AS VARCHAR), 'x'] ELSE [CAST(c_custkey % 50 AS VARCHAR)] END) AS mmh_id FROM customer",
     "normalize_text": r"""WITH r AS (SELECT p_partkey, p_name || '  &-' || p_brand || chr(9) || '. ' AS t FROM part)
       SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(t), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')) AS plain, trim(regexp_replace(regexp_replace(t, '[^a-zA-Z0-9\s]', '', 'g'), '\s+', ' ', 'g')) AS kept, trim(regexp_replace(lower(t), '\s+', ' ', 'g')) AS city FROM r""",
     "cleanse_name": r"""WITH r AS (SELECT c_custkey, c_name || ([' Inc.', '.com', 'Foods Co', '_LTD', ' texaco', ', llc'])[c_custkey % 6 + 1] AS t FROM customer),
@@ -517,6 +550,14 @@ SQL = {
     "dba_split": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE c_name || ' Goo' END AS before, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE 'r' END AS after FROM customer",
     "request_hash": "SELECT s_suppkey, sha256(lower(trim(s_name)) || chr(31) || s_nationkey || chr(31) || 'none' || chr(31) || 'é' || s_suppkey) AS request_hash FROM supplier",
     "json_attrs": "SELECT c_custkey, c_name AS matched_mmh_name, 'C' || c_nationkey AS matched_city, 'USA-CA' AS matched_state, 'S' || c_custkey AS matched_sic, '' AS matched_dba_name FROM customer",
+    "match_response": """WITH r AS (SELECT *, c_custkey % 5 = 0 AS gone, c_custkey % 2 = 0 AND c_custkey % 7 > 3 AS second FROM customer)
+      SELECT CAST(c_custkey AS VARCHAR) AS supplier_id, CASE WHEN gone THEN '' WHEN second THEN 'other' ELSE 'E' || c_custkey END AS entity_id, CASE WHEN gone OR second THEN '' ELSE c_name END AS matched_mmh_name,
+        CASE WHEN gone OR second THEN '' ELSE 'C' || c_nationkey END AS matched_city, CASE WHEN gone OR second THEN '' ELSE 'S' || c_custkey END AS matched_sic, CASE WHEN gone THEN 0.0 WHEN second THEN CAST(c_custkey % 7 AS DOUBLE) / 10 ELSE 0.35 END::DOUBLE AS matched_score,
+        CASE WHEN gone THEN '' WHEN second THEN 'r2' ELSE 'r1' END AS matched_rule, CASE WHEN gone THEN 'N' ELSE 'Y' END AS successful, '' AS request_hash FROM r""",
+    "search_response": """SELECT c_custkey, CAST(0 AS INTEGER) AS place, 'E' || c_custkey AS entity_id, c_name AS matched_mmh_name, 'C' || c_nationkey AS matched_city, 'USA-CA' AS matched_state FROM customer
+      UNION ALL SELECT c_custkey, 1, 'other', '', '', '' FROM customer""",
+    "cluster_match_accepted": """WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, (CASE WHEN a.vec_id % 2 = 0 THEN 1 ELSE -1 END) * list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label OR a.label = (b.label + b.vec_id % 2) % 10)
+      SELECT CAST(-i AS VARCHAR) AS supplier_id, 'E' || j AS entity_id, round(s, 4) AS matched_score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY s DESC, 'E' || j) AS rn FROM p WHERE s >= 0.60) WHERE rn = 1""",
     "best_rule": """SELECT s_suppkey, CAST(greatest(s_suppkey % 5, s_suppkey % 3, 1) AS DOUBLE) / 10 AS score, CASE WHEN s_suppkey % 5 >= greatest(s_suppkey % 3, 1) THEN 'r1' WHEN s_suppkey % 3 >= 1 THEN 'r2' ELSE 'r3' END AS rule, CAST(s_suppkey AS VARCHAR) AS entity_id FROM supplier""",
     "name_similarity": """WITH RECURSIVE w AS (
         SELECT p_partkey, k, list_aggregate(list_sort(string_split(trim(regexp_replace(regexp_replace(p_name, '[^a-zA-Z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')), ' ')), 'string_agg', ' ') AS a,
@@ -532,8 +573,8 @@ SQL = {
     "audit_antijoin": "SELECT s_suppkey, s_name AS supplier_name FROM supplier WHERE NOT (s_suppkey % 2 = 0 AND s_suppkey % 5 > 0)",
     "base62_id": """WITH r AS (SELECT c_custkey, greatest(0, (c_custkey - 1) * 7919000003) AS n FROM customer)
       SELECT c_custkey, list_aggregate(list_transform([7, 6, 5, 4, 3, 2, 1, 0], lambda k: '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'[CAST((n // CAST(62::HUGEINT ** k AS BIGINT)) % 62 + 1 AS BIGINT)]), 'string_agg', '') AS code FROM r""",
-    "cosine_pairs": "SELECT a.vec_id AS a_id, b.vec_id AS b_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS cosine FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0",
-    "cluster_best_match": """WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, -list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label OR a.label = (b.label + b.vec_id % 2) % 10 WHERE a.vec_id % 20 = 0)
+    "cosine_pairs": "SELECT a.vec_id AS a_id, b.vec_id AS b_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0",
+    "cluster_best_match": """WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, -list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label OR a.label = (b.label + b.vec_id % 2) % 10)
       SELECT CAST(-i AS VARCHAR) AS supplier_id, 'E' || j AS entity_id, round(s, 4) AS matched_score, 'other' AS best_match_name FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY s DESC, 'E' || j) AS rn FROM p WHERE s >= -1.0) WHERE rn = 1""",
     "upsert_by_key": "WITH k AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey NOT IN (SELECT * FROM k) UNION ALL SELECT o_orderkey, o_custkey, 'N' FROM orders WHERE o_custkey IN (SELECT * FROM k) AND o_orderkey % 2 = 0",
     "merge_tracker": "SELECT o_orderpriority || ' ' AS file_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 7 ELSE count(*) END AS record_count, CASE WHEN o_orderpriority = '1-URGENT' THEN 'SUCCESS' ELSE 'IN-PROGRESS' END AS status FROM orders GROUP BY o_orderpriority UNION ALL SELECT '9-NEW', 1, 'FAILED'",

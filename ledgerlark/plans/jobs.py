@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import confidence_tier
 from ..operators import bins, clearing, features, ledger, payables
+from ..operators.matching import match_suppliers
 from ..schemas import ERP_GOLD, MATCHED, PAYABLES_GOLD, require_columns
 from ..sources.tables import VersionedTable, already_processed, manifest, merged, overwrite_partitions
 
@@ -35,12 +36,15 @@ class Tables:
 
 
 def with_matches(rows: DataFrame, matches: DataFrame) -> DataFrame:
-    """rows beside their match by supplier_id; of several matches of one id one is taken, so rows don't multiply. A matcher that
-    gives only some attributes leaves the others null."""
+    """rows beside their match by supplier_id; of several matches of one id the one with the highest score is taken whole, of equal
+    ones that with the smallest entity_id, so rows don't multiply. A matcher that gives only some attributes leaves the others
+    null."""
     for c in (*MATCHED, "is_matched"):
         if c not in matches.columns:
             matches = matches.withColumn(c, F.lit(None).cast("string"))
-    one = matches.groupBy("supplier_id").agg(*(F.max_by(c, "matched_score").alias(c) for c in ("entity_id", *MATCHED, "is_matched")), F.max("matched_score").alias("matched_score"))
+    taken = ("entity_id", *MATCHED, "is_matched", "matched_score")
+    best = F.min_by(F.struct(*taken), F.struct(F.col("matched_score").isNull(), -F.col("matched_score"), F.col("entity_id").isNull(), F.col("entity_id"), F.xxhash64(*taken)))
+    one = matches.groupBy("supplier_id").agg(best.alias("__m")).select("supplier_id", *(F.col(f"__m.{c}").alias(c) for c in taken))
     return rows.join(one, "supplier_id", "left").withColumn("is_matched", F.when(F.coalesce("entity_id", F.lit("")) != "", "Y").otherwise("N"))
 
 
@@ -54,6 +58,40 @@ def with_summary(rows: DataFrame, categories: DataFrame, summary: DataFrame) ->
     return out.withColumns({new: F.col(old) for new, old in RENAMED.items()}).withColumn("confidence", confidence_tier(F.col("matched_score")))
 
 
+@dataclass(frozen=True)
+class JobConfig:
+    """What a job can be told beside its tables; the values are the defaults. Remote calls have no part here, so neither have
+    their batch sizes, retries and secrets."""
+
+    match_cache_expiry_days: int = 7
+    min_match_score: float = 0.80
+    match_type: str = "rules"
+    clusters: int = 100
+    cluster_iterations: int = 20
+    cluster_seed: int = 42
+
+    def __post_init__(self):
+        if self.match_type not in ("rules", "embeddings"):
+            raise ValueError(f"match_type is rules or embeddings, not {self.match_type}")
+        if not 0 <= self.min_match_score <= 1 or self.match_cache_expiry_days < 0:
+            raise ValueError("min_match_score lies from 0 to 1, match_cache_expiry_days from 0 on")
+
+    @classmethod
+    def of(cls, arguments: list[str]) -> JobConfig:
+        """From `--min-match-score 0.9` and the like; an unknown name is an error."""
+        import argparse
+
+        parser = argparse.ArgumentParser(allow_abbrev=False)
+        for f in fields(cls):
+            parser.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
+        return cls(**vars(parser.parse_args(arguments)))
+
+
+def rule_matcher(entities: DataFrame, cache: DataFrame, names: DataFrame, aliases: DataFrame, as_of: str, config: JobConfig = JobConfig()):
+    """A matcher for the jobs: normalise, cache, cascade, least score."""
+    return lambda rows: match_suppliers(rows, entities, cache, names, aliases, as_of, config.match_cache_expiry_days, config.min_match_score)[0]
+
+
 def track(tables: Tables, change: dict, key: str, updated: list[str]) -> None:
     old = tables.tracker.read()
     row = tables.tracker.spark.createDataFrame([tuple(change.get(f.name) for f in old.schema.fields)], old.schema)

@@ -1,12 +1,14 @@
 """Reading and writing tables: scans, sinks, replacement by key, trackers, partitions, manifests.
 
-Parquet tables know no MERGE or DELETE. A replacement is written as a new version next to the old one and made current by a
-one-row pointer, so readers see either the old table or the new one.
+Parquet tables know no MERGE or DELETE. A replacement is written next to the old files and made current by one numbered commit
+file, which appears whole or not at all, so readers see either the old table or the new one.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from datetime import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,33 +69,108 @@ def replaced(old: DataFrame, new: DataFrame, keys: DataFrame, on: Sequence[str])
     return old.join(keys.select(*on).distinct(), list(on), "left_anti").unionByName(new)
 
 
-class VersionedTable:
-    """A Parquet table of whole versions under one folder; `current` names the version to read."""
+class Conflict(RuntimeError):
+    """Another writer committed first."""
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def read(self) -> DataFrame:
-        try:
-            name = self.spark.read.text(f"{self.path}/current").first()
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            name = None
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{name[0]}") if name else self.spark.createDataFrame([], self.schema)
+class VersionedTable:
+    """A Parquet table under one folder: data folders that are written once, and commits 1, 2, ... that name the data folders of
+    every bucket. The highest commit is current; a write is based on the commit it read, and fails if that isn't the last
+    any more. With `by`, rows lie in buckets by a hash of these columns, and an upsert on them rewrites the touched buckets only.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema, by: Sequence[str] = (), buckets: int = 64):
+        self.spark, self.path, self.schema, self.by, self.buckets = spark, path.rstrip("/"), schema, list(by), buckets if by else 1
+        jvm = spark._jvm
+        self._at = jvm.org.apache.hadoop.fs.Path
+        self._conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._fs = self._at(self.path).getFileSystem(self._conf)
+
+    def _commits(self) -> list[int]:
+        folder = self._at(f"{self.path}/commits")
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def version(self) -> int:
+        """Number of the current commit, 0 for a table that was never written. Data without a commit beside it is an error: the
+        first write failed if there is nothing else, but an empty answer would make the next write lose what is there."""
+        numbers = self._commits()
+        if not numbers and self._fs.exists(self._at(f"{self.path}/commits")):
+            raise RuntimeError(f"{self.path}: commits are missing")
+        return numbers[-1] if numbers else 0
+
+    def _folders(self, version: int) -> dict[str, list[str]]:
+        if not version:
+            return {}
+        return json.loads(self.spark.read.text(f"{self.path}/commits/{version:012d}.json", wholetext=True).first()[0])
+
+    def _rows(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/{f}" for f in folders))
+
+    def read(self, version: int | None = None) -> DataFrame:
+        held = self._folders(self.version() if version is None else version)
+        return self._rows(sorted(f for fs in held.values() for f in fs))
 
     def fitted(self, df: DataFrame) -> DataFrame:
         """df with the table's columns and types."""
-        return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.read().schema.fields))
+        fields = self.spark.createDataFrame([], self.schema).schema.fields
+        return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int") if self.by else F.lit(0)
+
+    def _put(self, df: DataFrame) -> dict[str, list[str]]:
+        """Writes rows as new data folders, by bucket."""
+        name = f"data/{uuid.uuid4().hex}"
+        rows = self.fitted(df).withColumn("__bucket", self._bucket())
+        (rows.repartition("__bucket") if self.by else rows).write.partitionBy("__bucket").parquet(f"{self.path}/{name}")
+        found = [f.getPath().getName() for f in self._fs.listStatus(self._at(f"{self.path}/{name}"))]
+        return {f.split("=")[1]: [f"{name}/{f}"] for f in found if f.startswith("__bucket=")}
+
+    def _commit(self, number: int, folders: dict[str, list[str]]) -> None:
+        """The commit file is written aside and renamed, which fails if there is one of that number."""
+        self._fs.mkdirs(self._at(f"{self.path}/commits"))
+        aside, final = self._at(f"{self.path}/commits/.{uuid.uuid4().hex}"), self._at(f"{self.path}/commits/{number:012d}.json")
+        out = self._fs.create(aside, False)
+        out.write(bytearray(json.dumps(folders).encode()))
+        out.close()
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        try:
+            context.rename(self._fs.makeQualified(aside), self._fs.makeQualified(final), self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+        except Exception as e:
+            self._fs.delete(aside, False)
+            if "FileAlreadyExists" in str(e):
+                raise Conflict(f"{self.path}: commit {number} is there already") from e
+            raise
 
-    def write(self, df: DataFrame) -> None:
-        name = f"v-{uuid.uuid4().hex}"
-        self.fitted(df).write.parquet(f"{self.path}/{name}")
-        self.spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/current")
+    def write(self, df: DataFrame, base: int | None = None) -> None:
+        """Replaces the whole table; base: the version df was made from, the current one if it is left out."""
+        base = self.version() if base is None else base
+        self._commit(base + 1, self._put(df))
 
     def upsert(self, new: DataFrame, keys: DataFrame, on: Sequence[str]) -> None:
-        """Replaces all rows of `keys` by new."""
-        self.write(replaced(self.read(), self.fitted(new), keys, on))
+        """Replaces all rows of `keys` by new. On the columns of `by` only the buckets of keys and new rows are rewritten."""
+        base = self.version()
+        held = self._folders(base)
+        if not self.by or list(on) != self.by:
+            self.write(replaced(self.read(base), self.fitted(new), keys, on), base)
+            return
+        types = {f.name: f.dataType for f in self.spark.createDataFrame([], self.schema).schema.fields}
+        keys = keys.select(*(F.col(c).cast(types[c]).alias(c) for c in on))
+        touched = keys.select(self._bucket().alias("b")).unionByName(self.fitted(new).select(self._bucket().alias("b"))).distinct().collect()
+        touched = {str(r["b"]) for r in touched}  # at most as many as there are buckets
+        old = self._rows(sorted(f for b, fs in held.items() if b in touched for f in fs))
+        self._commit(base + 1, {b: fs for b, fs in held.items() if b not in touched} | self._put(replaced(old, self.fitted(new), keys, on)))
+
+
+def append_run_audit(spark: SparkSession, table: str, merchants: Sequence[str], start: datetime, end: datetime) -> None:
+    """One SUCCESS row a merchant of a run with its times in seconds; no merchants, no rows and no table."""
+    if merchants:
+        took = round((end - start).total_seconds(), 2)
+        append(spark.createDataFrame([(m, start, end, took, "SUCCESS") for m in merchants], "merchant_id string, start_dt timestamp, end_dt timestamp, time_taken double, status string"), table)
 
 
 def merged(tracker: DataFrame, change: DataFrame, key: str, updated: Sequence[str]) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import bins, blocking, clearing, ledger, matching, payables
@@ -91,6 +92,66 @@ def test_versioned_table_and_tracker(spark, tmp_path):
     assert [tables.already_processed(tracker, f) for f in ("f1", "f2", "f3", "f4")] == [True, False, False, False]
 
 
+def test_versioned_table_is_never_half_written(spark, tmp_path, monkeypatch):
+    shape = "k string, v int"
+    t = tables.VersionedTable(spark, str(tmp_path / "t"), shape, by=["k"], buckets=8)
+    row = lambda *r: spark.createDataFrame(list(r), shape)
+    key = lambda *k: spark.createDataFrame([(x,) for x in k], "k string")
+    t.write(row(*((f"k{i}", i) for i in range(40))))
+    before = t._folders(1)
+    t.upsert(row(("k3", 300), ("k3", 301)), key("k3", "k4"), ["k"])
+    after = t._folders(2)
+    assert sum(before[b] != after.get(b) for b in before) <= 2 and any(before[b] == after.get(b) for b in before)  # touched buckets only
+    want = sorted([(f"k{i}", i) for i in range(40) if i not in (3, 4)] + [("k3", 300), ("k3", 301)])
+    assert sorted(map(tuple, t.read().collect())) == want and len(t.read(1).collect()) == 40
+    for step in ("_put", "_commit"):  # a crash at either step leaves the old table
+        with monkeypatch.context() as m:
+            m.setattr(tables.VersionedTable, step, lambda *a: (_ for _ in ()).throw(OSError("gone")))
+            with pytest.raises(OSError):
+                t.upsert(row(("k9", 0)), key("k9"), ["k"])
+        assert sorted(map(tuple, t.read().collect())) == want and t.version() == 2
+    with pytest.raises(tables.Conflict):  # someone else committed after version 1 was read
+        t.write(row(("x", 1)), base=1)
+    assert t.version() == 2
+    t.upsert(row(("k1", 7)), key("k1", "none"), ["k"])
+    assert ("k1", 7) in set(map(tuple, t.read().collect())) and t.version() == 3
+    for f in (tmp_path / "t" / "commits").iterdir():
+        f.unlink()
+    with pytest.raises(RuntimeError):  # data without commits is no empty table
+        t.read()
+
+
+def test_run_audit(spark):
+    from datetime import datetime
+
+    a, b = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 2, 500_000)
+    tables.append_run_audit(spark, "audit_t", [], a, b)
+    assert not spark.catalog.tableExists("audit_t")
+    tables.append_run_audit(spark, "audit_t", ["m1", "m2"], a, b)
+    tables.append_run_audit(spark, "audit_t", ["m3"], a, b)
+    assert sorted((r.merchant_id, r.time_taken, r.status) for r in spark.table("audit_t").collect()) == [(f"m{i}", 2.5, "SUCCESS") for i in (1, 2, 3)]
+    spark.sql("DROP TABLE audit_t")
+
+
+def test_suppliers_are_matched_from_raw_rows(spark):
+    from ledgerlark.plans.jobs import JobConfig, rule_matcher, with_matches
+
+    names = spark.createDataFrame([("United States", "US")], "country_name string, country_code_2alpha string")
+    aliases = spark.createDataFrame([("usa", "United States")], "alias string, country_name string")
+    fields = "supplier_id string, supplier_name string, street_address string, city string, state string, postal_code string, country string"
+    rows = spark.createDataFrame([("1", "Alpha Bakery", "1 Main St", "Reno", "NV", "89501", "USA"), ("2", " Alpha  Bakery", "1 Main St", "Reno", "NV", "89501", "usa"), ("3", "Zzz", None, None, None, None, "USA")], fields)
+    entities = spark.createDataFrame([("E1", "Alpha Bakery", "", "1 Main St", "Reno", "Nevada", "89501", "United States")], "entity_id string, legal_name string, dba_name string, street_address string, city string, state string, postal_code string, country string")
+    cache = spark.createDataFrame([], "request_hash string, entity_id string, matched_score double, matched_rule string, audit_ts timestamp")
+    got = {r.supplier_id: r for r in rule_matcher(entities, cache, names, aliases, "2024-01-01")(rows).collect()}
+    assert got["1"].entity_id == "E1" and got["1"].successful == "Y" and got["3"].successful == "N" and len(got) == 3
+    assert JobConfig.of(["--min-match-score", "0.9"]).min_match_score == 0.9
+    with pytest.raises(ValueError):
+        JobConfig(match_type="other")
+    ties = spark.createDataFrame([("1", "E2", 0.9), ("1", "E1", 0.9), ("1", "E0", 0.1), ("2", None, None)], "supplier_id string, entity_id string, matched_score double")
+    best = {r.supplier_id: (r.entity_id, r.is_matched) for r in with_matches(rows.select("supplier_id"), ties).collect()}
+    assert best == {"1": ("E1", "Y"), "2": (None, "N"), "3": (None, "N")}
+
+
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "p")
     row = lambda d, v: spark.createDataFrame([(d, v)], "d string, v int")
