@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_class, fmix, mapped, mb_slices, saved, text_bytes, words
+from .common import BROADCAST_BYTES, byte_class, fmix, mapped, mb_slices, saved, small, text_bytes, words
 
 
 def buckets_of(raw: np.ndarray, offsets: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +103,10 @@ def resample(scored: DataFrame, keep: float = 0.75, seed: int = 11) -> DataFrame
     return rows.withColumn("selected", F.coalesce(F.col("gumbel_key") >= F.lit(last), F.lit(False)) if last is not None else F.lit(False))
 
 
-def select_quality(docs: DataFrame, labels: DataFrame, keep: float = 0.75, n_buckets: int = 10_000, broadcast_rows: int = 2_000_000) -> DataFrame:
+def select_quality(docs: DataFrame, labels: DataFrame, keep: float = 0.75, n_buckets: int = 10_000, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_grams, log_weight, gumbel_key and selected of every document; the target model learns from documents with a
-    label of quality 1. Label ids are broadcast up to `broadcast_rows` of them, else joined with a shuffle."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True))
-    if good.count() <= broadcast_rows:
-        good = F.broadcast(good)
+    label of quality 1. Label ids are broadcast up to `broadcast_bytes`, else joined with a shuffle."""
+    good = small(saved(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True)), "targets"), broadcast_bytes)
     rows = docs.select("doc_id", "text")
     ratio = fit_ratio(rows.join(good, "doc_id", "left"), "is_target", n_buckets=n_buckets)
     return resample(score(rows, ratio), keep)

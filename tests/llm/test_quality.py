@@ -44,7 +44,7 @@ def test_threshold_ties_and_empty(spark):
     docs = spark.createDataFrame([(None, "a b"), (1, None), (2, "x y"), (2, "x y")], "doc_id long, text string")
     labels = spark.createDataFrame([(2, 1), (2, 1), (None, 1), (1, None)], "doc_id long, quality int")
     for rows in (2_000_000, 0):
-        got = select_quality(docs, labels, broadcast_rows=rows).collect()
+        got = select_quality(docs, labels, broadcast_bytes=rows).collect()
         assert len(got) == 4 and not next(r for r in got if r.doc_id == 1).selected
     assert select_quality(docs.limit(0), labels).count() == 0
     assert resample(spark.createDataFrame([(1, None)], "doc_id long, log_weight double")).first().selected is False
