@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import BROADCAST_BYTES, saved, small
 
 #: Rule → verdict. A rule is a host, and the path its pages start with.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
+#: Ranks are compared at so many decimal places; equal to the threshold is blocked.
+PLACES = 9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)\bhref\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s>]+)"
@@ -67,12 +69,13 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, iterati
     return rank
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, iterations: int = 20, least: float = 0.5, broadcast_hosts: int = 500_000) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, iterations: int = 20, least: float = 0.5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every page with host, path, rule, verdict, trust and distrust; other columns than page_id are left out.
 
     A page without a rule is blocked if its host's distrust is above its trust and at least `least` of that of a host which
     rules block wholly; else allowed, as are hosts the graph says nothing of and pages without a host. Null urls and html have
-    no host and no links; repeated rows count as pages of their own. Host ranks are broadcast up to `broadcast_hosts` hosts;
+    no host and no links; repeated rows count as pages of their own. Ranks are rounded to nine
+    places before they are compared, so that the order of sums doesn't decide. Host ranks are broadcast up to `broadcast_bytes`;
     beyond, they are joined with a shuffle whose large hosts Spark splits.
     """
     judged = pages.select("page_id", "html", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")).withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
@@ -82,11 +85,9 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damp
     links = saved(host_links(judged), "links")
     both = links.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     ranks = propagate(seeds, both, damping, iterations)
-    value = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
-    hosts = saved(ranks.groupBy("host").agg(value("trust"), value("distrust")), "hosts")
-    if hosts.count() <= broadcast_hosts:
-        hosts = F.broadcast(hosts)
-    method = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= F.lit(least * (1 - damping))), "block").otherwise("allow")
+    value = lambda kind: F.round(F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)), PLACES).alias(kind)
+    hosts = small(saved(ranks.groupBy("host").agg(value("trust"), value("distrust")), "hosts"), broadcast_bytes)
+    method = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= F.lit(round(least * (1 - damping), PLACES))), "block").otherwise("allow")
     return judged.drop("html").join(hosts, "host", "left").select(
         "page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", method).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -67,7 +67,7 @@ def test_graph_and_odd_rows(spark):
         (9, "http://notnet/es/", ""), (10, "x://net/es/#/fr/", ""), (None, "http://example.com", "q" * 100_000), (11, "http://com.example.org/en/", link("linker.org"))]
     pages = spark.createDataFrame([(*r, "z", 0.5) for r in rows], "page_id long, url string, html string, host string, trust double")
     for limit in (500_000, 0):
-        got = filter_urls(pages, broadcast_hosts=limit).select("page_id", "host", "path", "rule", "verdict").collect()
+        got = filter_urls(pages, broadcast_bytes=limit).select("page_id", "host", "path", "rule", "verdict").collect()
         assert sorted(map(tuple, got), key=str) == brute(rows)
     assert {r.page_id: r.verdict for r in got}[5] == "block"
     assert filter_urls(pages.limit(0)).count() == 0
