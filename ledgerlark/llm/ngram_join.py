@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_class, components, fmix, mapped, mb_slices, saved, text_bytes, words
+from .common import BROADCAST_BYTES, byte_class, components, fmix, mapped, mb_slices, saved, small, text_bytes, words
 
 #: A token is frequent in a task's block of about BLOCK tokens from LOCAL occurrences; all tasks know at most FREQUENT tokens.
 BLOCK, LOCAL, FREQUENT = 1_000_000, 4, 1 << 18
@@ -296,11 +296,6 @@ def long_lists(postings: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(lengths), "token").select("token", "doc", "n", "length")
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """df, to be broadcast if it has no more than `rows` rows."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def over_lists(rare: DataFrame, often: DataFrame, **found) -> DataFrame:
     """Entries beside aggregates over their list: a window for rare tokens, whose lists are short; for frequent ones, whose
     number is bounded, an aggregate and a broadcast."""
@@ -309,12 +304,12 @@ def over_lists(rare: DataFrame, often: DataFrame, **found) -> DataFrame:
     return a.unionByName(often.join(F.broadcast(often.groupBy("token").agg(*(c.alias(name) for name, c in found.items()))), "token"))
 
 
-def with_pivots(rare: DataFrame, often: DataFrame, percent: int, broadcast_rows: int) -> DataFrame:
+def with_pivots(rare: DataFrame, often: DataFrame, percent: int, broadcast_bytes: int) -> DataFrame:
     """Entries beside their list's pivot: the document with the largest share of its short lists shared, the smallest of equal
     ones. A text that others are near copies of shares all of its lists; its copies' changes are in lists of their own."""
     prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1
     share = rare.unionByName(often).groupBy("doc", "n").agg(F.count("*").alias("c")).select("doc", (F.col("c") / prefix).alias("share")).groupBy("doc").agg(F.max("share").alias("share"))
-    share = small(saved(share, "share"), broadcast_rows)
+    share = small(saved(share, "share"), broadcast_bytes)
     best = F.max(F.struct(F.col("share"), (-F.col("doc")).alias("minus"), F.col("n")))
     rows = over_lists(rare.withColumn("often", F.lit(False)).join(share, "doc"), often.withColumn("often", F.lit(True)).join(share, "doc"), p=best)
     return rows.select("token", "doc", "n", "length", "often", (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("pivot_n"))
@@ -328,15 +323,13 @@ def alike(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
     return both.where(sketches_allow(percent)).select("doc", "pivot").distinct()
 
 
-def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_rows: int, group: int = 256) -> DataFrame:
+def linked_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_bytes: int, group: int = 256) -> DataFrame:
     """Of the pairs (doc, pivot) those that link, as (a, b). A query's documents are searched in groups of about `group`."""
     pairs = saved(pairs, "pairs")
     per_query = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
     asked = pairs.join(per_query, "pivot").groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("pivot", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"))).alias("asked"))
     roles = per_query.select(F.col("pivot").alias("id"), "parts").join(asked, "id", "full")
-    roles = saved(roles.select("id", F.coalesce("parts", F.lit(0)).alias("parts"), "asked"), "roles")
-    if roles.count() <= broadcast_rows:
-        roles = F.broadcast(roles)
+    roles = small(saved(roles.select("id", F.coalesce("parts", F.lit(0)).alias("parts"), "asked"), "roles"), broadcast_bytes)
     rows = docs.select("doc_id", "text").join(roles, docs["doc_id"] == roles["id"]).select("id", "text", "parts", "asked")
 
     def spread(batches):
@@ -484,12 +477,12 @@ def enough(lists: str, a: str, b: str, percent: int):
     return F.col(lists) >= wanted - beyond
 
 
-def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512, large: int = 64, tokens_a_bucket: int = 500_000, broadcast_rows: int = 2_000_000) -> DataFrame:
+def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512, large: int = 64, tokens_a_bucket: int = 500_000, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id of the same set) and component_id of every row of docs.
 
     Null, wordless and empty texts have the empty set and are classes and components of their own. Rows of the same doc_id are
     one document of the graph. A row without doc_id gets the ids of its class, null if the class has no other rows, and is no
-    bridge between others. Broadcasts (ids that take part in a search) stop at `broadcast_rows`; beyond, the same joins shuffle.
+    bridge between others. Broadcasts (ids that take part in a search) are tables of `broadcast_bytes` at most; beyond, the same joins shuffle.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -507,15 +500,15 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512,
             break
         counts |= {r["token"]: r["c"] for r in more}
     often = long_lists(scan_postings(docs, size, percent, frequent, buckets, True))
-    lists = saved(with_pivots(rare, often, percent, broadcast_rows), "lists")
+    lists = saved(with_pivots(rare, often, percent, broadcast_bytes), "lists")
 
     met = lists.where((F.col("doc") != F.col("pivot")) & fitting("n", "pivot_n", percent)).groupBy("doc", "pivot", "n", "pivot_n").agg(F.count("*").alias("lists")).where(enough("lists", "n", "pivot_n", percent))
     tested = met.groupBy("doc").agg(F.max(F.struct(F.col("lists"), (-F.col("pivot")).alias("minus"))).alias("m")).select("doc", (-F.col("m.minus")).alias("pivot"))
     tested = saved(tested, "first")
-    links = saved(linked_pairs(docs, alike(tested, base, percent), size, percent, broadcast_rows), "links")
+    links = saved(linked_pairs(docs, alike(tested, base, percent), size, percent, broadcast_bytes), "links")
     labels = components(links)
     for last in (False, True):
-        known = small(saved(labels.withColumnRenamed("id", "doc"), "labels"), broadcast_rows)
+        known = small(saved(labels.withColumnRenamed("id", "doc"), "labels"), broadcast_bytes)
         entries = (lists if last else lists.where(F.col("length") > large)).join(known, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         entries = over_lists(entries.where("not often"), entries.where("often"), low=F.min("component"), high=F.max("component")).where("low < high").drop("low", "high")
         if last:
@@ -531,7 +524,7 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, longest: int = 512,
         pairs = saved(pairs.distinct().join(either, ["doc", "pivot"], "left_anti"), "more")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            links = saved(links.unionByName(linked_pairs(docs, alike(pairs, base, percent), size, percent, broadcast_rows)), "links")
+            links = saved(links.unionByName(linked_pairs(docs, alike(pairs, base, percent), size, percent, broadcast_bytes)), "links")
             labels = components(links)
 
     known = base.where("n > 0").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")

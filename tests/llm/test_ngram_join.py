@@ -97,7 +97,7 @@ def test_groups_chains_and_shared_passages(spark):
     texts += [texts[3]] * 5 + [[word()] for _ in range(3)] + [["a", "b"], ["A", "B"], ["b", "a"]]
     rows = [(1000 - 7 * i, " ".join(t)) for i, t in enumerate(texts)] + [(5001, ""), (5002, None), (5003, " \t ")]
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, n long, token int")
-    for kind in ({}, {"broadcast_rows": 0, "longest": 5, "large": 2}):
+    for kind in ({}, {"broadcast_bytes": 0, "longest": 5, "large": 2}):
         assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in join(docs, **kind).collect()) == brute(rows)
 
 

@@ -68,3 +68,10 @@ def test_near_copies_share_four_fifths_of_five_word_shingles(spark, monkeypatch)
     own = test_ngram_join.shingles
     monkeypatch.setattr(test_ngram_join, "shingles", lambda t: own(t, 5))
     assert kept == {i for i, _, c in brute_groups(rows, 80) if i == c}
+
+
+def test_rows_of_one_id_with_different_texts_stay(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    docs = spark.createDataFrame([(3, a, 1), (3, b, 2), (3, b, 2), (4, a, 3), (5, " ".join(f"c{i}" for i in range(30)) + " x" * 200_000, 4)], "doc_id long, text string, component_id int")
+    kept = p.join_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text[:2], r.component_id) for r in kept) == [(3, "a0", 1), (3, "b0", 2), (5, "c0", 4)]
