@@ -10,10 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import decontaminate, lang_id, mixing, ngram_join, token_output
-from ledgerlark.llm.common import work_path
+from ledgerlark.llm.common import saved, small, work_path
 
-#: Up to this many ids a join is a broadcast, beyond it a shuffle.
-BROADCAST_IDS = 2_000_000
 #: Near copies share this percentage of their shingles of so many words; op3's query has a rule of its own.
 NEAR = {"size": 5, "percent": 80}
 
@@ -29,15 +27,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the smallest doc_id, once. Rows without an id stay if they are no copy of one with an id."""
-    groups = ngram_join.join(docs, **NEAR)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").where("doc_id is not null").distinct()
-    n = gone.count()
-    rows = docs.join(F.broadcast(gone) if n <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+    """Keeps one document of each group: the smallest doc_id. Rows that share a doc_id but not the text stay, each text once, as
+    the group's id names them all; rows without an id stay, each text once, if they are no copy of one with an id."""
+    groups = saved(ngram_join.join(docs, **NEAR), "groups")
+    gone = saved(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").where("doc_id is not null").distinct(), "gone")
+    rows = docs.join(small(gone), "doc_id", "left_anti")
     ids = docs.where("doc_id is not null")
     if groups.where("doc_id is null and component_id is not null").isEmpty() and ids.count() == ids.select("doc_id").distinct().count():
         return rows.select(*docs.columns)
-    keyed = rows.where("doc_id is not null").dropDuplicates(["doc_id"])  # rows of one id are one document
+    keyed = rows.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
     twice = rows.where("doc_id is null").join(ids.select("text").distinct(), "text", "left_anti")
     return keyed.select(*docs.columns).unionByName(twice.select(*docs.columns).dropDuplicates(["text"]))
 
