@@ -185,3 +185,18 @@ def test_payables_odd_rows(spark):
     got = payables.enrich(rows, terms, methods).collect()
     assert len(got) == 3 and {r.all_suppliers_total_number_of_suppliers for r in got} == {3} and {r.all_suppliers_total_spend for r in got} == {7.0}
     assert sorted((r.supplier_id, str(r.next_payment_date), r.average_ticket) for r in got if r.payment_terms) == [("a", "2024-01-31", None), ("b", "2024-01-31", 2.0)]
+
+
+def test_cascade_loses_no_pair_that_a_rule_accepts(spark, monkeypatch):
+    """The cascade over its candidates beside the cascade over all pairs."""
+    names = ["Craft Works", "Kraft Works", "ab", "Abacus Trading", "Fedx", "Fedex", "Max", "Maxwell Sons", "Blue River Foods", "River Foods Blue", "Zeta", "Omega Paper Co", "Omga Paper", "Delta DBA Craft"]
+    places = [("Reno", "Nevada", "89501", "1 Main St"), ("", "", "", ""), ("Bonn", "", "53111", "2 Rue X")]
+    rows = [(f"r{i}-{k}", n, *p, "US") for i, n in enumerate(names) for k, p in enumerate(places)]
+    fields = "row_id string, norm_supplier_name string, norm_city string, full_form_state string, norm_postal_code string, norm_street_address string, norm_country string"
+    own = spark.createDataFrame(rows, fields)
+    other = spark.createDataFrame([(f"E{i}-{k}", n, names[-1 - i] if k else "", p[0], p[1], p[2], p[3], "US" if i % 5 else "DE") for i, n in enumerate(names) for k, p in enumerate(places)],
+                                  "entity_id string, legal_name string, dba_name string, city string, state string, postal_code string, street_address string, country string")
+    got = sorted(map(tuple, matching.cascade(own, other).collect()), key=str)
+    monkeypatch.setattr(matching, "candidates", lambda a, b: a.select("row_id").crossJoin(b.select("entity_id")))
+    assert got == sorted(map(tuple, matching.cascade(own, other).collect()), key=str)
+    assert sum(r[-1] == "Y" for r in got) > len(rows) // 2
