@@ -32,10 +32,10 @@ class Encoder:
     BPE model at once, all others through its whole pipeline. Text with two spaces in a row, with a space at its end, or with
     a special token's string is encoded in one piece. Texts over `chunk` bytes are cut at such spaces and encoded chunk by chunk.
 
-    Pieces and their ids are kept in arrays of fixed size, about `held_bytes` in all; full, they are emptied and filled anew.
+    Pieces and their ids are kept in arrays of fixed size, about `held_bytes` in all; full, only those that were met again stay.
     """
 
-    def __init__(self, path: str, keep: int = 1 << 18, chunk: int = 1 << 18):
+    def __init__(self, path: str, keep: int = 1 << 19, chunk: int = 1 << 18):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would take those of others
@@ -51,42 +51,66 @@ class Encoder:
         self.before_letter = self.other & (code != 0x27) & (code > 0x20) & (code != 0x7F)
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the byte alphabet of byte-level BPE
         rest = [b for b in range(256) if b not in printable]
-        self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.alphabet = np.arange(256, dtype="<u2")
+        self.alphabet[rest] = 256 + np.arange(len(rest))
         probe = " Probe"
-        self.direct = [t.id for t in self.tokenizer.model.tokenize(self.mapped(probe))] == self.whole(probe).tolist()
+        self.direct = [t.id for t in self.tokenizer.model.tokenize(self.mapped(np.frombuffer(probe.encode(), np.uint8)))] == self.whole(probe).tolist()
         bits = max(8, (4 * keep - 1).bit_length())
         self.shift = np.uint64(64 - bits)
         self.slot_hash, self.slot_row = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
-        self.flat, self.begin, self.length = np.zeros(8 * keep, np.uint32), np.zeros(keep, np.int32), np.zeros(keep, np.int32)
+        self.flat, self.begin, self.length = np.zeros(6 * keep, np.uint32), np.zeros(keep, np.int32), np.zeros(keep, np.int32)
+        self.key, self.again = np.zeros(keep, np.uint64), np.zeros(keep, bool)  # of each piece: its hash, whether it was met again
         self.reset()
 
     def reset(self) -> None:
         self.slot_hash[:] = 0
         self.slot_row[:] = -1
+        self.again[:] = False
         self.n_pieces = self.n_flat = 0
         self.crowded: dict[int, int] = {}  # pieces whose slot another one has
 
     @property
     def held_bytes(self) -> int:
         """What the piece table holds at most."""
-        return sum(x.nbytes for x in (self.slot_hash, self.slot_row, self.flat, self.begin, self.length)) + 100 * len(self.crowded)
-
-    def mapped(self, piece: str) -> str:
-        if piece.isascii():
-            return piece.replace(" ", self.alphabet[0x20])
-        return "".join(map(self.alphabet.__getitem__, piece.encode()))
-
-    def encoded(self, pieces: list[str]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(pieces)
-        rest, tokenize = [], self.tokenizer.model.tokenize
-        for i, p in enumerate(pieces):
-            if self.direct and (p.isalpha() or p[0] == " " and p[1:].isalpha()) and (p.isascii() or max(p) < "\u0250"):
-                out[i] = [t.id for t in tokenize(self.mapped(p))]
-            else:
-                rest.append(i)
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
+        return sum(x.nbytes for x in (self.slot_hash, self.slot_row, self.flat, self.begin, self.length, self.key, self.again)) + 100 * len(self.crowded)
+
+    def mapped(self, raw: np.ndarray) -> str:
+        """Bytes in the alphabet of byte-level BPE, one character each."""
+        return self.alphabet[raw].tobytes().decode("utf-16-le")
+
+    def latin(self, raw: np.ndarray) -> np.ndarray:
+        """Which bytes belong to letters before U+0250."""
+        good = self.letter[raw]
+        lead, after = raw[:-1], raw[1:]
+        two = (lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC9) & (after > 0x8F)) & ~((lead == 0xC3) & ((after == 0x97) | (after == 0xB7)))
+        two |= (lead == 0xC2) & ((after == 0xAA) | (after == 0xB5) | (after == 0xBA))
+        good[:-1] |= two
+        good[1:] |= two
+        return good
+
+    def encoded(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces of raw in a row, and the number of each piece's."""
+        out: list = [()] * len(starts)
+        direct = np.zeros(len(starts), bool)
+        if self.direct:
+            others = np.concatenate([[0], np.cumsum(~self.latin(raw))])
+            first = starts + (raw[starts] == 0x20)
+            direct = (others[stops] == others[first]) & (stops > first)
+        if direct.any():
+            text, tokenize = self.mapped(raw), self.tokenizer.model.tokenize
+            for i, a, b in zip(np.flatnonzero(direct).tolist(), starts[direct].tolist(), stops[direct].tolist()):
+                out[i] = tokenize(text[a:b])
+        rest = np.flatnonzero(~direct)
+        data = raw.tobytes()
+        pieces = [data[a:b].decode() for a, b in zip(starts[rest].tolist(), stops[rest].tolist())]
+        for i, e in zip(rest.tolist(), self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
             out[i] = e.ids
-        return out
+        size = np.fromiter(map(len, out), np.int64, len(out))
+        ids = np.zeros(int(size.sum()), np.uint32)
+        tokens = np.repeat(direct, size)
+        ids[tokens] = [t.id for i in np.flatnonzero(direct).tolist() for t in out[i]]
+        ids[~tokens] = [k for i in rest.tolist() for k in out[i]]
+        return ids, size
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
@@ -100,18 +124,19 @@ class Encoder:
             row[miss] = [self.crowded.get(k, -1) for k in keys[miss].tolist()] if self.crowded else -1
         return row
 
-    def learn(self, keys: np.ndarray, pieces: list[str]) -> bool:
-        """Keeps the pieces' ids; false if there is no room for them."""
-        got = self.encoded(pieces)
-        size = np.array([len(x) for x in got], dtype=np.int64)
-        total, at = int(size.sum()), self.n_pieces
-        if at + len(keys) > self.keep or self.n_flat + total > len(self.flat):
+    def learn(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> bool:
+        """Keeps the ids of new pieces of raw; false if there is no room for them."""
+        return self.n_pieces + len(keys) <= self.keep and self._put(keys, *self.encoded(raw, starts, stops))
+
+    def _put(self, keys: np.ndarray, ids: np.ndarray, size: np.ndarray) -> bool:
+        at, n = self.n_pieces, self.n_pieces + len(keys)
+        if n > self.keep or self.n_flat + len(ids) > len(self.flat):
             return False
-        self.flat[self.n_flat : self.n_flat + total] = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=total)
-        self.begin[at : at + len(keys)] = self.n_flat + np.cumsum(size) - size
-        self.length[at : at + len(keys)] = size
-        self.n_pieces, self.n_flat = at + len(keys), self.n_flat + total
-        rows = np.arange(at, at + len(keys))
+        self.flat[self.n_flat : self.n_flat + len(ids)] = ids
+        self.begin[at:n] = self.n_flat + np.cumsum(size) - size
+        self.length[at:n], self.key[at:n] = size, keys
+        self.n_pieces, self.n_flat = n, self.n_flat + len(ids)
+        rows = np.arange(at, n)
         slot = (keys >> self.shift).astype(np.int64)
         free = self.slot_row[slot] < 0
         slot, own, rows_free = slot[free], keys[free], rows[free]
@@ -120,6 +145,15 @@ class Encoder:
         self.crowded.update(zip(keys[lost - at].tolist(), lost.tolist()))
         return True
 
+    def squeeze(self) -> None:
+        """Drops the pieces that were not met again since the last time; all, if the others take more than half of the room."""
+        stay = np.flatnonzero(self.again[: self.n_pieces])
+        keys, size = self.key[stay], self.length[stay].astype(np.int64)
+        ids = self.flat[ragged(self.begin[stay].astype(np.int64), size)]
+        self.reset()
+        if 2 * len(stay) <= self.keep and 2 * len(ids) <= len(self.flat):
+            self._put(keys, ids, size)
+
     def batch(self, column):
         """Of an Arrow column of texts, slice by slice: first row, the ids in a row, and the number of each text's; null and
         empty texts have none."""
@@ -172,9 +206,9 @@ class Encoder:
             stay = ~odd[owner]
             keys, starts, stops, owner, led = keys[stay], starts[stay], stops[stay], owner[stay], led[stay]
         rows = self.rows_of(keys)
-        miss = np.flatnonzero(rows < 0)
-        if len(miss):
-            rows = self._learned(keys, rows, miss, data, starts - led, stops)
+        self.again[rows[rows >= 0]] = True
+        if (rows < 0).any():
+            rows = self._learned(keys, rows, raw, starts - led, stops)
             if rows is None:  # more pieces than the table can hold, even empty
                 odd[:] = True
                 rows, owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -193,16 +227,18 @@ class Encoder:
                 at += int(counts[d])
         return np.concatenate(parts), counts
 
-    def _learned(self, keys, rows, miss, data: bytes, starts, stops):
-        """Rows of all pieces after the missing ones are learned; if the table was full, it is emptied and all are."""
-        for again in (False, True):
-            new, first = np.unique(keys[miss], return_index=True)
-            at = miss[first]
-            if self.learn(new, [data[a:b].decode() for a, b in zip(starts[at].tolist(), stops[at].tolist())]):
-                rows[miss] = self.rows_of(keys[miss])
+    def _learned(self, keys, rows, raw: np.ndarray, starts, stops):
+        """Rows of all pieces after the missing ones are learned; if the table is full, room is made."""
+        for make_room in (self.squeeze, self.reset, None):
+            miss = np.flatnonzero(rows < 0)
+            new, first, which = np.unique(keys[miss], return_index=True, return_inverse=True)
+            at, n = miss[first], self.n_pieces
+            if self.learn(new, raw, starts[at], stops[at]):
+                rows[miss] = n + which
                 return rows
-            self.reset()
-            miss = np.arange(len(keys))
+            if make_room:
+                make_room()
+                rows = self.rows_of(keys)
         return None
 
 

@@ -111,3 +111,21 @@ def test_lengths_round_trip():
     got, used = unpack_lengths(raw, len(n))
     assert (got == n).all() and used == len(raw) - 2
     assert unpack_lengths(raw, 0)[1] == 0 and pack_lengths(n[:0]) == b""
+
+
+def test_pieces_met_again_stay_when_room_is_made():
+    e = Encoder(default_tokenizer(), keep=64)
+    texts = [" ".join(["x", "often", "again", *(f"{chr(97 + i)}{chr(97 + k)}q" for k in range(8))]) for i in range(26)]
+    for _ in range(2):
+        for x, want in zip(texts, brute(texts)):
+            ((_, ids, _),) = e.batch(pa.array([x], pa.string()))
+            assert ids.tolist() + [2] == want
+    known = {tuple(e.flat[a : a + n].tolist()) for a, n in zip(e.begin[: e.n_pieces], e.length[: e.n_pieces])}
+    assert {tuple(Tokenizer.from_file(default_tokenizer()).encode(w).ids) for w in (" often", " again")} <= known and e.n_pieces <= 64
+
+
+def test_letters_of_the_direct_way():
+    e = Encoder(default_tokenizer())
+    for code in [*range(0x21, 0x2FF), 0x4E2D, 0x1F600]:
+        raw = np.frombuffer(chr(code).encode(), np.uint8)
+        assert e.latin(raw).all() == (chr(code).isalpha() and code < 0x250), hex(code)
