@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import attributes, scalar, similarity, text
 from ..operators import bins, blocking, clearing, features, ledger, matching, payables
 from ..sources import tables
+from . import jobs
 
 AS_OF = "2001-11-05"
 METHODS = [("R", "card"), ("A", "check"), ("n ", "ach")]
@@ -493,10 +494,88 @@ def merge_tracker(spark, d):
     return tables.merged(t, change, "file_id", ["record_count", "status"])
 
 
+def text_repair(spark, d):
+    k = F.col("p_partkey")
+    t = F.when(k % 5 == 0, None).when(k % 4 == 0, F.concat("p_name", F.lit("\tcaf\u00c3\u00a9"))).when(k % 4 == 1, F.concat("p_name", F.lit("\u221a\u00e2b")))
+    t = t.when(k % 4 == 2, F.concat(F.lit("\x01 "), "p_name", F.lit("  x "))).otherwise(F.repeat(F.concat("p_name", F.lit(" ")), 20))
+    return table(spark, d, "part").select("p_partkey", text.clean_text(t).alias("cleaned"), F.length(text.fix_encoding(t)).alias("n_fixed"))
+
+
+def place_match(spark, d):
+    k, code = F.col("c_custkey"), F.lpad(F.col("c_custkey").cast("string"), 5, "9")
+    city = F.when(k % 3 == 0, F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit("  x"))).when(k % 3 == 1, "").otherwise(F.col("c_mktsegment"))
+    other = F.when(k % 4 == 0, F.concat(code, F.lit("-1234"))).when(k % 4 == 1, F.concat(F.lit("A"), code)).when(k % 4 == 2, None).otherwise(F.concat(code, F.lit(" 77")))
+    country = F.when(k % 2 == 0, "USA").otherwise("CAN")
+    return table(spark, d, "customer").select("c_custkey", text.city_match(F.concat("c_mktsegment", F.lit(" X")), F.when(k % 3 == 2, F.concat(city, F.lit("\tx"))).otherwise(city)).alias("city"),
+                                              text.postal_match(code, other, country).alias("postal"))
+
+
+def supplier_normalized(spark, d):
+    k = F.col("s_suppkey")
+    rows = table(spark, d, "supplier").select(
+        "s_suppkey", F.concat(F.lit(" "), "s_name", F.lit("\x02 Inc.")).alias("supplier_name"), F.concat(F.lit("1  Main"), k).alias("street_address"), F.when(k % 3 > 0, "Par  is").alias("city"),
+        F.when(k % 2 == 0, "00000").otherwise(F.concat(F.lit("1-"), F.lpad(k.cast("string"), 4, "7"))).alias("postal_code"), F.when(k % 2 == 0, " ca").otherwise("Bavaria").alias("state"),
+        F.when(k % 4 == 0, "USA").otherwise("DEU").alias("norm_country"), F.lit("").alias("country_iso2"))
+    return text.normalize_rows(rows).select("s_suppkey", "norm_supplier_name", "norm_street_address", "norm_city", "norm_postal_code", "cleansed_supplier_name", "norm_state", "full_form_state")
+
+
+def entity_request(spark, d):
+    s = table(spark, d, "supplier")
+    json = attributes.entity_request(F.when(F.col("s_suppkey") % 3 > 0, F.col("s_suppkey").cast("string")), F.col("s_name"), F.lit("1 Main"), F.lit(None).cast("string"), F.lit("CA"), F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string"))
+    return s.select("s_suppkey", json.alias("request"))
+
+
+def matched_suppliers(spark, d):
+    """Every supplier's best part offer as its match: of equal scores the smallest entity id."""
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier_id"), "s_name")
+    item = table(spark, d, "lineitem").where("l_suppkey % 4 > 0").select("l_suppkey", "l_partkey", "l_quantity").distinct()
+    found = item.select(F.col("l_suppkey").alias("supplier_id"), F.format_string("E%08d", "l_partkey").alias("entity_id"), F.col("l_partkey").cast("string").alias("matched_mmhid"),
+                        (F.col("l_partkey") % 10).cast("string").alias("matched_mmc_code"), (F.col("l_quantity").cast("double") / 50).alias("matched_score"))
+    return rows, jobs.with_matches(rows, found)
+
+
+def match_join(spark, d):
+    return matched_suppliers(spark, d)[1].select("supplier_id", "entity_id", "is_matched", F.round("matched_score", 6).alias("matched_score"))
+
+
+def summary_join(spark, d):
+    part = table(spark, d, "part")
+    cats = part.where("p_size % 10 > 2").select((F.col("p_size") % 10).cast("string").alias("mcc_code"), F.concat(F.lit("g"), F.col("p_size") % 10).alias("mcc_group"), F.lit("i").alias("industry_classification_code"))
+    ids = F.concat_ws(",", F.col("p_partkey").cast("string"), F.concat(F.lit("x"), "p_partkey"))
+    summary = part.where("p_partkey % 3 > 0").select(*(F.concat("p_brand", F.lit(f"-{c}")).alias(c) for c in jobs.FROM_SUMMARY), ids.alias("mmh_id"))
+    out = jobs.with_summary(matched_suppliers(spark, d)[1], cats, summary)
+    return out.select("supplier_id", "mcc_code", "mcc_group", "mmh_id", "card_acceptor", "commercial_recency", "confidence", "cleansed_city_name")
+
+
+MATCHED_SQL = """m AS (SELECT l_suppkey, l_partkey, CAST(l_quantity AS DOUBLE) / 50 AS s, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_partkey) AS rn FROM lineitem WHERE l_suppkey % 4 > 0),
+j AS (SELECT s_suppkey, l_partkey, s FROM supplier LEFT JOIN m ON s_suppkey = l_suppkey AND rn = 1)"""
+
+
+def latest_days(spark, d):
+    done, regions = clearing_table(spark, d), ["01", "02", "03"]
+    each = [clearing.latest_day(done, r).select(F.lit(r).alias("region"), "latest") for r in regions]
+    return tables.union_with_missing(*each, clearing.latest_day(done)).select("region", F.col("latest").cast("string").alias("latest"))
+
+
+def union_columns(spark, d):
+    s = table(spark, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    c = table(spark, d, "customer").select(F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"))
+    return tables.union_with_missing(s, c).select("name", "nation", "segment")
+
+
+def quantile_ranks(spark, d):
+    """The approximate quantiles the jobs take, each beside whether its rank is within one and the stated error of the wanted one."""
+    rows = table(spark, d, "customer").select("c_acctbal")
+    q = bins.quantiles(rows, ["c_acctbal"]).select(F.posexplode("q").alias("i", "v"))
+    counts = rows.crossJoin(F.broadcast(q)).groupBy("i").agg(F.count_if(F.col("c_acctbal") < F.col("v")).alias("below"), F.count_if(F.col("c_acctbal") <= F.col("v")).alias("upto"), F.count("c_acctbal").alias("n"))
+    at, free = F.col("i") * F.col("n") / 100, 1 + F.col("n") / 10_000
+    return counts.select("i", ((F.col("below") <= at + free) & (F.col("upto") >= at - free)).alias("near"), "n")
+
+
 QUERIES = {f.__name__: f for f in (
     ap_enrich, ap_contrib, ap_totals, ap_due_date, quarter_label, recency_flags, latest_version, period_expand, invoice_rollup, po_rollup, payment_rollup, final_metrics, merchant_rollup, clearing_union_agg, clearing_missing_days,
     txn_features, feature_join, percentile_bins, bin_score, propensity_label, top_n_by_key, id_explode, normalize_text, cleanse_name, postal_valid, state_norm, country_resolve, dba_split, request_hash, json_attrs, match_response, search_response, cluster_match_accepted, best_rule,
-    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker)}
+    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks)}
 QUERIES |= {"confidence_tier": confidence, "category_dim": category_rows}
 
 SQL = {
@@ -578,4 +657,20 @@ SQL = {
       SELECT CAST(-i AS VARCHAR) AS supplier_id, 'E' || j AS entity_id, round(s, 4) AS matched_score, 'other' AS best_match_name FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY s DESC, 'E' || j) AS rn FROM p WHERE s >= -1.0) WHERE rn = 1""",
     "upsert_by_key": "WITH k AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey NOT IN (SELECT * FROM k) UNION ALL SELECT o_orderkey, o_custkey, 'N' FROM orders WHERE o_custkey IN (SELECT * FROM k) AND o_orderkey % 2 = 0",
     "merge_tracker": "SELECT o_orderpriority || ' ' AS file_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 7 ELSE count(*) END AS record_count, CASE WHEN o_orderpriority = '1-URGENT' THEN 'SUCCESS' ELSE 'IN-PROGRESS' END AS status FROM orders GROUP BY o_orderpriority UNION ALL SELECT '9-NEW', 1, 'FAILED'",
+    "text_repair": r"""WITH r AS (SELECT p_partkey, p_name, p_partkey % 5 = 0 AS gone, p_partkey % 4 AS k, trim(repeat(p_name || ' ', 20)) AS many FROM part)
+      SELECT p_partkey, CASE WHEN gone THEN '' WHEN k = 0 THEN p_name || ' café' WHEN k = 1 THEN p_name || 'Éb' WHEN k = 2 THEN p_name || ' x' ELSE trim(many[1:200]) END AS cleaned,
+        CAST(CASE WHEN gone THEN 0 WHEN k = 0 THEN length(p_name) + 5 WHEN k = 1 THEN length(p_name) + 2 WHEN k = 2 THEN length(p_name) + 6 ELSE 20 * (length(p_name) + 1) END AS INTEGER) AS n_fixed FROM r""",
+    "place_match": "SELECT c_custkey, c_custkey % 3 <> 1 AS city, c_custkey % 4 IN (0, 3) AS postal FROM customer",
+    "supplier_normalized": """SELECT s_suppkey, s_name || ' Inc.' AS norm_supplier_name, '1 Main' || s_suppkey AS norm_street_address, CASE WHEN s_suppkey % 3 > 0 THEN 'Par is' ELSE '' END AS norm_city,
+      CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE '1-' || CASE WHEN length(CAST(s_suppkey AS VARCHAR)) < 4 THEN lpad(CAST(s_suppkey AS VARCHAR), 4, '7') ELSE CAST(s_suppkey AS VARCHAR)[1:4] END END AS norm_postal_code, lower(s_name) AS cleansed_supplier_name,
+      CASE WHEN s_suppkey % 4 = 0 THEN 'USA-CA' WHEN s_suppkey % 2 = 0 THEN 'CA' ELSE 'Bavaria' END AS norm_state, CASE WHEN s_suppkey % 2 = 0 THEN 'CALIFORNIA' ELSE 'Bavaria' END AS full_form_state FROM supplier""",
+    "entity_request": """SELECT s_suppkey, CAST(to_json({'attributes': {'DoingBusinessAsName': [{'value': s_name}], 'Name': [{'value': s_name}], 'Address': [{'value': {'AddressLine1': [{'value': '1 Main'}], 'Country': [{'value': CAST(s_nationkey AS VARCHAR)}],
+      'City': [{'value': ''}], 'StateProvince': [{'value': 'CA'}], 'PostalCode': [{'value': {'PostalCode': [{'value': CAST(s_suppkey AS VARCHAR)}]}}]}}]}, 'crosswalks': [{'value': CASE WHEN s_suppkey % 3 > 0 THEN CAST(s_suppkey AS VARCHAR) ELSE '1_1' END}]}) AS VARCHAR) AS request FROM supplier""",
+    "match_join": f"WITH {MATCHED_SQL} SELECT s_suppkey AS supplier_id, printf('E%08d', l_partkey) AS entity_id, CASE WHEN l_partkey IS NULL THEN 'N' ELSE 'Y' END AS is_matched, round(s, 6) AS matched_score FROM j",
+    "summary_join": f"""WITH {MATCHED_SQL}, p AS (SELECT p_partkey, p_brand FROM part WHERE p_partkey % 3 > 0), c AS (SELECT DISTINCT p_size % 10 AS k FROM part WHERE p_size % 10 > 2)
+      SELECT s_suppkey AS supplier_id, CAST(l_partkey % 10 AS VARCHAR) AS mcc_code, 'g' || k AS mcc_group, CAST(l_partkey AS VARCHAR) AS mmh_id, p_brand || '-card_acceptor' AS card_acceptor, p_brand || '-commercial_recency' AS commercial_recency,
+        CASE WHEN s >= 0.75 THEN 'High' WHEN s >= 0.70 THEN 'Medium' ELSE 'Low' END AS confidence, CAST(NULL AS VARCHAR) AS cleansed_city_name FROM j LEFT JOIN p ON l_partkey = p_partkey LEFT JOIN c ON l_partkey % 10 = k""",
+    "latest_days": f"WITH {CLEARING_SQL} SELECT r.region, CAST(max(CAST(process_date AS DATE)) AS VARCHAR) AS latest FROM (VALUES ('01'), ('02'), ('03'), (NULL)) AS r(region) LEFT JOIN clr ON r.region IS NULL OR clr.region = r.region GROUP BY 1",
+    "union_columns": "SELECT s_name AS name, s_nationkey AS nation, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION ALL SELECT c_name, NULL, c_mktsegment FROM customer",
+    "quantile_ranks": "SELECT CAST(range AS INTEGER) AS i, TRUE AS near, (SELECT count(c_acctbal) FROM customer) AS n FROM range(101)",
 }

@@ -22,7 +22,12 @@ RENAMED = {
     "auth_last_seen_date": "matched_auth_last_seen_date", "last_update_date": "matched_zi_c_last_updated_date", "customer_naics": "matched_naics", "dw_merch_region_cd": "matched_region_code",
     "industry": "matched_industry", "supplier_alias_name": "matched_dba_name", "cleansed_supplier_name": "matched_dba_name", "business_region_name": "matched_region_name", "region": "matched_region_name",
 }
-FROM_SUMMARY = "preferred_payment_method propensity_score transaction_recency suggested_talking_points commercial_history commercial_recency avg_tran_amt matched_trans_count in_control_history in_control_recency propensity_score_label card_acceptor".split()
+# Columns of the merchant summary that a match carries over.
+FROM_SUMMARY = [
+    "preferred_payment_method", "propensity_score", "transaction_recency", "suggested_talking_points", "commercial_history",
+    "commercial_recency", "avg_tran_amt", "matched_trans_count", "in_control_history", "in_control_recency", "propensity_score_label",
+    "card_acceptor",
+]
 
 
 @dataclass

@@ -46,6 +46,39 @@ def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def overwrite_table_partitions(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """The same for a catalog table, by column name; creates it on the first write. Columns the table doesn't have are an error,
+    so is a table that isn't partitioned by `keys`; an empty df replaces nothing."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.partitionBy(*keys).saveAsTable(table)
+        return
+    own = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if sorted(own) != sorted(keys):
+        raise ValueError(f"{table} is partitioned by {', '.join(own) or 'nothing'}, not by {', '.join(keys)}")
+    columns = spark.table(table).columns
+    if extra := sorted(set(df.columns) - set(columns)):
+        raise ValueError(f"{table} has no columns {', '.join(extra)}")
+    rows = require_columns(df, columns).select(*columns)
+    mode = "spark.sql.sources.partitionOverwriteMode"  # insertInto reads the session's, not the writer's, and static would empty the table
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def union_with_missing(*frames: DataFrame) -> DataFrame:
+    """All rows of the frames by column name; a column that a frame doesn't have is null in its rows. No frame is an error."""
+    if not frames:
+        raise ValueError("no frames")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def drop_partition(spark: SparkSession, table: str, **values: str) -> bool:
     """Drops a partition; False if there is no such table."""
     if not spark.catalog.tableExists(table):

@@ -88,3 +88,28 @@ def test_merchant_inference_and_summary(spark, sf_dir):
     assert same is q and again.count() == len(got)
     assert bins.rebuild_due(q, "2024-06-30") and bins.rebuild_due(q.limit(0), "2024-01-30") and not bins.rebuild_due(q, "2024-03-31")
     assert features.latest_snapshot(rows.unionByName(rows.withColumn("refreshed_date", F.lit("2023-01-01").cast("date")))).count() == len(got) and len(MATCHED) == 23
+
+
+def test_table_partitions_are_replaced_and_others_stay(spark):
+    from ledgerlark.sources.tables import overwrite_table_partitions
+
+    spark.sql("DROP TABLE IF EXISTS parts_of_days")
+    frame = lambda rows: spark.createDataFrame(rows, "x int, day string")
+    overwrite_table_partitions(frame([(1, "a"), (2, "b")]), "parts_of_days", ["day"])
+    overwrite_table_partitions(frame([(3, "b"), (4, "c")]).select("day", "x"), "parts_of_days", ["day"])
+    overwrite_table_partitions(frame([]), "parts_of_days", ["day"])
+    assert sorted(map(tuple, spark.table("parts_of_days").collect())) == [(1, "a"), (3, "b"), (4, "c")]
+    with pytest.raises(ValueError, match="has no columns y"):
+        overwrite_table_partitions(frame([(5, "a")]).selectExpr("x", "day", "1 as y"), "parts_of_days", ["day"])
+    with pytest.raises(ValueError, match="partitioned by day"):
+        overwrite_table_partitions(frame([(5, "a")]), "parts_of_days", ["x"])
+    assert spark.table("parts_of_days").count() == 3
+
+
+def test_union_fills_missing_columns(spark):
+    from ledgerlark.sources.tables import union_with_missing
+
+    a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, 4)], "y int, z int")
+    assert sorted(map(tuple, union_with_missing(a, b, a.limit(0)).collect()), key=repr) == [(1, 2, None), (None, 3, 4)]
+    with pytest.raises(ValueError):
+        union_with_missing()
