@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, html_extract, lang_id, mixing, ngram_join, quality, token_output, url_filter
+from . import chat_format, decontaminate, embedding_dedup, fill_middle, html_extract, lang_id, mixing, ngram_join, periodic_runs, quality, token_output, url_filter, voronoi_knn
 
 
 def queries() -> dict:
@@ -20,8 +20,11 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_mixing": mixing.op9_mixing,
         "op10_html_extract": html_extract.op10_html_extract,
+        "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+        "op12_fill_middle": fill_middle.op12_fill_middle,
+        "op13_top_k": voronoi_knn.op13_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_dedup": embedding_dedup.ORACLE_SQL, "op5_chat_format": chat_format.ORACLE_SQL, "op8_decontamination": decontaminate.ORACLE_SQL}
+    return {"op2_embedding_dedup": embedding_dedup.ORACLE_SQL, "op5_chat_format": chat_format.ORACLE_SQL, "op8_decontamination": decontaminate.ORACLE_SQL, "op13_top_k": voronoi_knn.ORACLE_SQL}
