@@ -27,17 +27,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the smallest doc_id. Rows that share a doc_id but not the text stay, each text once, as
-    the group's id names them all; rows without an id stay, each text once, if they are no copy of one with an id."""
-    groups = saved(ngram_join.join(docs, **NEAR), "groups")
-    gone = saved(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").where("doc_id is not null").distinct(), "gone")
-    rows = docs.join(small(gone), "doc_id", "left_anti")
-    ids = docs.where("doc_id is not null")
-    if groups.where("doc_id is null and component_id is not null").isEmpty() and ids.count() == ids.select("doc_id").distinct().count():
-        return rows.select(*docs.columns)
-    keyed = rows.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    twice = rows.where("doc_id is null").join(ids.select("text").distinct(), "text", "left_anti")
-    return keyed.select(*docs.columns).unionByName(twice.select(*docs.columns).dropDuplicates(["text"]))
+    """Keeps one row of each group of near copies: the one with the smallest doc_id, a row without one only where none has an id.
+    Rows are told apart by themselves, not by their doc_id: rows of one id with different texts are judged each by its own text,
+    and of equal rows one stays. Rows without words are no copies and all stay."""
+    rows, ids = docs.agg(F.count("*"), F.countDistinct("doc_id")).first()
+    if rows == ids:  # each doc_id names one row
+        groups = saved(ngram_join.join(docs, **NEAR), "groups")
+        gone = saved(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), "gone")
+        return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    own = "__row"
+    keyed = saved(docs.withColumn(own, F.monotonically_increasing_id()), "rows")
+    groups = ngram_join.join(keyed.select(F.col(own).alias("doc_id"), "text"), **NEAR).select(F.col("doc_id").alias(own), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(own)))
+    kept = saved(keyed.select(own, "doc_id").join(groups, own).groupBy("component_id").agg(first.alias("first")).select(f"first.{own}"), "kept")
+    return keyed.join(small(kept), own, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
