@@ -75,3 +75,13 @@ def test_rows_of_one_id_with_different_texts_stay(spark):
     docs = spark.createDataFrame([(3, a, 1), (3, b, 2), (3, b, 2), (4, a, 3), (5, " ".join(f"c{i}" for i in range(30)) + " x" * 200_000, 4)], "doc_id long, text string, component_id int")
     kept = p.join_near_duplicates(spark, docs, "").collect()
     assert sorted((r.doc_id, r.text[:2], r.component_id) for r in kept) == [(3, "a0", 1), (3, "b0", 2), (5, "c0", 4)]
+
+
+def test_each_row_of_an_id_has_its_own_fate(spark):
+    """Whether the smaller or the larger id holds two texts, what goes is the copy, and no text of its own is lost."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    for rows, want in (
+            ([(3, a), (4, a), (4, b)], [(3, a), (4, b)]), ([(4, b), (4, a), (3, a)], [(3, a), (4, b)]), ([(3, a), (3, b), (4, b)], [(3, a), (3, b)]),
+            ([(4, a), (4, b), (3, b), (5, a), (5, c)], [(3, b), (4, a), (5, c)]), ([(None, a), (4, a), (None, b), (None, b)], [(4, a), (None, b)]), ([(7, ""), (7, None), (7, "")], [(7, ""), (7, None), (7, "")])):
+        kept = p.join_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
