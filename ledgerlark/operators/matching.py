@@ -1,7 +1,8 @@
 """Rule-based matching of suppliers to master entities: hash cache, candidate blocking, scoring, the 15-rule cascade.
 
 The cascade is evaluated at once: every candidate pair is tested under every rule and name variant, and the first passing
-(rule, variant) with the best score wins by one windowed pick. Candidates come from equi-joins on blocking keys.
+(rule, variant) with the best score wins by one windowed pick. Candidates come from a similarity join of names and from equi-joins on
+hashes of whole keys.
 """
 
 from __future__ import annotations
@@ -11,12 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import address_similarity, boost, name_similarity
+from ..functions.similarity import boost, let, letter_codes, letter_masks, ratio, with_address_similarity
 from ..functions.text import (
-    cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_rows, normalize_text, postal_match, remove_special, request_hash, resolve_country)
+    cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_rows, normalize_text, postal_match, request_hash, resolve_country)
+from .similar_names import plain_name, similar_names, spread
 
 #: A name is fuzzily equal from this token-sort ratio.
 FUZZY = 0.80
+#: An address agrees from this similarity.
+STREET = 0.80
 
 
 @dataclass(frozen=True)
@@ -77,7 +81,7 @@ def place_agreements(own: dict[str, Column], entity: dict[str, Column], street:
     city, other_city = normalize_city(own["city"]), normalize_city(entity["city"])
     return {
         "city": city_match(own["city"], entity["city"]), "city in": (city != "") & other_city.contains(city), "city starts": (city != "") & other_city.startswith(city),
-        "state": (filled(own["state"]) != "") & (F.lower(filled(own["state"])) == F.lower(filled(entity["state"]))), "postal": postal_match(own["postal_code"], entity["postal_code"], own["country"]), "street": street >= 0.80,
+        "state": (filled(own["state"]) != "") & (F.lower(filled(own["state"])) == F.lower(filled(entity["state"]))), "postal": postal_match(own["postal_code"], entity["postal_code"], own["country"]), "street": street >= STREET,
     }
 
 
@@ -93,58 +97,61 @@ def rule_holds(rule: Rule) -> Column:
     return out
 
 
-def name_variants(rows: DataFrame) -> DataFrame:
-    """Each row once for each name to try: full, before and after `dba`, cleansed; empty and repeated ones are left out."""
-    before, after = dba_parts(F.col("norm_supplier_name"))
-    names = [(F.col("norm_supplier_name"), ""), (before, "_DBA_Part1"), (after, "_DBA_Part2"), (cleanse_name(F.col("norm_supplier_name")), "_CleansedName")]
+def variants(name: Column) -> Column:
+    """The names to try for a name: (variant, name, suffix) for the full one, before and after `dba`, and the cleansed one; empty
+    and repeated ones are left out."""
+    before, after = dba_parts(name)
+    names = [(name, ""), (before, "_DBA_Part1"), (after, "_DBA_Part2"), (cleanse_name(name), "_CleansedName")]
     cells = F.array(*(F.struct(F.lit(i).alias("variant"), filled(n).alias("name"), F.lit(s).alias("suffix")) for i, (n, s) in enumerate(names)))
-    kept = F.filter(cells, lambda x: (x["name"] != "") & ~F.exists(cells, lambda y: (y["variant"] < x["variant"]) & (y["name"] == x["name"])))
-    return rows.withColumn("__v", F.explode(kept)).select("*", "__v.variant", F.col("__v.name").alias("tried_name"), F.col("__v.suffix").alias("suffix")).drop("__v")
-
+    return let(cells, lambda c: F.filter(c, lambda x: (x["name"] != "") & ~F.exists(c, lambda y: (y["variant"] < x["variant"]) & (y["name"] == x["name"]))))
 
-def trigrams(name: Column) -> Column:
-    """Distinct trigrams of the name as its ratio sees it, padded by one at its start and two at its end. Names of n characters
-    with a ratio of .80 share one at least: a deletion breaks three of n + 2 (with one more pad), an insertion two, and the
-    ratio allows so few that two stay; none for a name without letters and digits."""
-    plain = F.concat(F.lit("^"), F.array_join(F.array_sort(F.split(remove_special(F.lower(name)), " ")), " "), F.lit("$$"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(plain) - 2), lambda i: F.concat(F.lit("g:"), plain.substr(i, F.lit(3)))))
-    return F.when(F.length(plain) > 3, grams).otherwise(F.array().cast("array<string>"))
 
+def name_variants(rows: DataFrame) -> DataFrame:
+    """Each row once for each name to try."""
+    return rows.withColumn("__v", F.explode(variants(F.col("norm_supplier_name")))).select("*", "__v.variant", F.col("__v.name").alias("tried_name"), F.col("__v.suffix").alias("suffix")).drop("__v")
 
-def word_keys(words: Column) -> Column:
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.concat(F.lit("w:"), w))
 
+def exact_keys(group: Column, keys: dict[str, Column]) -> Column:
+    """Hashes of (group, kind, whole key) for arrays of keys by kind; empty and null keys are left out. A collision is a candidate
+    more and changes no result."""
+    def hashed(kind: str) -> Column:
+        return F.transform(F.filter(keys[kind], lambda k: k != ""), lambda k: F.xxhash64(group, F.lit(kind), k))
 
-def place_keys(postal: Column, city: Column) -> Column:
-    return F.array(F.when(filled(postal) != "", F.concat(F.lit("p:"), F.upper(postal).substr(1, 3))), F.when(filled(city) != "", F.concat(F.lit("c:"), normalize_city(city))))
+    return F.array_distinct(F.concat(*map(hashed, keys)))
 
 
-def with_country(country: Column, keys: list[Column]) -> Column:
-    return F.transform(F.array_distinct(F.array_compact(F.concat(*keys))), lambda k: F.concat_ws("|", F.upper(filled(country)), k))
+def prefixes(text: Column) -> Column:
+    return F.when(F.length(text) > 0, F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: text.substr(F.lit(1), i))).otherwise(F.array().cast("array<string>"))
 
 
-def request_keys(country: Column, name: Column, postal: Column, city: Column) -> Column:
-    """Keys of a tried name. Each way to agree has its own: trigrams for fuzzy; the first four letters for equal, starts and
-    prefix; the longest word for words; the city for rule 9, which asks for no name."""
+def request_keys(name: Column) -> dict[str, Column]:
+    """A tried name whole, for names that equal it, start with it or have a word that does; its longest word, for those that hold
+    all its words."""
     longest = F.array_max(F.transform(F.split(normalize_text(name), " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    return with_country(country, [trigrams(name), word_keys(F.array(longest)), F.array(F.concat(F.lit("s:"), F.lower(name).substr(1, 4))), place_keys(postal, city)])
+    whole = F.array(F.lower(name))
+    return {"equal": whole, "starts": whole, "prefix": whole, "word": F.array(longest)}
 
 
-def entity_keys(country: Column, names: list[Column], postal: Column, city: Column) -> Column:
-    """The same of an entity: all its words, and one to four first letters of each name and each word."""
-    keys = [place_keys(postal, city)]
-    for n in map(filled, names):
-        starts = F.transform(F.concat(F.array(F.lower(n)), F.split(F.lower(n), r"\s+")), lambda w: F.array(*(F.concat(F.lit("s:"), w.substr(1, k)) for k in range(1, 5))))
-        keys += [trigrams(n), word_keys(F.split(normalize_text(n), " ")), F.filter(F.flatten(starts), lambda k: k != "s:")]
-    return with_country(country, keys)
+def entity_keys(legal: Column, dba: Column) -> dict[str, Column]:
+    """The same of an entity, by what the rules ask of each name: all prefixes of its dba name and of every word, whole names and words."""
+    both = [filled(legal), filled(dba)]
+    starts = F.flatten(F.transform(F.concat(*(F.split(F.lower(n), r"\s+") for n in both)), prefixes))
+    return {"equal": F.array(*map(F.lower, both)), "starts": prefixes(F.lower(both[1])), "prefix": starts, "word": F.concat(*(F.split(normalize_text(n), " ") for n in both))}
 
 
 def candidates(rows: DataFrame, entities: DataFrame) -> DataFrame:
-    """(row_id, entity_id) of pairs that share a blocking key, once each: every pair that a rule accepts, but for names without
-    a Latin letter or digit, whose ratios say nothing. Spark splits the partitions of common keys."""
-    a = name_variants(rows).select("row_id", F.explode(request_keys(F.col("norm_country"), F.col("tried_name"), F.col("norm_postal_code"), F.col("norm_city"))).alias("k")).distinct()
-    b = entities.select("entity_id", F.explode(entity_keys(F.col("country"), [F.col("legal_name"), F.col("dba_name")], F.col("postal_code"), F.col("city"))).alias("k"))
-    return a.join(b, "k").select("row_id", "entity_id").distinct()
+    """(row_id, entity_id) once each, of one country: every pair that a rule accepts, but for names without a Latin letter or digit,
+    whose ratios say nothing. Rules 1 to 9 give no score without alike names, which come from a similarity join that lets only such
+    pass; the other ways to agree of rules 10 to 15 are equal keys."""
+    country = lambda c: F.upper(filled(F.col(c)))
+    tried = name_variants(rows).select("row_id", country("norm_country").alias("grp"), "tried_name")
+    named = tried.select("row_id", "grp", plain_name(F.col("tried_name")).alias("name")).where("name <> ''").distinct()
+    known = entities.select("entity_id", country("country").alias("grp"), F.explode(F.array(*(plain_name(filled(F.col(c))) for c in ("legal_name", "dba_name")))).alias("other")).where("other <> ''").distinct()
+    alike = similar_names(named, known.select("grp", F.col("other").alias("name")), round(100 * FUZZY))
+    alike = named.join(alike, ["grp", "name"]).join(known, ["grp", "other"]).select("row_id", "entity_id")
+    a = tried.select("row_id", F.explode(exact_keys(F.col("grp"), request_keys(F.col("tried_name")))).alias("k")).distinct()
+    b = entities.select("entity_id", F.explode(exact_keys(country("country"), entity_keys(F.col("legal_name"), F.col("dba_name")))).alias("k"))
+    return spread(alike.unionByName(a.join(b, "k").select("row_id", "entity_id")), "row_id", "entity_id").distinct()
 
 
 def cascade(rows: DataFrame, entities: DataFrame, least: float | None = None) -> DataFrame:
@@ -153,18 +160,30 @@ def cascade(rows: DataFrame, entities: DataFrame, least: float | None = None) ->
     rows: row_id and the norm_ fields, full_form_state; entities: entity_id, legal_name, dba_name, street_address, city, state,
     postal_code, country. Of equal scores under one rule and variant the smallest entity_id wins.
     """
-    pairs = candidates(rows, entities).join(rows, "row_id").join(entities.select("entity_id", *(F.col(c).alias(f"e_{c}") for c in ("legal_name", "dba_name", "street_address", "city", "state", "postal_code", "country"))), "entity_id")
+    # what depends on one side only is made before the pairs: plain names, codes, masks
+    tried = F.transform(variants(F.col("norm_supplier_name")), lambda v: let(plain_name(v["name"]), lambda n: F.struct(v["variant"].alias("variant"), v["name"].alias("name"), v["suffix"].alias("suffix"), n.alias("plain"), letter_masks(n).alias("masks"))))
+    known = entities.select("entity_id", *(F.col(c).alias(f"e_{c}") for c in ("legal_name", "dba_name", "street_address", "city", "state", "postal_code", "country")))
+    sides = [let(plain_name(filled(F.col(f"e_{s}_name"))), lambda n: F.struct(n.alias("plain"), letter_codes(n).alias("codes"))) for s in ("legal", "dba")]
+    pairs = candidates(rows, entities).join(rows.withColumn("__tried", tried), "row_id").join(known.withColumn("__sides", F.array(*sides)), "entity_id")
     pairs = pairs.where(F.upper(filled(F.col("norm_country"))) == F.upper(filled(F.col("e_country"))))
-    street = address_similarity(F.col("norm_street_address"), F.col("e_street_address"))
     own = {"city": F.col("norm_city"), "state": F.col("full_form_state"), "postal_code": F.col("norm_postal_code"), "country": F.col("norm_country")}
     entity = {"city": F.col("e_city"), "state": F.col("e_state"), "postal_code": F.col("e_postal_code")}
     geo = city_match(own["city"], entity["city"]) | postal_match(own["postal_code"], entity["postal_code"], own["country"])
     state = F.lower(filled(own["state"])) == F.lower(filled(entity["state"]))  # two empty states agree
     packed = lambda found: F.struct(*(c.alias(k) for k, c in found.items()))
     # each similarity and agreement is one column, which all rules share
-    pairs = name_variants(pairs.withColumn("__street", street)).withColumns({f"__{s}_ratio": name_similarity(F.lower("tried_name"), F.lower(f"e_{s}_name"), F.lit("")) for s in ("legal", "dba")})
+
+    def ratios(v: Column) -> Column:
+        """A name to try with its ratios to both names; one without a Latin letter or digit is like any other."""
+        both = F.when(v["plain"] == "", F.array(F.lit(1.0), F.lit(1.0))).otherwise(F.transform("__sides", lambda x: ratio(v["plain"], x["plain"], v["masks"], x["codes"])))
+        return let(both, lambda r: F.struct(v["variant"].alias("variant"), v["name"].alias("tried_name"), v["suffix"].alias("suffix"), F.array_max(r).alias("__name"), r[0].alias("__legal_ratio"), r[1].alias("__dba_ratio")))
+
+    pairs = pairs.withColumn("__tested", F.transform("__tried", ratios)).drop("__tried", "__sides")
+    # the address counts from STREET on, and only in scores of alike names at one place: rules 1 and 9 have no other
+    pairs = with_address_similarity(pairs, "__street", F.col("norm_street_address"), F.col("e_street_address"), STREET, geo & F.exists("__tested", lambda v: v["__name"] >= FUZZY))
+    pairs = pairs.withColumn("__v", F.explode("__tested")).select("*", "__v.*")
     pairs = pairs.withColumns({
-        "__name": F.greatest("__legal_ratio", "__dba_ratio"), "__geo": geo, "__state": state, "__place": packed(place_agreements(own, entity, F.col("__street"))),
+        "__geo": geo, "__state": state, "__place": packed(place_agreements(own, entity, F.col("__street"))),
         **{f"__{s}": packed(name_agreements(F.col("tried_name"), F.col(f"e_{s}_name"), F.col(f"__{s}_ratio"))) for s in ("legal", "dba")}})
     found = F.struct("__name", "__street", "__geo", "__state", "__place", "__legal", "__dba")
     pairs = pairs.select("row_id", "entity_id", "variant", "suffix", F.explode(F.array(found)).alias("__k")).select("*", "__k.*")  # a generator: else the optimizer copies each agreement into every rule

@@ -68,7 +68,7 @@ def test_similarity_against_plain_lcs(spark):
 
     for a, b in [("kitten", "sitting"), ("", "a"), ("abcabc", "cbacba"), ("x" * 80, "xy" * 50)]:
         assert similarity.lcs(a, b) == lcs(a, b)
-    assert similarity.token_sort_ratio("foo bar", "bar foo") == 1 and similarity.token_set_ratio("foo bar", "bar") == 1 and similarity.partial_ratio("bcd", "abcde") == 1
+    assert values(spark, [("foo bar", "bar foo", "bar")], "a string, b string, c string", similarity.name_similarity(F.col("a"), F.col("b"), F.lit("")), similarity.token_set_ratio(F.col("a"), F.col("c"))) == [(1.0, 1.0)] and similarity.partial_ratio("bcd", "abcde") == 1
     rows = [("Acme, Foods", "foods acme", "zzz"), ("ab", "", "cd")]
     got = [r[0] for r in values(spark, rows, "a string, b string, c string", similarity.name_similarity(F.lower("a"), F.col("b"), F.col("c")))]
     assert got == [1.0, 0.0]
