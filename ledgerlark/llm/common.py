@@ -63,6 +63,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def rows_of(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver's as a DataFrame. They go as Arrow batches: plain lists would start a Python worker on every core."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    wanted = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) or [[] for _ in wanted]
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, wanted)], schema=wanted), StructType.fromDDL(schema))
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Deletes tables of saved() that nothing reads any more."""
     for df in tables:
@@ -283,5 +294,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
         edges = fewer
     discard(edges)
     if labels is None:
-        return spark.createDataFrame([], "id long, component long")
+        return rows_of(spark, [], "id long, component long")
     return labels.select("id", F.col("to").alias("component"))

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mapped, saved
+from .common import discard, mapped, rows_of, saved
 
 #: Rows the pivots are fitted on, and the most numbers that these may hold together.
 SAMPLE_ROWS, SAMPLE_VALUES = 4096, 1 << 21
@@ -110,7 +110,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector
     asked = is_query(F.col("vec_id"))
     n, n_queries, most, widest = rows.agg(F.count("*"), F.count(F.when(asked, 1)), F.max("norm"), F.max("dims")).first()
     if not n_queries:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return rows_of(rows.sparkSession, [], "query_id long, rank int, vec_id long, score long")
     wanted = pivots or max(1, min(256, n // 256, n // n_queries))
     sample: dict[int, list[bytes]] = {}
     for r in rows.select("dims", "v").orderBy(F.xxhash64("vec_id", "v"), "v").limit(max(1, min(SAMPLE_ROWS, SAMPLE_VALUES // max(widest, 1)))).collect():
@@ -212,7 +212,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector
                     yield pa.RecordBatch.from_arrays([pa.array(cell[j[a : a + 4096]]), pa.array(part[a : a + 4096]), *(own.column(c).take(at) for c in ("vec_id", "dims", "v", "row")), pa.array(score[i[a : a + 4096]])], ["cell", "block", "vec_id", "dims", "v", "row", "least"])
 
     sent = mapped(queries, send, "cell long, block long, vec_id long, dims int, v binary, row long, least double")
-    limits = rows.sparkSession.createDataFrame([(c, p, floor.get(c, math.inf)) for c, p in parts.items()], "cell long, parts long, floor double")
+    limits = rows_of(rows.sparkSession, [(c, p, floor.get(c, math.inf)) for c, p in parts.items()], "cell long, parts long, floor double")
     needed = data.join(F.broadcast(limits), "cell").where("away >= floor").select("cell", F.pmod(F.xxhash64("row"), "parts").alias("block"), "vec_id", "dims", "v", "row", F.lit(None).cast("double").alias("least"))
 
     def solve(batches):
