@@ -449,7 +449,7 @@ class Segment:
         return s
 
 
-def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, segment_ids: int = 1_000_000) -> None:
+def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, segment_ids: int = 500_000) -> None:
     """Encodes every text in ascending (doc_id, text) order and writes the segments to `path`.
 
     Null and empty texts are the end id alone; null doc ids come first; repeated doc ids stay as rows of their own; other
