@@ -22,19 +22,47 @@ def quantiles(rows: DataFrame, metrics: Sequence[str], negated: Sequence[str] =
     return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
+def value_counts(rows: DataFrame, metrics: Sequence[str], negated: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+    """(metric, is_negated, v, c): how often each value occurs, the state that exact quantiles are made of; nulls and NaN don't
+    count. States of days or partitions can be stored and merged. With `digits` values are rounded to so many significant digits
+    first: a state then has under 10 ** digits values for each power of ten, and a quantile is right to half a unit of the last."""
+    value = {**{m: F.col(m) for m in metrics}, **{m: -F.col(m) for m in negated}}
+    cells = F.array(*(F.struct(F.lit(m).alias("metric"), F.lit(m in negated).alias("is_negated"), v.cast("double").alias("v")) for m, v in value.items()))
+    out = rows.select(F.explode(cells).alias("k")).select("k.*").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    if digits is not None:
+        unit = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs("v"))))
+        out = out.withColumn("v", F.when((F.col("v") == 0) | (F.abs("v") == float("inf")), F.col("v")).otherwise(F.round(F.col("v") * unit) / unit))
+    return out.groupBy("metric", "is_negated", "v").agg(F.count("*").alias("c"))
+
+
+def merged_counts(*states: DataFrame) -> DataFrame:
+    """One state of several: the same, to the last digit, as the state of all their rows."""
+    whole = states[0]
+    for s in states[1:]:
+        whole = whole.unionByName(s)
+    return whole.groupBy("metric", "is_negated", "v").agg(F.sum("c").alias("c"))
+
+
+def quantiles_of(counts: DataFrame, bins: int = 100) -> DataFrame:
+    """(metric, is_negated, q) from value counts: exact quantiles of all metrics, by integer ranks max(1, ceil(i * n / bins)).
+    Counts are summed up by range partition, so no partition holds all values of a metric unless they are few."""
+    parts = counts.repartitionByRange("metric", "v").withColumn("p", F.spark_partition_id())
+    parts = parts.withColumn("inside", F.sum("c").over(Window.partitionBy("metric", "p").orderBy("v")))
+    ahead = parts.groupBy("metric", "p").agg(F.sum("c").alias("own"))  # a row for each partition and metric
+    ahead = ahead.withColumn("before", F.sum("own").over(Window.partitionBy("metric").orderBy("p")) - F.col("own")).withColumn("n", F.sum("own").over(Window.partitionBy("metric")))
+    upto = parts.join(F.broadcast(ahead.select("metric", "p", "before", "n")), ["metric", "p"]).select("metric", "is_negated", "v", (F.col("before") + F.col("inside")).alias("upto"), "c", "n")
+    # the numbers i whose rank lies in (upto - c, upto]; a value with no rank in it gives none
+    first, last = F.expr(f"greatest(0, ((upto - c) * {bins}) div n)"), F.expr(f"least({bins}, (upto * {bins}) div n + 1)")
+    rank = lambda i: F.greatest(F.lit(1).cast("long"), F.floor((i * F.col("n") + (bins - 1)) / bins))
+    hit = upto.withColumn("i", F.explode(F.filter(F.sequence(first.cast("int"), last.cast("int")), lambda i: (rank(i) <= F.col("upto")) & (rank(i) > F.col("upto") - F.col("c")))))
+    return hit.groupBy("metric", "is_negated").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("q"))
+
+
 def exact_quantiles(rows: DataFrame, metric: str, bins: int = 100) -> DataFrame:
-    """The same table for one metric by integer ranks max(1, ceil(i * n / bins)). Ranks come from counts of distinct values by
-    range partition, so no partition holds all rows unless all values are equal."""
-    counts = rows.where(F.col(metric).isNotNull()).groupBy(F.col(metric).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    parts = counts.repartitionByRange("v").withColumn("p", F.spark_partition_id())
-    parts = parts.withColumn("inside", F.sum("c").over(Window.partitionBy("p").orderBy("v")))
-    ahead = parts.groupBy("p").agg(F.sum("c").alias("own"))
-    ahead = ahead.withColumn("before", F.sum("own").over(Window.orderBy("p")) - F.col("own"))
-    upto = parts.join(F.broadcast(ahead), "p").select("v", (F.col("before") + F.col("inside")).alias("upto"), "c")
-    n = counts.agg(F.sum("c").alias("n"))
-    ranks = rows.sparkSession.range(bins + 1).select(F.col("id").cast("int").alias("i")).crossJoin(F.broadcast(n)).select("i", F.greatest(F.lit(1), F.expr(f"(i * n + {bins - 1}) div {bins}")).alias("r"))
-    hit = upto.join(F.broadcast(ranks), (F.col("r") <= F.col("upto")) & (F.col("r") > F.col("upto") - F.col("c")))
-    return hit.groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("q")).select(F.lit(metric).alias("metric"), F.lit(False).alias("is_negated"), "q")
+    """The exact table for one metric; one row without bounds where no row has a value."""
+    q = quantiles_of(value_counts(rows, [metric]), bins)
+    one = rows.sparkSession.range(1).select(F.lit(metric).alias("metric"), F.lit(False).alias("is_negated"))
+    return one.join(q.drop("is_negated"), "metric", "left").select("metric", "is_negated", F.coalesce("q", F.array().cast("array<double>")).alias("q"))
 
 
 def bin_table(q: DataFrame) -> DataFrame:

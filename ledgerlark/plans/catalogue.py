@@ -247,8 +247,7 @@ feat AS (
 
 
 def feature_rows(spark, d):
-    rows = features.merchant_transactions(clearing_table(spark, d), location_rows(spark, d), entity_rows(spark, d), "2024-01-30", ["01", "2"])
-    return features.transaction_metrics(rows, "2024-01-30", ["entity_id", "dw_merch_region_cd"], 10)
+    return features.merchant_metrics(clearing_table(spark, d), location_rows(spark, d), entity_rows(spark, d), "2024-01-30", ["01", "2"], window=10)
 
 
 def txn_features(spark, d):
@@ -572,10 +571,24 @@ def quantile_ranks(spark, d):
     return counts.select("i", ((F.col("below") <= at + free) & (F.col("upto") >= at - free)).alias("near"), "n")
 
 
+def quantile_values(spark, d):
+    """Exact quantiles of order values and, negated, of keys, from one state a year of orders, stored apart and merged."""
+    o = table(spark, d, "orders").select(F.col("o_totalprice").cast("double").alias("price"), (F.col("o_custkey") % 1000).alias("key"), F.year("o_orderdate").alias("year"))
+    states = [bins.value_counts(o.where(F.col("year") % 4 == k), ["price"], ["key"]) for k in range(4)]
+    q = bins.quantiles_of(bins.merged_counts(*states))
+    return q.select("metric", F.posexplode("q").alias("i", "v")).select("metric", "i", F.round("v", 4).alias("v"))
+
+
+def quantile_digits(spark, d):
+    """The same of values rounded to three significant digits, the bounded state."""
+    o = table(spark, d, "orders").select(F.col("o_totalprice").cast("double").alias("price"))
+    return bins.quantiles_of(bins.value_counts(o, ["price"], digits=3)).select(F.posexplode("q").alias("i", "v")).select("i", F.round("v", 4).alias("v"))
+
+
 QUERIES = {f.__name__: f for f in (
     ap_enrich, ap_contrib, ap_totals, ap_due_date, quarter_label, recency_flags, latest_version, period_expand, invoice_rollup, po_rollup, payment_rollup, final_metrics, merchant_rollup, clearing_union_agg, clearing_missing_days,
     txn_features, feature_join, percentile_bins, bin_score, propensity_label, top_n_by_key, id_explode, normalize_text, cleanse_name, postal_valid, state_norm, country_resolve, dba_split, request_hash, json_attrs, match_response, search_response, cluster_match_accepted, best_rule,
-    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks)}
+    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks, quantile_values, quantile_digits)}
 QUERIES |= {"confidence_tier": confidence, "category_dim": category_rows}
 
 SQL = {
@@ -672,5 +685,10 @@ SQL = {
         CASE WHEN s >= 0.75 THEN 'High' WHEN s >= 0.70 THEN 'Medium' ELSE 'Low' END AS confidence, CAST(NULL AS VARCHAR) AS cleansed_city_name FROM j LEFT JOIN p ON l_partkey = p_partkey LEFT JOIN c ON l_partkey % 10 = k""",
     "latest_days": f"WITH {CLEARING_SQL} SELECT r.region, CAST(max(CAST(process_date AS DATE)) AS VARCHAR) AS latest FROM (VALUES ('01'), ('02'), ('03'), (NULL)) AS r(region) LEFT JOIN clr ON r.region IS NULL OR clr.region = r.region GROUP BY 1",
     "union_columns": "SELECT s_name AS name, s_nationkey AS nation, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION ALL SELECT c_name, NULL, c_mktsegment FROM customer",
+    "quantile_values": """WITH v AS (SELECT 'price' AS metric, CAST(o_totalprice AS DOUBLE) AS v FROM orders UNION ALL SELECT 'key', -CAST(o_custkey % 1000 AS DOUBLE) FROM orders),
+      r AS (SELECT metric, v, row_number() OVER (PARTITION BY metric ORDER BY v) AS r, count(*) OVER (PARTITION BY metric) AS n FROM v)
+      SELECT r.metric, CAST(i.range AS INTEGER) AS i, round(r.v, 4) AS v FROM range(101) i JOIN r ON r.r = greatest(1, (i.range * r.n + 99) // 100)""",
+    "quantile_digits": """WITH e AS (SELECT CAST(o_totalprice AS DOUBLE) AS v, pow(10.0, 2 - floor(log10(CAST(o_totalprice AS DOUBLE)))) AS u FROM orders), r AS (SELECT round(v * u) / u AS v, row_number() OVER (ORDER BY round(v * u) / u) AS r, count(*) OVER () AS n FROM e)
+      SELECT CAST(i.range AS INTEGER) AS i, round(r.v, 4) AS v FROM range(101) i JOIN r ON r.r = greatest(1, (i.range * r.n + 99) // 100)""",
     "quantile_ranks": "SELECT CAST(range AS INTEGER) AS i, TRUE AS near, (SELECT count(c_acctbal) FROM customer) AS n FROM range(101)",
 }

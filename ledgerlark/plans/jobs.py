@@ -159,11 +159,13 @@ def run_clearing(core: DataFrame, other: DataFrame, done: DataFrame, path: str,
     return manifest(written.join(F.broadcast(todo.withColumn("dw_merch_region_cd", F.col("dw_merch_region_cd").cast(written.schema["dw_merch_region_cd"].dataType))), ["dw_merch_region_cd", "process_date"], "left_semi"), "clearing", path)
 
 
-def merchant_inference(clearing_rows: DataFrame, locations: DataFrame, entities: DataFrame, as_of: str, regions: list[str], scorer, stored_bins: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(features with percentiles and propensity, bins used). Stored bins hold for their quarter."""
-    rows = features.transaction_metrics(features.merchant_transactions(clearing_rows, locations, entities, as_of, regions), as_of, ["entity_id", "dw_merch_region_cd"])
+def merchant_inference(clearing_rows: DataFrame, locations: DataFrame, entities: DataFrame, as_of: str, regions: list[str], scorer, stored_bins: DataFrame | None = None, counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(features with percentiles and propensity, bins used). Stored bins hold for their quarter. counts: stored value counts of
+    other merchants, say of other regions, whose values the new bins are to cover besides; the bins are exact then."""
+    rows = features.merchant_metrics(clearing_rows, locations, entities, as_of, regions)
     if stored_bins is None or bins.rebuild_due(stored_bins, as_of):
-        q = bins.quantiles(rows, bins.HIGHER, bins.LOWER).withColumn("generated_at", F.lit(as_of).cast("date"))
+        made = bins.quantiles(rows, bins.HIGHER, bins.LOWER) if counts is None else bins.quantiles_of(bins.merged_counts(counts, bins.value_counts(rows, bins.HIGHER, bins.LOWER)))
+        q = made.withColumn("generated_at", F.lit(as_of).cast("date"))
     else:
         q = stored_bins
     wanted = [f"{m}_percentile" for m in (*bins.HIGHER[1:], *bins.LOWER)]
