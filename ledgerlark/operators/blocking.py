@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +74,107 @@ def best_matches(pairs: DataFrame, least: float = 0.60, top: int = 1) -> DataFra
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("is_matched", F.lit("Y"))
 
 
+def _units(vectors) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length: the numbers of the vectors of that length and their unit vectors; a zero vector stays zero, one with a null or
+    non-finite component counts as zero, nulls are left out."""
+    at: dict[int, list[int]] = {}
+    lists = vectors.to_pylist()
+    for k, v in enumerate(lists):
+        if v is not None:
+            at.setdefault(len(v), []).append(k)
+    out = {}
+    for d, own in at.items():
+        x = np.array([lists[k] for k in own], dtype=np.float64).reshape(len(own), d)
+        x[~np.isfinite(x).all(axis=1)] = 0
+        norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        out[d] = np.array(own), x / np.where(norm > 0, norm, 1)
+    return out
+
+
+def block_matches(rows: DataFrame, source: DataFrame, least: float = 0.60, top: int = 1, cluster: str = "input_cluster_id", block: int = 4096, stream: int = 65_536) -> DataFrame:
+    """best_matches(cluster_pairs(rows, source)) without pairs: unit vectors of a cluster are multiplied as matrices, and only the
+    `top` best of a block leave a task.
+
+    A cluster's source rows are dealt at random to blocks of about `block`, its rows to streams of about `stream`; each task holds
+    one block and one Arrow batch of a stream. So copies and large clusters spread, a row travels once a block of its cluster, a
+    source row once a stream. Scores near the last place are computed again pair by pair, so equal vectors have equal scores and
+    ties go by entity_id. Part counts are a row a cluster, broadcast.
+    """
+    payload = lambda df, *drop: F.struct(*(F.col(c) for c in df.columns if c not in drop))
+    known = source.withColumn("__c", F.explode(F.array_distinct(F.array_compact(F.array(F.col("legal_cluster_id").cast("long"), F.col("merchant_cluster_id").cast("long"))))))
+    asked = rows.withColumn("__c", F.col(cluster).cast("long"))
+    parts = known.groupBy("__c").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).join(asked.groupBy("__c").agg(F.ceil(F.count("*") / stream).cast("int").alias("streams")), "__c")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n, seed: F.floor(F.rand(seed) * F.col(n)).cast("int")
+    vector, own, other = "array<double>", payload(rows, "in_emb"), payload(source, "ln_emb", "mn_emb")
+    blocks = known.join(F.broadcast(parts), "__c").withColumn("__block", dealt("blocks", 1)).select("__c", "__block", every("streams").alias("__stream"), F.lit(0).alias("__kind"), F.col("ln_emb").cast(vector).alias("__a"), F.col("mn_emb").cast(vector).alias("__b"), other.alias("__s"))
+    streams = asked.join(F.broadcast(parts), "__c").withColumn("__stream", dealt("streams", 2)).select("__c", every("blocks").alias("__block"), "__stream", F.lit(1).alias("__kind"), F.col("in_emb").cast(vector).alias("__a"), own.alias("__r"))
+    task = ["__c", "__block", "__stream"]
+    met = blocks.unionByName(streams, allowMissingColumns=True)
+    met = met.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *task).sortWithinPartitions(*task, "__kind")
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, held, block_of = None, [], None
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in (*task, "__kind"))))
+            edges = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if keys[a][:3] != now:
+                    now, held, block_of = keys[a][:3], [], None
+                if keys[a][3] == 0:
+                    held.append(part)
+                elif held:
+                    if block_of is None:
+                        whole = pa.Table.from_batches(held).combine_chunks()
+                        block_of = whole.column("__s").combine_chunks(), _units(whole.column("__a")), _units(whole.column("__b"))
+                    for k in range(0, b - a, 512):
+                        yield from best(part.slice(k, 512), *block_of)
+
+    def best(part, payloads, legal, merchant):
+        import pyarrow as pa
+
+        n = len(payloads)
+        ids = payloads.field("entity_id").to_pylist()
+        order = np.argsort(np.array(["" if i is None else str(i) for i in ids]), kind="stable")
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        for d, (at, x) in _units(part.column("__a")).items():
+            scores = np.full((2, len(at), n), -np.inf)
+            for side, (others, y) in enumerate(t.get(d, (np.zeros(0, np.int64), np.zeros((0, d)))) for t in (legal, merchant)):
+                scores[side][:, others] = x @ y.T
+            high = scores.max(axis=0)
+            kth = np.partition(high, n - top, axis=1)[:, n - top, None] if n > top else -np.inf
+            i, j = np.nonzero(high >= np.maximum(kth, least) - 1e-9)
+            exact = np.full((2, len(i)), -np.inf)
+            for side, t in enumerate((legal, merchant)):
+                if d in t:
+                    row_of = np.full(n, -1)
+                    row_of[t[d][0]] = np.arange(len(t[d][0]))
+                    has = row_of[j] >= 0
+                    exact[side, has] = (x[i[has]] * t[d][1][row_of[j[has]]]).sum(axis=1)
+            score = exact.max(axis=0, initial=-np.inf)
+            kept = np.lexsort((place[j], -score, i))
+            kept = kept[score[kept] >= least]
+            count = np.bincount(i[kept], minlength=len(at))
+            rank = np.arange(len(kept)) - np.repeat(np.cumsum(count) - count, count)
+            kept = kept[rank < top]
+            if len(kept):
+                cells = [pa.array(e, mask=~np.isfinite(e)) for e in exact[:, kept]]
+                yield pa.RecordBatch.from_arrays([part.column("__r").take(pa.array(at[i[kept]])), payloads.take(pa.array(j[kept])), *cells], ["r", "s", "legal_name_score", "merchant_name_score"])
+
+    kind = lambda struct: f"struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in struct)}>"
+    found = met.mapInArrow(run, f"r {kind(streams.schema['__r'].dataType)}, s {kind(blocks.schema['__s'].dataType)}, legal_name_score double, merchant_name_score double")
+    found = found.select("r.*", "s.*", "legal_name_score", "merchant_name_score").withColumn("matched_score", F.greatest("legal_name_score", "merchant_name_score"))
+    found = found.withColumn("best_match_name", best_name(F.col("legal_name_score"), F.col("merchant_name_score"), F.col("legal_name"), F.col("merchant_name")))
+    w = Window.partitionBy("supplier_id").orderBy(F.col("matched_score").desc(), "entity_id")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("is_matched", F.lit("Y"))
+
+
 def unaudited(rows: DataFrame, audit: DataFrame) -> DataFrame:
     """Rows whose keys the audit doesn't have; a null never equals, so rows with one are always kept."""
     return rows.join(audit.select(*KEYS).distinct(), KEYS, "left_anti")
@@ -94,5 +196,5 @@ def match_suppliers(rows: DataFrame, source: DataFrame, audit: DataFrame, model,
     text = normalize_text(F.concat_ws(" ", normalize_text(F.col("supplier_name")), normalize_text(F.col("street_address"))))
     todo = with_cluster(unaudited(rows.withColumn("in_emb", embed(text)), audit), model, "in_emb", "input_cluster_id").select("supplier_id", *KEYS, "in_emb", "input_cluster_id")
     inside = with_cluster(with_cluster(source, model, "ln_emb", "legal_cluster_id"), model, "mn_emb", "merchant_cluster_id").drop("country")
-    new = best_matches(cluster_pairs(todo, inside), least, top).select(*KEYS, "entity_id", "is_matched", "matched_score")
+    new = block_matches(todo, inside, least, top).select(*KEYS, "entity_id", "is_matched", "matched_score")
     return with_audit(rows, audit.select(*new.columns).unionByName(new)), new

@@ -390,7 +390,7 @@ def cluster_match_accepted(spark, d):
     """The matcher's own threshold: vectors and their opposites, of which none below 0.60 is a match."""
     rows, source = embedding_sources(spark, d)
     turned = rows.withColumn("in_emb", F.when(F.col("supplier_id").cast("long") % 2 == 0, F.transform("in_emb", lambda x: -x)).otherwise(F.col("in_emb")))
-    return blocking.best_matches(blocking.cluster_pairs(turned, source)).select("supplier_id", "entity_id", F.round("matched_score", 4).alias("matched_score"))
+    return blocking.block_matches(turned, source).select("supplier_id", "entity_id", F.round("matched_score", 4).alias("matched_score"))
 
 
 def best_rule(spark, d):
@@ -471,7 +471,7 @@ def embedding_sources(spark, d):
 
 
 def cluster_best_match(spark, d):
-    out = blocking.best_matches(blocking.cluster_pairs(*embedding_sources(spark, d)), -1.0)
+    out = blocking.block_matches(*embedding_sources(spark, d), -1.0)
     return out.select("supplier_id", F.col("entity_id"), F.round("matched_score", 4).alias("matched_score"), "best_match_name")
 
 
