@@ -591,6 +591,46 @@ QUERIES = {f.__name__: f for f in (
     name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks, quantile_values, quantile_digits)}
 QUERIES |= {"confidence_tier": confidence, "category_dim": category_rows}
 
+#: The 15 rules over all pairs of a country. Own states are empty, so rules that ask for the state never hold and two states agree.
+CASCADE_SQL = r"""
+WITH RECURSIVE s AS (SELECT s_suppkey AS k, s_name, n_name AS country, '1' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS code FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+own AS (SELECT k, CASE WHEN k % 5 = 0 THEN 'Shop DBA ' || s_name ELSE s_name END AS name, country, code, k % 3 > 0 AS town, k || ' main street' AS street FROM s),
+ent AS (SELECT k AS e, country AS e_country, code AS e_code, k || ' main st' AS e_street, lower(s_name || ' Inc') AS legal, lower(s_name) AS dba FROM s WHERE k % 7 > 0),
+tried AS (SELECT k, 0 AS variant, '' AS suffix, name AS t FROM own UNION ALL SELECT k, 1, '_DBA_Part1', 'Shop' FROM own WHERE k % 5 = 0
+  UNION ALL SELECT k, 2, '_DBA_Part2', name[10:] FROM own WHERE k % 5 = 0 UNION ALL SELECT k, 3, '_CleansedName', lower(name) FROM own),
+plain AS (SELECT DISTINCT x, list_aggregate(list_sort(string_split(trim(regexp_replace(regexp_replace(x, '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')), ' ')), 'string_agg', ' ') AS y
+  FROM (SELECT lower(t) AS x FROM tried UNION SELECT legal FROM ent UNION SELECT dba FROM ent)),
+pair AS (SELECT own.k, e, town, town OR starts_with(e_code, code) AS geo, starts_with(e_code, code) AS postal, street, e_street, legal, dba FROM own JOIN ent ON country = e_country),
+tok AS (SELECT DISTINCT street, e_street, list_aggregate(list_sort(list_filter(string_split(street, ' '), lambda x: list_contains(string_split(e_street, ' '), x))), 'string_agg', ' ') AS both_,
+  list_aggregate(list_sort(list_filter(string_split(street, ' '), lambda x: NOT list_contains(string_split(e_street, ' '), x))), 'string_agg', ' ') AS one,
+  list_aggregate(list_sort(list_filter(string_split(e_street, ' '), lambda x: NOT list_contains(string_split(street, ' '), x))), 'string_agg', ' ') AS two FROM pair),
+ends AS (SELECT street, e_street, CASE WHEN length(street) <= length(e_street) THEN street ELSE e_street END AS a, CASE WHEN length(street) <= length(e_street) THEN e_street ELSE street END AS b FROM tok
+  UNION SELECT street, e_street, e_street, street FROM tok WHERE length(street) = length(e_street)),
+slide AS (SELECT street, e_street, a, b[greatest(i.range, 0) + 1 : least(i.range + length(a), length(b))] AS w FROM ends, LATERAL (SELECT range FROM range(1 - length(a), length(b))) AS i),
+need AS (SELECT a, w AS b FROM slide UNION SELECT both_ || ' ' || one, both_ || ' ' || two FROM tok
+  UNION SELECT p.y, q.y FROM tried JOIN pair USING (k) JOIN plain p ON p.x = lower(t) JOIN plain q ON q.x = legal OR q.x = dba),
+d AS (SELECT a, b, 0 AS j, list_transform(range(length(a) + 1), lambda x: 0) AS row FROM need
+  UNION ALL SELECT a, b, j + 1, list_reduce(range(1, length(a) + 1), lambda acc, i: list_append(acc, CASE WHEN a[i] = b[j + 1] THEN row[i] + 1 ELSE greatest(row[i + 1], acc[len(acc)]) END), [CAST(0 AS BIGINT)]) FROM d WHERE j < length(b)),
+lcs AS (SELECT a, b, 2.0::DOUBLE * row[len(row)] / (length(a) + length(b)) AS ratio FROM d WHERE j = length(b)),
+addr AS (SELECT tok.street, tok.e_street, greatest(max(l.ratio), max(f.ratio), max(2.0::DOUBLE * length(both_) / (2 * length(both_) + 1 + least(length(one), length(two))))) AS address
+  FROM tok JOIN slide USING (street, e_street) JOIN lcs l ON l.a = slide.a AND l.b = w JOIN lcs f ON f.a = both_ || ' ' || one AND f.b = both_ || ' ' || two GROUP BY 1, 2),
+sim AS (SELECT pair.*, variant, suffix, t, lower(t) AS n, x.ratio AS rl, y.ratio AS rd, greatest(x.ratio, y.ratio) AS r, address AS ad FROM pair JOIN tried USING (k) JOIN addr USING (street, e_street)
+  JOIN plain p ON p.x = lower(t) JOIN plain q ON q.x = legal JOIN plain z ON z.x = dba JOIN lcs x ON x.a = p.y AND x.b = q.y JOIN lcs y ON y.a = p.y AND y.b = z.y),
+scored AS (SELECT *, (r - 0.9) / (1.0 - 0.9) AS bn, (r - 0.8) / (1.0 - 0.8) AS bp, (ad - 0.8) / (1.0 - 0.8) AS ba FROM sim),
+narrow AS (SELECT *, CAST(CASE WHEN r >= 0.9 AND ad >= 0.8 AND geo THEN least(0.85 + 0.05 * bn + 0.03 * ba, 0.99) WHEN r >= 0.9 AND geo THEN least(0.80 + 0.05 * bn, 0.90) WHEN r >= 0.8 AND ad >= 0.8 AND geo THEN least(0.80 + 0.10 * bp, 0.90)
+  WHEN r >= 0.8 AND geo THEN least(0.75 + 0.15 * bp, 0.88) WHEN r >= 0.9 THEN least(0.80 + 0.10 * bn, 0.85) WHEN r >= 0.8 THEN least(0.65 + 0.15 * bp, 0.78) ELSE 0 END AS DOUBLE) AS low FROM scored),
+broad AS (SELECT *, CASE WHEN r >= 0.8 THEN low ELSE r END AS high,
+  list_transform([legal, dba], lambda o: len(list_filter(string_split(trim(regexp_replace(regexp_replace(n, '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')), ' '), lambda w: NOT list_contains(string_split(trim(regexp_replace(regexp_replace(o, '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')), ' '), w))) = 0) AS words,
+  len(list_filter(list_concat(string_split(legal, ' '), string_split(dba, ' ')), lambda w: starts_with(w, n))) > 0 AS prefix FROM narrow),
+hits AS (SELECT k, e, variant, suffix, u.rule, u.score FROM broad, LATERAL (VALUES
+  (1, low, (rl >= 0.8 OR rd >= 0.8) AND town AND postal AND ad >= 0.8, 0.80), (4, low, (rl >= 0.8 OR n = dba) AND town, 0.75), (5, low, rl >= 0.8 AND town, 0.75), (7, low, (rl >= 0.8 OR rd >= 0.8) AND postal, 0.75),
+  (8, low, rd >= 0.8 AND postal, 0.50), (9, low, ad >= 0.8 AND town, 0.50), (10, high, n = legal OR n = dba, 0.70), (11, high, starts_with(dba, n), 0.75), (12, high, rl >= 0.8 OR rd >= 0.8, 0.0),
+  (13, high, words[2], 0.0), (14, high, words[1], 0.0), (15, high, prefix, 0.0)) AS u(rule, score, holds, least_) WHERE u.holds AND u.score > 0 AND u.score >= u.least_),
+best AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY rule, variant, score DESC, 'E' || e) AS rn FROM hits)
+SELECT own.k AS row_id, 'E' || e AS entity_id, round(coalesce(score, 0), 6) AS matched_score, coalesce('Filter_Rule' || rule || suffix, 'no_match') AS matched_rule, CASE WHEN e IS NULL THEN 'N' ELSE 'Y' END AS successful
+FROM own LEFT JOIN best ON own.k = best.k AND rn = 1
+"""
+
 SQL = {
     "ap_enrich": f"WITH {PAYABLE_SQL} SELECT supplier_id, m AS payment_method, days AS payment_term_days, mapped AS mapped_payment_method, n_inv AS total_number_of_invoices FROM c",
     "ap_contrib": f"""WITH {PAYABLE_SQL} SELECT supplier_id, m AS payment_method, CASE WHEN n <> 0 THEN round(CAST(spend AS DOUBLE) / n, 2) END AS average_ticket, CAST(spend AS DOUBLE) AS total_spend, CAST(card AS DOUBLE) AS total_spent_by_card,
@@ -660,6 +700,7 @@ SQL = {
     "match_score": """WITH r AS (SELECT o_orderkey, CAST(o_orderkey % 41 AS DOUBLE) / 40 AS n, CAST(o_custkey % 11 AS DOUBLE) / 10 AS a, o_orderkey % 2 = 0 AS geo, o_custkey % 3 = 0 AS st, o_custkey % 2 = 0 AS broad FROM orders), b AS (SELECT *, (n - 0.9) / (1.0 - 0.9) AS bn, (n - 0.8) / (1.0 - 0.8) AS bp, (a - 0.8) / (1.0 - 0.8) AS ba FROM r)
       SELECT o_orderkey, round(CAST(CASE WHEN n >= 0.9 AND a >= 0.8 AND geo THEN least(0.85 + 0.05 * bn + 0.03 * ba, 0.99) WHEN n >= 0.9 AND geo THEN least(0.80 + 0.05 * bn, 0.90) WHEN n >= 0.8 AND a >= 0.8 AND geo THEN least(0.80 + 0.10 * bp, 0.90) WHEN n >= 0.8 AND geo THEN least(0.75 + 0.15 * bp, 0.88)
         WHEN n >= 0.9 AND st THEN least(0.80 + 0.10 * bn, 0.85) WHEN n >= 0.9 THEN least(0.80 + 0.05 * bn, 0.88) WHEN n >= 0.8 THEN least(0.65 + 0.15 * bp, 0.78) WHEN broad THEN n ELSE 0.0 END AS DOUBLE), 6) AS score FROM b""",
+    "rule_cascade": CASCADE_SQL,
     "cache_lookup": "SELECT c.c_custkey::VARCHAR AS request_hash, 'E' || e.event_id AS entity_id FROM customer c JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'E' || event_id) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-23') e ON e.user_id = c.c_custkey AND e.rn = 1",
     "cache_split": "SELECT c_custkey::VARCHAR AS request_hash FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-23')",
     "audit_antijoin": "SELECT s_suppkey, s_name AS supplier_name FROM supplier WHERE NOT (s_suppkey % 2 = 0 AND s_suppkey % 5 > 0)",
