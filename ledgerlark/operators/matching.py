@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import matched_flag
 from ..functions.similarity import boost, let, letter_codes, letter_masks, ratio, with_address_similarity
 from ..functions.text import (
     cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_rows, normalize_text, postal_match, request_hash, resolve_country)
@@ -217,7 +218,7 @@ def hybrid_match(rows: DataFrame, entities: DataFrame, cache: DataFrame, as_of:
     hits, misses = cache_lookup(rows, cache.select("request_hash", "entity_id", "matched_score", "matched_rule", "audit_ts"), as_of, days)
     found = cascade(misses, entities).join(misses.select("row_id", "request_hash"), "row_id")
     columns = ["row_id", "entity_id", "matched_score", "matched_rule", "request_hash"]
-    results = hits.select(*columns).unionByName(found.select(*columns)).withColumn("successful", F.when(filled(F.col("entity_id")) != "", "Y").otherwise("N"))
+    results = hits.select(*columns).unionByName(found.select(*columns)).withColumn("successful", matched_flag(F.col("entity_id")))
     return results, found.where(F.col("entity_id").isNotNull()).select("request_hash", "entity_id", "matched_score", "matched_rule")
 
 

@@ -571,6 +571,37 @@ def quantile_ranks(spark, d):
     return counts.select("i", ((F.col("below") <= at + free) & (F.col("upto") >= at - free)).alias("near"), "n")
 
 
+def order_folder(spark, d):
+    """Orders as a folder of Parquet, partitioned by year."""
+    path = tables.work_folder(spark, "orders")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.year("o_orderdate").alias("o_year"))
+    tables.overwrite_partitions(o, path, ["o_year"])
+    return path
+
+
+def table_scan(spark, d):
+    return tables.scan(spark, order_folder(spark, d), schema="o_orderkey long, o_totalprice double, o_year int")
+
+
+def folder_partitions(spark, d):
+    return tables.partitions_of(tables.scan(spark, order_folder(spark, d)), ["o_year"])
+
+
+def folder_manifest(spark, d):
+    """Rows of each partition by the manifest of its files, which reads no column."""
+    m = tables.file_manifest(tables.scan(spark, order_folder(spark, d)), ["o_year"])
+    return m.where("bytes > 0").groupBy("o_year").agg(F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("path").contains(F.concat(F.lit("o_year="), "o_year"))).alias("in_place"))
+
+
+def csv_scan(spark, d):
+    """Orders as CSV lines, some with a letter for a number, some cut short; what can be read, and the bad lines as they stand."""
+    path, k = tables.work_folder(spark, "lines"), F.col("o_orderkey")
+    fields = [k.cast("string"), F.when(k % 50 == 0, "x").otherwise(F.col("o_custkey").cast("string")), F.col("o_totalprice").cast("decimal(15,2)").cast("string"), F.col("o_orderstatus")]
+    table(spark, d, "orders").select(F.when(k % 77 == 0, fields[0]).otherwise(F.concat_ws(",", *fields)).alias("value")).write.mode("overwrite").text(path)
+    good, bad = tables.csv_rows(tables.scan_csv(spark, path, "o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string", header=False))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def quantile_values(spark, d):
     """Exact quantiles of order values and, negated, of keys, from one state a year of orders, stored apart and merged."""
     o = table(spark, d, "orders").select(F.col("o_totalprice").cast("double").alias("price"), (F.col("o_custkey") % 1000).alias("key"), F.year("o_orderdate").alias("year"))
@@ -588,7 +619,7 @@ def quantile_digits(spark, d):
 QUERIES = {f.__name__: f for f in (
     ap_enrich, ap_contrib, ap_totals, ap_due_date, quarter_label, recency_flags, latest_version, period_expand, invoice_rollup, po_rollup, payment_rollup, final_metrics, merchant_rollup, clearing_union_agg, clearing_missing_days,
     txn_features, feature_join, percentile_bins, bin_score, propensity_label, top_n_by_key, id_explode, normalize_text, cleanse_name, postal_valid, state_norm, country_resolve, dba_split, request_hash, json_attrs, match_response, search_response, cluster_match_accepted, best_rule,
-    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks, quantile_values, quantile_digits)}
+    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks, quantile_values, quantile_digits, table_scan, folder_partitions, folder_manifest, csv_scan)}
 QUERIES |= {"confidence_tier": confidence, "category_dim": category_rows}
 
 #: The 15 rules over all pairs of a country. Own states are empty, so rules that ask for the state never hold and two states agree.
@@ -726,6 +757,11 @@ SQL = {
         CASE WHEN s >= 0.75 THEN 'High' WHEN s >= 0.70 THEN 'Medium' ELSE 'Low' END AS confidence, CAST(NULL AS VARCHAR) AS cleansed_city_name FROM j LEFT JOIN p ON l_partkey = p_partkey LEFT JOIN c ON l_partkey % 10 = k""",
     "latest_days": f"WITH {CLEARING_SQL} SELECT r.region, CAST(max(CAST(process_date AS DATE)) AS VARCHAR) AS latest FROM (VALUES ('01'), ('02'), ('03'), (NULL)) AS r(region) LEFT JOIN clr ON r.region IS NULL OR clr.region = r.region GROUP BY 1",
     "union_columns": "SELECT s_name AS name, s_nationkey AS nation, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION ALL SELECT c_name, NULL, c_mktsegment FROM customer",
+    "table_scan": "SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders",
+    "folder_partitions": "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders",
+    "folder_manifest": "SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, count(*) AS n_rows, TRUE AS in_place FROM orders GROUP BY 1",
+    "csv_scan": """SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderstatus, CAST(NULL AS VARCHAR) AS bad_line FROM orders WHERE o_orderkey % 77 > 0 AND o_orderkey % 50 > 0
+      UNION ALL SELECT NULL, NULL, NULL, NULL, CASE WHEN o_orderkey % 77 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderkey || ',x,' || CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR) || ',' || o_orderstatus END FROM orders WHERE o_orderkey % 77 = 0 OR o_orderkey % 50 = 0""",
     "quantile_values": """WITH v AS (SELECT 'price' AS metric, CAST(o_totalprice AS DOUBLE) AS v FROM orders UNION ALL SELECT 'key', -CAST(o_custkey % 1000 AS DOUBLE) FROM orders),
       r AS (SELECT metric, v, row_number() OVER (PARTITION BY metric ORDER BY v) AS r, count(*) OVER (PARTITION BY metric) AS n FROM v)
       SELECT r.metric, CAST(i.range AS INTEGER) AS i, round(r.v, 4) AS v FROM range(101) i JOIN r ON r.r = greatest(1, (i.range * r.n + 99) // 100)""",

@@ -7,24 +7,64 @@ file, which appears whole or not at all, so readers see either the old table or
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from datetime import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import require_columns
 
 
-def scan(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A catalog table, or a Parquet folder if the name has a slash."""
+def contract(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of `schema` (DDL), in its order and with its types. A column that is missing, or whose values the wanted type may
+    not hold, is an error that names all such; numbers may only widen."""
+    wanted, have = StructType.fromDDL(schema), {f.name: f.dataType.simpleString() for f in df.schema}
+    require_columns(df, wanted.names)
+    wider = {("tinyint", x) for x in ("smallint", "int", "bigint", "float", "double")} | {("smallint", x) for x in ("int", "bigint", "float", "double")} | {("int", "bigint"), ("int", "double"), ("float", "double"), ("date", "timestamp")}
+    wrong = [f"{f.name} is {have[f.name]}, not {f.dataType.simpleString()}" for f in wanted if have[f.name] != f.dataType.simpleString() and (have[f.name], f.dataType.simpleString()) not in wider]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return df.select(*(F.col(f.name).cast(f.dataType) for f in wanted))
+
+
+def scan(spark: SparkSession, name: str, columns: Sequence[str] | None = None, schema: str | None = None) -> DataFrame:
+    """A catalog table, or a Parquet folder if the name has a slash, whose partition folders are columns. columns: only these;
+    schema: what they must be."""
     df = spark.read.parquet(name) if "/" in name else spark.table(name)
+    if schema:
+        return contract(df, schema)
     return require_columns(df, columns).select(*columns) if columns else df
 
 
-def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+#: Column of the whole line where a CSV line doesn't fit the schema.
+BAD_LINE = "bad_line"
+
+
+def scan_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """CSV files by a schema, and bad_line: the line as it stands where it has too few or too many fields or one that isn't of its
+    type, else null. No line is dropped; csv_rows() tells good from bad. Every field is parsed, whatever columns are asked for: a line
+    is bad or not by all of them."""
+    df = spark.read.schema(f"{schema}, {BAD_LINE} string").option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
+    # the parser converts only fields that are asked for, and a null test on the bad line would reach it before there is one: so the
+    # column depends on every field, and on no null
+    every = F.length(F.concat_ws("", *(F.col(c).cast("string") for c in df.columns if c != BAD_LINE))) >= 0
+    return df.withColumn(BAD_LINE, F.nullif(F.when(every, F.coalesce(BAD_LINE, F.lit(""))), F.lit("")))
+
+
+def csv_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad lines) of scan_csv()."""
+    return lines.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE), lines.where(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
+
+
+def csv_quality(lines: DataFrame) -> DataFrame:
+    """One row about scan_csv(): n_lines, n_bad, and by field {field}_nulls among the good lines."""
+    good = F.col(BAD_LINE).isNull()
+    nulls = [F.count_if(good & F.col(c).isNull()).alias(f"{c}_nulls") for c in lines.columns if c != BAD_LINE]
+    return lines.agg(F.count("*").alias("n_lines"), F.count_if(~good).alias("n_bad"), *nulls)
 
 
 def local_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
@@ -93,8 +133,21 @@ def create_table(spark: SparkSession, name: str, schema, partitions: Sequence[st
         spark.createDataFrame([], schema).write.partitionBy(*partitions).saveAsTable(name)
 
 
-def repair(spark: SparkSession, table: str) -> None:
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+def partitions_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The partitions that a folder's names tell; of the files no column is read."""
+    return df.select(*keys).distinct()
+
+
+def add_partitions(spark: SparkSession, table: str, path: str, keys: Sequence[str], at_once: int = 200) -> int:
+    """Makes partition folders under `path`, key=value by key, known to a catalog table that doesn't have them yet; how many there
+    were. Only values of keys reach the driver; the catalog has one entry for each anyway."""
+    folders = partitions_of(spark.read.schema(", ".join(f"{k} string" for k in keys)).parquet(path), keys)
+    have = spark.sql(f"SHOW PARTITIONS {table}").select(*(F.regexp_extract("partition", rf"(?:^|/){k}=([^/]*)", 1).alias(k) for k in keys))
+    new = folders.join(have, list(keys), "left_anti").collect()
+    for k in range(0, len(new), at_once):
+        specs = [", ".join(f"{c} = '{r[c]}'" for c in keys) for r in new[k : k + at_once]]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({x}) LOCATION '{path}/{'/'.join(f'{c}={r[c]}' for c in keys)}'" for x, r in zip(specs, new[k : k + at_once])))
+    return len(new)
 
 
 def replaced(old: DataFrame, new: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -224,3 +277,32 @@ def manifest(rows: DataFrame, table: str, root: str) -> DataFrame:
     """One row a written (region, day): where it is and how many rows it has."""
     return rows.groupBy("dw_merch_region_cd", "process_date").agg(F.count("*").alias("n_rows")).select(
         F.concat_ws("_", F.lit(table), "process_date").alias("name"), F.format_string(f"{root}/{table}/dw_merch_region_cd=%s/process_date=%s", "dw_merch_region_cd", "process_date").alias("path"), "n_rows")
+
+
+def file_manifest(files: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row a file of a scanned Parquet folder: its partition, path, size in bytes, time of change, and rows. No column but
+    partition values is read; Spark counts rows by the files' footers."""
+    m = F.col("_metadata")
+    rows = files.select(*keys, m["file_path"].alias("path"), m["file_size"].alias("bytes"), m["file_modification_time"].alias("modified"))
+    return rows.groupBy(*keys, "path", "bytes", "modified").agg(F.count("*").alias("n_rows"))
+
+
+def write_manifest(files: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
+    """file_manifest() as JSON lines in a folder of its own."""
+    file_manifest(files, keys).coalesce(1).write.mode("overwrite").json(path)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that spark.checkpoint.dir names, which all executors share; where it is unset, one of this machine,
+    but only with a local master. It is deleted when the session ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is unset; on a cluster it has to name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="ledgerlark-")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return path
