@@ -423,6 +423,31 @@ def rule_cascade(spark, d):
     return matching.cascade(*cascade_rows(spark, d)).select("row_id", "entity_id", F.round("matched_score", 6).alias("matched_score"), "matched_rule", "successful")
 
 
+def address_similarity(spark, d):
+    """Addresses of suppliers beside those of others, some with noise words on both sides or one."""
+    s, k = table(spark, d, "supplier"), F.col("s_suppkey")
+    a = F.concat(F.when(k % 3 == 0, "PO Box ").otherwise(""), k, F.lit(" Main  Street"), F.when(k % 4 == 0, " Unit 5").otherwise(""))
+    b = F.when(k % 11 > 0, F.concat(F.when(k % 6 == 0, "po box ").otherwise(""), k * 7 % 100, F.lit(" main st."), F.when(k % 8 == 0, ", unit 9").otherwise("")))
+    return s.select("s_suppkey", F.round(similarity.address_similarity(a, b), 6).alias("similarity"))
+
+
+def hybrid_rows(spark, d):
+    """The cascade's rows; every fourth has a fresh answer in the cache, the ones after them an old one."""
+    rows, entities = cascade_rows(spark, d)
+    rows = rows.withColumn("request_hash", F.concat(F.lit("h"), "row_id"))
+    day = F.when(F.col("row_id") % 4 == 0, "2024-01-05").when(F.col("row_id") % 4 == 1, "2023-12-01")
+    cache = rows.select("request_hash", F.concat(F.lit("C"), "row_id").alias("entity_id"), F.lit(0.9).alias("matched_score"), F.lit("cached").alias("matched_rule"), F.to_timestamp(day).alias("audit_ts")).where("audit_ts is not null")
+    return matching.hybrid_match(rows, entities, cache, "2024-01-07")
+
+
+def hybrid_match(spark, d):
+    return hybrid_rows(spark, d)[0].select("row_id", "request_hash", "entity_id", F.round("matched_score", 6).alias("matched_score"), "matched_rule", "successful")
+
+
+def hybrid_new_rows(spark, d):
+    return hybrid_rows(spark, d)[1].select("request_hash", "entity_id", F.round("matched_score", 6).alias("matched_score"), "matched_rule")
+
+
 def cached(spark, d):
     e = table(spark, d, "events")
     cache = e.select(F.col("user_id").cast("string").alias("request_hash"), F.concat(F.lit("E"), "event_id").alias("entity_id"), F.col("ts").alias("audit_ts"))
@@ -619,7 +644,7 @@ def quantile_digits(spark, d):
 QUERIES = {f.__name__: f for f in (
     ap_enrich, ap_contrib, ap_totals, ap_due_date, quarter_label, recency_flags, latest_version, period_expand, invoice_rollup, po_rollup, payment_rollup, final_metrics, merchant_rollup, clearing_union_agg, clearing_missing_days,
     txn_features, feature_join, percentile_bins, bin_score, propensity_label, top_n_by_key, id_explode, normalize_text, cleanse_name, postal_valid, state_norm, country_resolve, dba_split, request_hash, json_attrs, match_response, search_response, cluster_match_accepted, best_rule,
-    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks, quantile_values, quantile_digits, table_scan, folder_partitions, folder_manifest, csv_scan)}
+    name_similarity, match_score, rule_cascade, cache_lookup, cache_split, audit_antijoin, base62_id, cosine_pairs, cluster_best_match, kmeans_blocks, upsert_by_key, merge_tracker, text_repair, place_match, supplier_normalized, entity_request, match_join, summary_join, latest_days, union_columns, quantile_ranks, quantile_values, quantile_digits, table_scan, folder_partitions, folder_manifest, csv_scan, address_similarity, hybrid_match, hybrid_new_rows)}
 QUERIES |= {"confidence_tier": confidence, "category_dim": category_rows}
 
 #: The 15 rules over all pairs of a country. Own states are empty, so rules that ask for the state never hold and two states agree.
@@ -662,6 +687,24 @@ SELECT own.k AS row_id, 'E' || e AS entity_id, round(coalesce(score, 0), 6) AS m
 FROM own LEFT JOIN best ON own.k = best.k AND rn = 1
 """
 
+#: Token-set and sliding ratio of plain addresses, without the first of each noise word that stands in both.
+ADDRESS_SQL = r"""
+WITH RECURSIVE r AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 'po box ' ELSE '' END || s_suppkey || ' main street' || CASE WHEN s_suppkey % 4 = 0 THEN ' unit 5' ELSE '' END AS a,
+  CASE WHEN s_suppkey % 6 = 0 THEN 'po box ' ELSE '' END || (s_suppkey * 7 % 100) || ' main st' || CASE WHEN s_suppkey % 8 = 0 THEN ' unit 9' ELSE '' END AS b FROM supplier WHERE s_suppkey % 11 > 0),
+n AS (SELECT k, CASE WHEN k % 6 = 0 THEN a[8:] ELSE a END AS a, CASE WHEN k % 6 = 0 THEN b[8:] ELSE b END AS b FROM r),
+p AS (SELECT k, CASE WHEN k % 8 = 0 THEN replace(a, 'unit ', '') ELSE a END AS x, CASE WHEN k % 8 = 0 THEN replace(b, 'unit ', '') ELSE b END AS y FROM n),
+t AS (SELECT *, list_distinct(string_split(x, ' ')) AS u, list_distinct(string_split(y, ' ')) AS v FROM p),
+tok AS (SELECT k, x, y, list_aggregate(list_sort(list_filter(u, lambda w: list_contains(v, w))), 'string_agg', ' ') AS s, list_aggregate(list_sort(list_filter(u, lambda w: NOT list_contains(v, w))), 'string_agg', ' ') AS one, list_aggregate(list_sort(list_filter(v, lambda w: NOT list_contains(u, w))), 'string_agg', ' ') AS two FROM t),
+ends AS (SELECT k, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS a, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS b FROM tok UNION SELECT k, y, x FROM tok WHERE length(x) = length(y)),
+slide AS (SELECT k, a, b[greatest(i.range, 0) + 1 : least(i.range + length(a), length(b))] AS b FROM ends, LATERAL (SELECT range FROM range(1 - length(a), length(b))) AS i),
+need AS (SELECT k, a, b FROM slide UNION SELECT k, s || ' ' || one, s || ' ' || two FROM tok WHERE one IS NOT NULL AND two IS NOT NULL),
+d AS (SELECT k, a, b, 0 AS j, list_transform(range(length(a) + 1), lambda x: 0) AS row FROM need
+  UNION ALL SELECT k, a, b, j + 1, list_reduce(range(1, length(a) + 1), lambda acc, i: list_append(acc, CASE WHEN a[i] = b[j + 1] THEN row[i] + 1 ELSE greatest(row[i + 1], acc[len(acc)]) END), [CAST(0 AS BIGINT)]) FROM d WHERE j < length(b)),
+best AS (SELECT k, max(2.0::DOUBLE * row[len(row)] / (length(a) + length(b))) AS ratio FROM d WHERE j = length(b) GROUP BY k)
+SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN 0.0 WHEN s IS NOT NULL AND (one IS NULL OR two IS NULL) THEN 1.0 ELSE round(greatest(ratio, coalesce(2.0::DOUBLE * length(s) / (2 * length(s) + 1 + least(length(one), length(two))), 0)), 6) END::DOUBLE AS similarity
+FROM supplier LEFT JOIN tok ON tok.k = s_suppkey LEFT JOIN best ON best.k = s_suppkey
+"""
+
 SQL = {
     "ap_enrich": f"WITH {PAYABLE_SQL} SELECT supplier_id, m AS payment_method, days AS payment_term_days, mapped AS mapped_payment_method, n_inv AS total_number_of_invoices FROM c",
     "ap_contrib": f"""WITH {PAYABLE_SQL} SELECT supplier_id, m AS payment_method, CASE WHEN n <> 0 THEN round(CAST(spend AS DOUBLE) / n, 2) END AS average_ticket, CAST(spend AS DOUBLE) AS total_spend, CAST(card AS DOUBLE) AS total_spent_by_card,
@@ -731,7 +774,10 @@ SQL = {
     "match_score": """WITH r AS (SELECT o_orderkey, CAST(o_orderkey % 41 AS DOUBLE) / 40 AS n, CAST(o_custkey % 11 AS DOUBLE) / 10 AS a, o_orderkey % 2 = 0 AS geo, o_custkey % 3 = 0 AS st, o_custkey % 2 = 0 AS broad FROM orders), b AS (SELECT *, (n - 0.9) / (1.0 - 0.9) AS bn, (n - 0.8) / (1.0 - 0.8) AS bp, (a - 0.8) / (1.0 - 0.8) AS ba FROM r)
       SELECT o_orderkey, round(CAST(CASE WHEN n >= 0.9 AND a >= 0.8 AND geo THEN least(0.85 + 0.05 * bn + 0.03 * ba, 0.99) WHEN n >= 0.9 AND geo THEN least(0.80 + 0.05 * bn, 0.90) WHEN n >= 0.8 AND a >= 0.8 AND geo THEN least(0.80 + 0.10 * bp, 0.90) WHEN n >= 0.8 AND geo THEN least(0.75 + 0.15 * bp, 0.88)
         WHEN n >= 0.9 AND st THEN least(0.80 + 0.10 * bn, 0.85) WHEN n >= 0.9 THEN least(0.80 + 0.05 * bn, 0.88) WHEN n >= 0.8 THEN least(0.65 + 0.15 * bp, 0.78) WHEN broad THEN n ELSE 0.0 END AS DOUBLE), 6) AS score FROM b""",
-    "rule_cascade": CASCADE_SQL,
+    "rule_cascade": CASCADE_SQL, "address_similarity": ADDRESS_SQL,
+    "hybrid_match": f"""SELECT row_id, 'h' || row_id AS request_hash, CASE WHEN row_id % 4 = 0 THEN 'C' || row_id ELSE entity_id END AS entity_id, CASE WHEN row_id % 4 = 0 THEN 0.9 ELSE matched_score END AS matched_score,
+      CASE WHEN row_id % 4 = 0 THEN 'cached' ELSE matched_rule END AS matched_rule, CASE WHEN row_id % 4 = 0 THEN 'Y' ELSE successful END AS successful FROM ({CASCADE_SQL})""",
+    "hybrid_new_rows": f"SELECT 'h' || row_id AS request_hash, entity_id, matched_score, matched_rule FROM ({CASCADE_SQL}) WHERE row_id % 4 > 0 AND entity_id IS NOT NULL",
     "cache_lookup": "SELECT c.c_custkey::VARCHAR AS request_hash, 'E' || e.event_id AS entity_id FROM customer c JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'E' || event_id) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-23') e ON e.user_id = c.c_custkey AND e.rn = 1",
     "cache_split": "SELECT c_custkey::VARCHAR AS request_hash FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-23')",
     "audit_antijoin": "SELECT s_suppkey, s_name AS supplier_name FROM supplier WHERE NOT (s_suppkey % 2 = 0 AND s_suppkey % 5 > 0)",

@@ -53,12 +53,20 @@ def with_matches(rows: DataFrame, matches: DataFrame) -> DataFrame:
     return rows.join(one, "supplier_id", "left").withColumn("is_matched", F.when(F.coalesce("entity_id", F.lit("")) != "", "Y").otherwise("N"))
 
 
+def first_rows(rows: DataFrame, key: str) -> DataFrame:
+    """One row of each key, whole: the first by its other columns in their order, nulls last."""
+    others = [c for c in rows.columns if c != key]
+    order = F.struct(*(x for c in others for x in (F.col(c).isNull().alias(f"{c}__null"), F.col(c))))
+    return rows.groupBy(key).agg(F.min(order).alias("__first")).select(*(F.col(c) if c == key else F.col(f"__first.{c}").alias(c) for c in rows.columns))
+
+
 def with_summary(rows: DataFrame, categories: DataFrame, summary: DataFrame) -> DataFrame:
     """rows with category, merchant summary, gold names and confidence. The summary's ids are comma-joined lists, so they are
-    split before the join; each id takes one summary row."""
-    cats = categories.groupBy("mcc_code").agg(F.first("mcc_group", True).alias("mcc_group"), F.first("industry_classification_code", True).alias("industry_classification_code"))
+    split before the join. Of several rows of a category code or of an id one is taken whole: the one that comes first by its
+    values, column by column, nulls last."""
+    cats = first_rows(categories.select("mcc_code", "mcc_group", "industry_classification_code"), "mcc_code")
     out = rows.join(cats, rows["matched_mmc_code"] == cats["mcc_code"], "left").withColumn("mcc_code", F.coalesce("mcc_code", "matched_mmc_code"))
-    ids = summary.select(*FROM_SUMMARY, F.explode(F.split("mmh_id", ",")).alias("mmh_id")).dropDuplicates(["mmh_id"])
+    ids = first_rows(summary.select(*FROM_SUMMARY, F.explode(F.split("mmh_id", ",")).alias("mmh_id")), "mmh_id")
     out = out.join(ids, out["matched_mmhid"] == ids["mmh_id"], "left").withColumn("mmh_id", F.coalesce("mmh_id", "matched_mmhid"))
     return out.withColumns({new: F.col(old) for new, old in RENAMED.items()}).withColumn("confidence", confidence_tier(F.col("matched_score")))
 
