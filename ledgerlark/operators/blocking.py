@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,14 +18,29 @@ Embedder = Callable[[Column], Column]
 
 
 def hashing_embedder(dims: int = 64) -> Embedder:
-    """Signed counts of hashed letter trigrams, as an expression; stands in for a hosted model and is the same everywhere."""
-    def embed(text: Column) -> Column:
-        padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" "))
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - 2, F.lit(1))), lambda i: F.xxhash64(F.substr(padded, i, F.lit(3))))
-        cells = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.aggregate(
-            F.filter(grams, lambda g: F.pmod(g, F.lit(dims)) == d), F.lit(0.0), lambda s, g: s + F.when(F.pmod(F.shiftright(g, 32), F.lit(2)) == 0, 1.0).otherwise(-1.0)))
-        return cells.cast("array<float>")
-    return embed
+    """Signed counts of hashed letter trigrams (64-bit xxHash, Spark's seed) in one pass over a text; stands in for a hosted model and
+    is the same everywhere. A null text reads as empty. The text's expression may hold no lambda, as of any Python function's."""
+
+    @F.pandas_udf("array<float>")
+    def counts(texts: pd.Series) -> pd.Series:
+        from xxhash import xxh64_intdigest
+
+        known: dict[str, tuple[int, int]] = {}  # grams of this batch
+
+        def embed(text: str) -> np.ndarray:
+            padded, out = f" {text} ", np.zeros(dims, np.float32)
+            for i in range(max(len(padded) - 2, 1)):
+                gram = padded[i : i + 3]
+                if gram not in known:
+                    h = xxh64_intdigest(gram.encode(), 42)
+                    known[gram] = (h - (h >> 63 << 64)) % dims, 1 - 2 * (h >> 32 & 1)
+                cell, sign = known[gram]
+                out[cell] += sign
+            return out
+
+        return texts.map(embed)
+
+    return lambda text: counts(F.coalesce(text, F.lit("")))
 
 
 def embed_source(rows: DataFrame, embed: Embedder) -> DataFrame:

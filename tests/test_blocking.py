@@ -46,3 +46,18 @@ def test_a_task_holds_a_block_and_emits_its_best(spark):
 def test_catalogue_uses_blocks(spark, sf_dir):
     plan = catalogue.cluster_best_match(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan
+
+
+def test_embedding_is_the_sum_of_its_grams(spark):
+    """Beside Spark's own hash, gram by gram."""
+    from pyspark.sql import functions as F
+
+    texts = [None, "", "a", "alpha bakery", "ää ö漢字", "x" * 300] + [f"name {k} of {k * k}" for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    padded = df.select("k", F.concat(F.lit(" "), F.coalesce("t", F.lit("")), F.lit(" ")).alias("p"))
+    grams = padded.select("k", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("p") - 2, F.lit(1))), lambda i: F.substr("p", i, F.lit(3)))).alias("g"))
+    cells = grams.select("k", F.pmod(F.xxhash64("g"), F.lit(16)).alias("c"), F.when(F.pmod(F.shiftright(F.xxhash64("g"), 32), F.lit(2)) == 0, 1).otherwise(-1).alias("s")).groupBy("k", "c").agg(F.sum("s").alias("s"))
+    want = {k: [0.0] * 16 for k in range(len(texts))}
+    for r in cells.collect():
+        want[r.k][r.c] = float(r.s)
+    assert {r.k: r.e for r in df.select("k", blocking.hashing_embedder(16)(F.col("t")).alias("e")).collect()} == want
