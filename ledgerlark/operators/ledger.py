@@ -79,6 +79,14 @@ def payment_rollup(payments: DataFrame, as_of: str) -> DataFrame:
         total(method.isNull() | ~method.isin("CARD", "CHECK", "ACH")).alias("total_spent_by_other"))
 
 
+def store_rollup(rows: DataFrame, table: str, buckets: int = 64) -> DataFrame:
+    """Writes suppliers by period, or a rollup, as a catalog table bucketed by KEYS, and reads it back. final_metrics() of tables
+    with the same number of buckets joins them as they lie. Buckets are by all three keys, not by the merchant alone: one merchant
+    may hold a large part of all rows, and its rollup sums up before it shuffles anyway."""
+    rows.repartition(buckets, *KEYS).write.mode("overwrite").bucketBy(buckets, *KEYS).sortBy(*KEYS).saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
 def final_metrics(suppliers: DataFrame, invoices: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Suppliers by period beside their rollups, zeros where a rollup has no row. All four meet on the same key."""
     out = suppliers
