@@ -2,8 +2,10 @@
 those that recur on many pages of a host; then the article's blocks are joined.
 
 What is boilerplate is decided in this order: recurring subtrees (templates); elements whose tag, role or hidden state says so
-(`nav`, `footer`, role=navigation ...); outside articles, lists and boxes of links; and containers, never text blocks, whose
-class or id is made of nothing but words for such parts (`cookie-notice`, not `share-price` or `search-results-discussion`).
+(`nav`, `footer`, role=navigation ...); outside articles, lists and boxes of links; and containers whose class or id is made of
+nothing but words for such parts (`cookie-notice`, not `share-price` or `search-results-discussion`); text blocks only if it is
+made of words for adverts. A word that an article may use itself (`cookies`, `related`) counts inside one only for a box of links
+or of something to press.
 
 A page is parsed into a flat element table by one regular expression; void elements, implied ends (`p`, `li`, ...), comments,
 raw text elements and unclosed tags are handled as browsers do, as far as text is concerned. The same parse serves both
@@ -40,7 +42,7 @@ ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "body": ({"head"}, {"html"}),
 }
 #: Elements that are never the article's text.
-DROPPED = frozenset("head nav footer aside form button select input menu dialog svg math canvas object audio video map".split()) | RAW
+DROPPED = frozenset("head nav footer aside form button select input menu dialog svg canvas object audio video map".split()) | RAW
 #: Roles of what is never the article's text.
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words for such parts in a class or id, and words that may stand beside them.
@@ -48,10 +50,16 @@ MARKS = frozenset(
     "ad ads advert adverts advertisement advertisements sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar rail related recommended "
     "notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social comment comments disqus respond reply replies pagination pager "
     "toolbar widget widgets skip".split())
-NEUTRAL = frozenset("page site main top bottom left right box slot wrapper container area block list section bar inner outer unit links the".split())
+NEUTRAL = frozenset("page site main top bottom left right box slot wrapper container area block list section bar inner outer unit links the thread reader readers user users post posts button buttons icons form item items media".split())
+#: Marks of adverts, which count for blocks of text too.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertisements sponsored".split())
+#: Marks that an article may use of its own matter. Alone in a class or id inside an article they decide nothing; the box goes if it
+#: is links for half of its text at least, or has something to press.
+OPEN = frozenset("cookie cookies related recommended share sharing social".split())
+CONTROLS = frozenset("button input form select textarea".split())
 #: Marks that hold for `article` elements too: comments and adverts are often articles of their own.
 NESTED = frozenset("ad ads advert advertisement promo sponsored related comment comments reply replies".split())
-#: Blocks of text: inside an article they are neither templates nor marked by a class or id, whatever it says.
+#: Blocks of text: inside an article they are no templates, and marked by a class or id only as adverts.
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption caption".split())
 NEVER = frozenset("html head body article main".split())
 LINK_BOXES = frozenset("ul ol menu div section table dl p".split())
@@ -65,6 +73,7 @@ class Page:
     def __init__(self, source: str | None):
         self.tag, self.parent, self.marked, self.last, self.attributes = ["#root"], [-1], [False], [0], [""]
         self.runs: list[tuple[int, str | None]] = []
+        self.open: list[int] = []  # inside an article, with a mark that decides nothing alone
         open_: list[int] = [0]
         at, source = 0, source or ""
         search = TOKEN.search
@@ -85,7 +94,12 @@ class Page:
             self.tag.append(name)
             self.parent.append(open_[-1])
             self.attributes.append(attributes)
-            self.marked.append(name in DROPPED or bool(attributes) and self._is_marked(name, attributes))
+            mark = name in DROPPED or bool(attributes) and self._is_marked(name, attributes)
+            if mark == "open":
+                mark = not any(self.tag[a] in ROOTS for a in open_)
+                if not mark:
+                    self.open.append(me)
+            self.marked.append(mark)
             self.last.append(me + 1)
             if name in BLOCKS or name == "br":
                 self.runs.append((me, None))
@@ -102,6 +116,22 @@ class Page:
             self.runs.append((open_[-1], source[at:]))
         while open_:
             self.last[open_.pop()] = len(self.tag)
+        for e in self.open:
+            self.marked[e] = self._is_box(e)
+
+    def _is_box(self, e: int) -> bool:
+        """Whether an element is links for half of its text at least, or has something to press."""
+        if any(self.tag[k] in CONTROLS for k in range(e + 1, self.last[e])):
+            return True
+        text = linked = 0
+        for k, run in self.runs:
+            if run and e <= k < self.last[e]:
+                n = len(run.strip())
+                text += n
+                while k > e and self.tag[k] != "a":
+                    k = self.parent[k]
+                linked += n if k > e else 0
+        return 2 * linked >= text > 0
 
     def _pop(self, open_: list[int]) -> None:
         e = open_.pop()
@@ -139,7 +169,9 @@ class Page:
                 k = min(k, len(open_)) - 1
 
     @staticmethod
-    def _is_marked(name: str, attributes: str) -> bool:
+    def _is_marked(name: str, attributes: str) -> bool | str:
+        """Whether the attributes say so; `open` if they only may."""
+        found: bool | str = False
         for m in ATTRIBUTE.finditer(attributes):
             key, value = (m[1] or m[3]).lower(), (m[2] or "").strip("\"'")
             if key == "hidden" or key == "aria-hidden" and "true" in value:
@@ -150,12 +182,16 @@ class Page:
                 continue
             if key == "role" and value.strip().lower() in ROLES:
                 return True
-            if key in ("class", "id") and name not in TEXT_BLOCKS:
+            if key in ("class", "id"):
+                marks = ADVERTS if name in TEXT_BLOCKS else NESTED if name == "article" else MARKS
                 for one in value.split():
                     said = {w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower()) if w}
-                    if said & (NESTED if name == "article" else MARKS) and said <= MARKS | NEUTRAL:
-                        return True
-        return False
+                    if said & marks and said <= (ADVERTS if name in TEXT_BLOCKS else MARKS) | NEUTRAL:
+                        if len(said) == 1 and said <= OPEN:
+                            found = "open"
+                        else:
+                            return True
+        return found
 
     def roots(self, hidden: list[bool]) -> list[int]:
         """The article: of the `article` elements that aren't inside another one, the largest and its siblings; the `main` around

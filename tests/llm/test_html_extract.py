@@ -29,7 +29,14 @@ def test_query_against_brute_force(spark):
     ("<article><h2 class='section-header'>H</h2><p class='share-price'>P</p><p id='related-work'>R</p><div class='search-results-discussion'>D</div><div class='comments box'>C</div></article>", "H P R D"),
     ("<body><div><a href=/a>one</a> <a href=/b>two</a> <a href=/c>three</a></div><p>text with <a href=/d>a link</a></p></body>", "text with a link"),
     ("<article><ul><li><a href=/a>one</a><li><a href=/b>two</a><li><a href=/c>three</a></ul></article>", "one two three"), ("<div hidden>h</div><div style='display: none'>i</div><p>x", "x"), ("<article>a < b and <3</article>", "a < b and <3"), ("<article>cut <a href='x", "cut"),
-    ("<article><p>a</b>b</p></article>", "ab"), ("<article>x" + "<div>" * 3000 + "deep", "x deep"), ("<article>&nbsp; a &nbsp;b</article>", "a b"), ("<script>never closed <p>x", ""),
+    *((f"<article><p>a</p>{box}<p>z</p></article>", "a z") for box in (
+        '<p class="advert">buy</p>', '<ul><li class="advertisement">buy</ul>', '<div id="disqus_thread"><p>first!</div>', '<section id="reader-comments"><p>hm</section>', '<div class="user-comments">u</div>', '<div class="post-comments">u</div>',
+        '<div class="related-posts"><p>more</div>', '<div class="social-share-buttons">tell</div>', '<div class="newsletter-signup-form">mail</div>', '<p id="sponsored_box">s</p>',
+        '<section id="related"><ul><li><a href=/x>one more</a><li><a href=/y>and one</a></ul></section>', '<div class="share">Share: <a href=/t>this page here</a></div>', '<div class="cookies">We use them. <button>Fine</button></div>')),
+    *((f"<article><p>a</p>{box}<p>z</p></article>", f"a {kept} z") for box, kept in (
+        ('<div class="cookies"><h3>Cookies</h3><p>Mix flour and <a href=/b>butter</a> well.</p></div>', "Cookies Mix flour and butter well."), ('<section id="related">Work by others came first.</section>', "Work by others came first."),
+        ('<section class="sharing"><p>Sharing a memory is hard.</p></section>', "Sharing a memory is hard."), ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", "so x=1 holds"), ('<p class="advertising-history">p</p>', "p"))),
+    ('<body><div class="related">else</div><p>x</p>', "x"), ("<article><p>a</b>b</p></article>", "ab"), ("<article>x" + "<div>" * 3000 + "deep", "x deep"), ("<article>&nbsp; a &nbsp;b</article>", "a b"), ("<script>never closed <p>x", ""),
 ])
 def test_pages(source, text):
     assert Page(source).text() == text
