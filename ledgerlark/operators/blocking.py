@@ -111,8 +111,8 @@ def block_matches(rows: DataFrame, source: DataFrame, least: float = 0.60, top:
     """best_matches(cluster_pairs(rows, source)) without pairs: unit vectors of a cluster are multiplied as matrices, and only the
     `top` best of a block leave a task.
 
-    A cluster's source rows are dealt at random to blocks of about `block`, its rows to streams of about `stream`; each task holds
-    one block and one Arrow batch of a stream. So copies and large clusters spread, a row travels once a block of its cluster, a
+    A cluster's source rows are dealt by a hash of all but their vectors to blocks of about `block`, its rows likewise to streams of
+    about `stream`; each task holds one block and one Arrow batch of a stream. So copies of a vector and large clusters spread, a row travels once a block of its cluster, a
     source row once a stream. Scores near the last place are computed again pair by pair, so equal vectors have equal scores and
     ties go by entity_id. Part counts are a row a cluster, broadcast.
     """
@@ -121,10 +121,10 @@ def block_matches(rows: DataFrame, source: DataFrame, least: float = 0.60, top:
     asked = rows.withColumn("__c", F.col(cluster).cast("long"))
     parts = known.groupBy("__c").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).join(asked.groupBy("__c").agg(F.ceil(F.count("*") / stream).cast("int").alias("streams")), "__c")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    dealt = lambda n, seed: F.floor(F.rand(seed) * F.col(n)).cast("int")
+    dealt = lambda n, df, *drop: F.pmod(F.xxhash64(*(c for c in df.columns if c not in drop)), F.col(n)).cast("int")  # noqa: E731  the same in a rerun
     vector, own, other = "array<double>", payload(rows, "in_emb"), payload(source, "ln_emb", "mn_emb")
-    blocks = known.join(F.broadcast(parts), "__c").withColumn("__block", dealt("blocks", 1)).select("__c", "__block", every("streams").alias("__stream"), F.lit(0).alias("__kind"), F.col("ln_emb").cast(vector).alias("__a"), F.col("mn_emb").cast(vector).alias("__b"), other.alias("__s"))
-    streams = asked.join(F.broadcast(parts), "__c").withColumn("__stream", dealt("streams", 2)).select("__c", every("blocks").alias("__block"), "__stream", F.lit(1).alias("__kind"), F.col("in_emb").cast(vector).alias("__a"), own.alias("__r"))
+    blocks = known.join(F.broadcast(parts), "__c").withColumn("__block", dealt("blocks", source, "ln_emb", "mn_emb")).select("__c", "__block", every("streams").alias("__stream"), F.lit(0).alias("__kind"), F.col("ln_emb").cast(vector).alias("__a"), F.col("mn_emb").cast(vector).alias("__b"), other.alias("__s"))
+    streams = asked.join(F.broadcast(parts), "__c").withColumn("__stream", dealt("streams", rows, "in_emb")).select("__c", every("blocks").alias("__block"), "__stream", F.lit(1).alias("__kind"), F.col("in_emb").cast(vector).alias("__a"), own.alias("__r"))
     task = ["__c", "__block", "__stream"]
     met = blocks.unionByName(streams, allowMissingColumns=True)
     met = met.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *task).sortWithinPartitions(*task, "__kind")
