@@ -533,10 +533,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def token_output(spark: SparkSession, docs: DataFrame, tokenizer_path: str | None = None, end_id: int = 2) -> DataFrame:
-    """Writes docs as segments to a work folder of the cluster and returns what reading them back gives."""
+def token_output(spark: SparkSession, docs: DataFrame, tokenizer_path: str | None = None, end_id: int = 2, segment_ids: int = 1_000_000) -> DataFrame:
+    """Writes docs as segments to a work folder of the cluster and returns what reading them back gives, which is the same for segments
+    of any size: small ones take less memory in a task, and more time, as their rules run out later."""
     path = work_path(spark, "tokens")
-    write_tokens(docs, tokenizer_path or default_tokenizer(), path, end_id)
+    write_tokens(docs, tokenizer_path or default_tokenizer(), path, end_id, segment_ids)
     return read_tokens(spark, path)
 
 
