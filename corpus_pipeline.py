@@ -14,6 +14,8 @@ from ledgerlark.llm.common import saved, small, work_path
 
 #: Near copies share this percentage of their shingles of so many words; op3's query has a rule of its own.
 NEAR = {"size": 5, "percent": 80}
+#: Ids of a token segment: half of the operator's own default, as executors come here with the memory of four stages before.
+SEGMENT_IDS = 500_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token index of the documents left, read back from the segments: doc_id, start, n_tokens, ids_crc32."""
-    return token_output.token_output(spark, docs)
+    return token_output.token_output(spark, docs, segment_ids=SEGMENT_IDS)
 
 
 STAGES = [
