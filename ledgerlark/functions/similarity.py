@@ -198,6 +198,17 @@ def _partial_ratio(a: pd.Series, b: pd.Series, over: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else partial_ratio(x, y, o) for x, y, o in zip(a, b, over)], dtype="float64")
 
 
+@F.pandas_udf(T.DoubleType())
+def _quiet_partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    def quiet(x: str, y: str) -> float:
+        for word in NOISE:
+            if word in x and word in y:
+                x, y = (" ".join(t.replace(word, " ", 1).split()) for t in (x, y))
+        return partial_ratio(x, y)
+
+    return pd.Series([quiet(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
 def plain_address(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9\s]", " "), r"\s+", " "))
 
@@ -211,11 +222,16 @@ def without_noise(a: Column, b: Column) -> tuple[Column, Column]:
     return a, b
 
 
+def _quiet_tokens(s: Column) -> Column:
+    x, y = without_noise(s["x"], s["y"])
+    return let(F.struct(x.alias("x"), y.alias("y")), lambda t: token_set_ratio(t["x"], t["y"]))
+
+
 def address_similarity(a: Column, b: Column) -> Column:
     """The higher of token-set and partial ratio without shared noise words; 0 if either is empty."""
     some = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
-    x, y = without_noise(plain_address(a), plain_address(b))
-    return F.when(some, F.greatest(let(F.struct(x.alias("x"), y.alias("y")), lambda s: token_set_ratio(s["x"], s["y"])), _partial_ratio(x, y, F.lit(0.0)))).otherwise(0.0)
+    x, y = plain_address(a), plain_address(b)
+    return F.when(some, F.greatest(let(F.struct(x.alias("x"), y.alias("y")), _quiet_tokens), _quiet_partial_ratio(x, y))).otherwise(0.0)
 
 
 def with_address_similarity(df: DataFrame, name: str, a: Column, b: Column, least: float, wanted: Column) -> DataFrame:
