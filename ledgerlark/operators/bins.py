@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import propensity_tier
+from ..sources.tables import work_folder
 
 HIGHER = ["avg_daily_vol_past_90", "total_txn_value_past_90", "total_txn_vol_past_90", "txn_amt_range_past_90", "distinct_product_cd_past_90"]
 LOWER = ["days_since_most_recent_txn"]
@@ -45,8 +46,11 @@ def merged_counts(*states: DataFrame) -> DataFrame:
 
 def quantiles_of(counts: DataFrame, bins: int = 100) -> DataFrame:
     """(metric, is_negated, q) from value counts: exact quantiles of all metrics, by integer ranks max(1, ceil(i * n / bins)).
-    Counts are summed up by range partition, so no partition holds all values of a metric unless they are few."""
-    parts = counts.repartitionByRange("metric", "v").withColumn("p", F.spark_partition_id())
+    Counts are summed up by range partition, so no partition holds all values of a metric unless they are few. Their numbers are
+    written with the rows: the bounds of ranges are drawn anew each time a plan is run, and both sides of the join need the same."""
+    path = work_folder(counts.sparkSession, "ranges")
+    counts.repartitionByRange("metric", "v").withColumn("p", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    parts = counts.sparkSession.read.parquet(path)
     parts = parts.withColumn("inside", F.sum("c").over(Window.partitionBy("metric", "p").orderBy("v")))
     ahead = parts.groupBy("metric", "p").agg(F.sum("c").alias("own"))  # a row for each partition and metric
     ahead = ahead.withColumn("before", F.sum("own").over(Window.partitionBy("metric").orderBy("p")) - F.col("own")).withColumn("n", F.sum("own").over(Window.partitionBy("metric")))
