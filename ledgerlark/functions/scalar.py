@@ -61,11 +61,9 @@ def card_acceptor(recency: Column, ids: Column) -> Column:
 def base62_8(number: Column) -> Column:
     """The last eight base-62 digits (digits, capitals, small letters), left-padded with 0; 0 and negative give eight zeros."""
     n = F.greatest(number.cast("long"), F.lit(0).cast("long"))
-    parts, rest = [], n
-    for _ in range(8):
-        parts.append(F.lit(BASE62).substr((rest % 62 + 1).cast("int"), F.lit(1)))
-        rest = F.floor((rest - rest % 62).cast("decimal(20,0)") / 62).cast("long")
-    return F.when(number.isNull(), F.lit("")).otherwise(F.concat(*reversed(parts)))
+    # every digit from the number itself: chained remainders name each other and double the expression with each digit
+    digit = lambda k: F.lit(BASE62).substr((F.call_function("div", n, F.lit(62**k).cast("long")) % 62 + 1).cast("int"), F.lit(1))
+    return F.when(number.isNull(), F.lit("")).otherwise(F.concat(*map(digit, reversed(range(8)))))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -87,3 +87,8 @@ def test_attributes(spark):
     got = values(spark, rows, "r map<string,map<string,double>>", attributes.best_rule(F.col("r")))
     assert [tuple(g[0]) for g in got] == [(0.5, "a"), (0.0, ""), (0.0, "")]
     assert values(spark, [("entities/9",), ("",), (None,)], "u string", attributes.entity_id(F.col("u"))) == [("9",), ("",), ("",)]
+
+
+def test_base62_does_not_grow_with_each_digit(spark):
+    plan = spark.range(1).select(scalar.base62_8(F.col("id")).alias("code"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("id#") < 40
