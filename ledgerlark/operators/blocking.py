@@ -191,6 +191,85 @@ def block_matches(rows: DataFrame, source: DataFrame, least: float = 0.60, top:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("is_matched", F.lit("Y"))
 
 
+def _by_length(vectors) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length: the numbers of the vectors of that length and their components; vectors that are null or hold a null are left out."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
+    flat = vectors.flatten()
+    values, missing = flat.to_numpy(zero_copy_only=False).astype(np.float64), flat.is_null().to_numpy(zero_copy_only=False)
+    start = np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
+    out = {}
+    for d in np.unique(lengths[lengths >= 0]).tolist():
+        own = np.flatnonzero(lengths == d)
+        at = start[own, None] + np.arange(d)
+        whole = ~missing[at].any(axis=1)
+        out[d] = own[whole], values[at[whole]]
+    return out
+
+
+def all_cosines(a: DataFrame, b: DataFrame, digits: int = 4, block: int = 16_384, stream: int = 65_536, chunk: int = 1 << 18) -> DataFrame:
+    """(a_id, b_id, cosine) of every a (a_id, a) beside every b (b_id, b) of another id, rounded half up: scalar.cosine() by products
+    of matrices. A task holds a block of a and one Arrow batch of a stream of b, and gives `chunk` pairs at a time."""
+    blocks, streams = (max(1, -(-x.count() // n)) for x, n in ((a, block), (b, stream)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")  # noqa: E731  the same in a rerun
+    held = a.select(dealt("a_id", blocks).alias("i"), every(streams).alias("j"), F.lit(0).alias("kind"), F.col("a_id").alias("id"), F.col("a").cast("array<double>").alias("v"))
+    sent = b.select(every(blocks).alias("i"), dealt("b_id", streams).alias("j"), F.lit(1).alias("kind"), F.col("b_id").alias("id"), F.col("b").cast("array<double>").alias("v"))
+    parts = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks * streams)
+    met = held.unionByName(sent).where("id is not null").repartition(parts, "i", "j").sortWithinPartitions("i", "j", "kind")
+
+    def flags(vectors: dict, n: int) -> np.ndarray:
+        """Which of n vectors are there whole, and which of these are zero."""
+        out = np.zeros((2, n), bool)
+        for rows, x in vectors.values():
+            out[0, rows], out[1, rows] = True, ~x.any(axis=1)
+        return out
+
+    def pairs(own, part):
+        import pyarrow as pa
+
+        ids, other, columns = own.column("id").to_numpy(), part.column("id").to_numpy(), _by_length(own.column("v"))
+        step = max(1, chunk // len(ids))
+        for k in range(0, len(other), step):
+            piece, theirs = part.slice(k, step), other[k : k + step]
+            streamed = _by_length(piece.column("v"))
+            cosines, (whole, zero), (own_whole, own_zero) = np.zeros((len(theirs), len(ids))), flags(streamed, len(theirs)), flags(columns, len(ids))
+            known = np.outer(zero, own_whole) | np.outer(whole, own_zero)  # a zero vector has cosine 0 with one of any length
+            for d, (rows, y) in streamed.items():
+                at, x = columns.get(d, ((), None))
+                if len(at) and len(rows):
+                    with np.errstate(all="ignore"):
+                        norms = np.sqrt((y * y).sum(axis=1))[:, None] * np.sqrt((x * x).sum(axis=1))
+                        cosine = np.where(norms == 0, 0.0, y @ x.T / np.where(norms == 0, 1.0, norms))
+                        cosines[np.ix_(rows, at)] = np.copysign(np.floor(np.abs(cosine) * 10**digits + 0.5) / 10**digits, cosine) + 0.0
+                    known[np.ix_(rows, at)] = True
+            kept = theirs[:, None] != ids
+            a_ids, b_ids = np.broadcast_to(ids, kept.shape)[kept], np.broadcast_to(theirs[:, None], kept.shape)[kept]
+            yield pa.RecordBatch.from_arrays([pa.array(a_ids), pa.array(b_ids), pa.array(cosines[kept], mask=~known[kept])], ["a_id", "b_id", "cosine"])
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, parts, own = None, [], None
+        for batch in batches:
+            i, j, kind = (batch.column(c).to_numpy() for c in ("i", "j", "kind"))
+            edges = [0, *(np.flatnonzero((np.diff(i) != 0) | (np.diff(j) != 0) | (np.diff(kind) != 0)) + 1).tolist(), len(i)]
+            for s, e in zip(edges, edges[1:]):
+                if s == e:
+                    continue
+                part = batch.slice(s, e - s)
+                if (i[s], j[s]) != now:
+                    now, parts, own = (i[s], j[s]), [], None
+                if kind[s] == 0:
+                    parts.append(part)
+                elif parts:
+                    own = pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if own is None else own
+                    yield from pairs(own, part)
+
+    return met.mapInArrow(run, "a_id long, b_id long, cosine double")
+
+
 def unaudited(rows: DataFrame, audit: DataFrame) -> DataFrame:
     """Rows whose keys the audit doesn't have; a null never equals, so rows with one are always kept."""
     return rows.join(audit.select(*KEYS).distinct(), KEYS, "left_anti")

@@ -473,19 +473,11 @@ def base62_id(spark, d):
     return c.select("c_custkey", scalar.base62_8(F.col("n")).alias("code"))
 
 
-def vector_pairs(spark, d, block=2048):
-    """The query set, every vector whose id is divisible by 100, beside all vectors: a join on pairs of blocks."""
+def cosine_pairs(spark, d):
+    """The query set, every vector whose id is divisible by 100, beside all vectors."""
     e = table(spark, d, "embeddings")
     a, b = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a")), e.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("b"))
-    a_blocks, b_blocks = (max(1, -(-x.count() // block)) for x in (a, b))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = a.withColumn("i", F.pmod(F.xxhash64("a_id"), F.lit(a_blocks)).cast("int")).withColumn("j", every(b_blocks))
-    b = b.withColumn("j", F.pmod(F.xxhash64("b_id"), F.lit(b_blocks)).cast("int")).withColumn("i", every(a_blocks))
-    return a.join(b, ["i", "j"]).where("a_id <> b_id")
-
-
-def cosine_pairs(spark, d):
-    return vector_pairs(spark, d).select("a_id", "b_id", F.round(scalar.cosine(F.col("a"), F.col("b")), 4).alias("cosine"))
+    return blocking.all_cosines(a, b)
 
 
 def embedding_sources(spark, d):

@@ -61,3 +61,17 @@ def test_embedding_is_the_sum_of_its_grams(spark):
     for r in cells.collect():
         want[r.k][r.c] = float(r.s)
     assert {r.k: r.e for r in df.select("k", blocking.hashing_embedder(16)(F.col("t")).alias("e")).collect()} == want
+
+
+def test_all_cosines_equal_the_expression_without_a_join(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlark.functions import scalar
+
+    rows = [(i, [float((i * 7 + k * 3) % 11 - 5) for k in range(4)]) for i in range(40)] + [(40, [0.0] * 4), (41, None), (42, [1.0, None, 2.0, 3.0]), (43, [1.0, 2.0]), (44, []), (45, [])]
+    both = spark.createDataFrame(rows, "id long, v array<float>")
+    a, b = both.where("id % 3 = 0 or id > 39").selectExpr("id a_id", "v a"), both.selectExpr("id b_id", "v b")
+    want = a.crossJoin(b).where("a_id <> b_id").select("a_id", "b_id", F.round(scalar.cosine(F.col("a"), F.col("b")), 4)).collect()
+    got = blocking.all_cosines(a, b, block=7, stream=9, chunk=10)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
