@@ -544,7 +544,7 @@ def entity_request(spark, d):
 def matched_suppliers(spark, d):
     """Every supplier's best part offer as its match: of equal scores the smallest entity id."""
     rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier_id"), "s_name")
-    item = table(spark, d, "lineitem").where("l_suppkey % 4 > 0").select("l_suppkey", "l_partkey", "l_quantity").distinct()
+    item = table(spark, d, "lineitem").where("l_suppkey % 4 > 0").select("l_suppkey", "l_partkey", "l_quantity")
     found = item.select(F.col("l_suppkey").alias("supplier_id"), F.format_string("E%08d", "l_partkey").alias("entity_id"), F.col("l_partkey").cast("string").alias("matched_mmhid"),
                         (F.col("l_partkey") % 10).cast("string").alias("matched_mmc_code"), (F.col("l_quantity").cast("double") / 50).alias("matched_score"))
     return rows, jobs.with_matches(rows, found)

@@ -43,7 +43,9 @@ class Tables:
 def with_matches(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """rows beside their match by supplier_id; of several matches of one id the one with the highest score is taken whole, of equal
     ones that with the smallest entity_id, so rows don't multiply. A matcher that gives only some attributes leaves the others
-    null."""
+    null. Rows below the best score of their id leave by a hashed minimum first, so that only ties are sorted whole."""
+    least = matches.groupBy("supplier_id").agg(F.min(-F.col("matched_score")).alias("__least")).withColumnRenamed("supplier_id", "__id")
+    matches = matches.join(least, (F.col("supplier_id") == F.col("__id")) & (-F.col("matched_score")).eqNullSafe(F.col("__least"))).drop("__id", "__least")
     for c in (*MATCHED, "is_matched"):
         if c not in matches.columns:
             matches = matches.withColumn(c, F.lit(None).cast("string"))

@@ -200,3 +200,14 @@ def test_cascade_loses_no_pair_that_a_rule_accepts(spark, monkeypatch):
     monkeypatch.setattr(matching, "candidates", lambda a, b: a.select("row_id").crossJoin(b.select("entity_id")))
     assert got == sorted(map(tuple, matching.cascade(own, other).collect()), key=str)
     assert sum(r[-1] == "Y" for r in got) > len(rows) // 2
+
+
+def test_only_ties_for_the_best_score_are_sorted_whole(spark):
+    from ledgerlark.plans.jobs import with_matches
+
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "supplier_id string")
+    found = spark.createDataFrame([("a", "E2", 0.5), ("a", "E1", 0.5), ("a", "E0", 0.4), ("a", "E9", float("nan")), ("b", "E3", None), ("b", "E4", float("nan"))], "supplier_id string, entity_id string, matched_score double")
+    out = with_matches(rows, found)
+    assert {r.supplier_id: r.entity_id for r in out.collect()} == {"a": "E1", "b": "E4", "c": None}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[supplier_id" in plan
