@@ -43,9 +43,10 @@ class Tables:
 def with_matches(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """rows beside their match by supplier_id; of several matches of one id the one with the highest score is taken whole, of equal
     ones that with the smallest entity_id, so rows don't multiply. A matcher that gives only some attributes leaves the others
-    null. Rows below the best score of their id leave by a hashed minimum first, so that only ties are sorted whole."""
+    null. Rows below the best score of their id leave by a hashed minimum first, so that only ties
+    are sorted whole; the hashed join sorts neither side."""
     least = matches.groupBy("supplier_id").agg(F.min(-F.col("matched_score")).alias("__least")).withColumnRenamed("supplier_id", "__id")
-    matches = matches.join(least, (F.col("supplier_id") == F.col("__id")) & (-F.col("matched_score")).eqNullSafe(F.col("__least"))).drop("__id", "__least")
+    matches = matches.join(least.hint("shuffle_hash"), (F.col("supplier_id") == F.col("__id")) & (-F.col("matched_score")).eqNullSafe(F.col("__least"))).drop("__id", "__least")
     for c in (*MATCHED, "is_matched"):
         if c not in matches.columns:
             matches = matches.withColumn(c, F.lit(None).cast("string"))
@@ -65,10 +66,11 @@ def first_rows(rows: DataFrame, key: str) -> DataFrame:
 def with_summary(rows: DataFrame, categories: DataFrame, summary: DataFrame) -> DataFrame:
     """rows with category, merchant summary, gold names and confidence. The summary's ids are comma-joined lists, so they are
     split before the join. Of several rows of a category code or of an id one is taken whole: the one that comes first by its
-    values, column by column, nulls last."""
+    values, column by column, nulls last. Only ids that rows ask for are sorted for that."""
     cats = first_rows(categories.select("mcc_code", "mcc_group", "industry_classification_code"), "mcc_code")
     out = rows.join(cats, rows["matched_mmc_code"] == cats["mcc_code"], "left").withColumn("mcc_code", F.coalesce("mcc_code", "matched_mmc_code"))
-    ids = first_rows(summary.select(*FROM_SUMMARY, F.explode(F.split("mmh_id", ",")).alias("mmh_id")), "mmh_id")
+    asked = rows.select(F.col("matched_mmhid").alias("mmh_id")).distinct().hint("shuffle_hash")
+    ids = first_rows(summary.select(*FROM_SUMMARY, F.explode(F.split("mmh_id", ",")).alias("mmh_id")).join(asked, "mmh_id", "left_semi"), "mmh_id")
     out = out.join(ids, out["matched_mmhid"] == ids["mmh_id"], "left").withColumn("mmh_id", F.coalesce("mmh_id", "matched_mmhid"))
     return out.withColumns({new: F.col(old) for new, old in RENAMED.items()}).withColumn("confidence", confidence_tier(F.col("matched_score")))
 
