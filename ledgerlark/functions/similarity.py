@@ -193,6 +193,32 @@ def partial_ratio(a: str, b: str, over: float = 0.0) -> float:
     return best
 
 
+def token_set(a: str, b: str) -> float:
+    """token_set_ratio() of two texts."""
+    x, y = ({t for t in s.split(" ") if t} for s in (a, b))
+    if not x or not y:
+        return 0.0
+    shared, one, two = (" ".join(sorted(t)) for t in (x & y, x - y, y - x))
+    if shared and not (one and two):
+        return 1.0
+    lead = len(shared) + 1 if shared else 0
+    whole = 2 * (lead + lcs(one, two)) / (2 * lead + len(one) + len(two))
+    return max(whole, 2 * len(shared) / (2 * len(shared) + 1 + min(len(one), len(two))) if shared else 0.0)
+
+
+def _without_noise(a: str, b: str) -> tuple[str, str]:
+    for word in NOISE:
+        if word in a and word in b:
+            a, b = (" ".join(t.replace(word, " ", 1).split()) for t in (a, b))
+    return a, b
+
+
+def address_value(a: str, b: str) -> float:
+    """address_similarity() of two plain addresses."""
+    a, b = _without_noise(a, b)
+    return partial_ratio(a, b, token_set(a, b))
+
+
 @F.pandas_udf(T.DoubleType())
 def _partial_ratio(a: pd.Series, b: pd.Series, over: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else partial_ratio(x, y, o) for x, y, o in zip(a, b, over)], dtype="float64")
@@ -200,13 +226,7 @@ def _partial_ratio(a: pd.Series, b: pd.Series, over: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def _quiet_partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    def quiet(x: str, y: str) -> float:
-        for word in NOISE:
-            if word in x and word in y:
-                x, y = (" ".join(t.replace(word, " ", 1).split()) for t in (x, y))
-        return partial_ratio(x, y)
-
-    return pd.Series([quiet(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([partial_ratio(*_without_noise(x, y)) for x, y in zip(a, b)], dtype="float64")
 
 
 def plain_address(c: Column) -> Column:

@@ -1,8 +1,8 @@
 """Rule-based matching of suppliers to master entities: hash cache, candidate blocking, scoring, the 15-rule cascade.
 
 The cascade is evaluated at once: every candidate pair is tested under every rule and name variant, and the first passing
-(rule, variant) with the best score wins by one windowed pick. Candidates come from a similarity join of names and from equi-joins on
-hashes of whole keys.
+(rule, variant) with the best score wins by one windowed pick. Candidates are the pairs that can win: of alike names by
+leading_pairs(), else by equi-joins on hashes of whole keys.
 """
 
 from __future__ import annotations
@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import matched_flag
-from ..functions.similarity import boost, let, letter_codes, letter_masks, ratio, with_address_similarity
+from ..functions.similarity import boost, let, letter_codes, letter_masks, plain_address, ratio, with_address_similarity
 from ..functions.text import (
-    cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_rows, normalize_text, postal_match, request_hash, resolve_country)
-from .similar_names import plain_name, similar_names, spread
+    cleanse_name, city_match, dba_parts, filled, normalize_city, normalize_rows, normalize_text, postal_comparable, postal_match, request_hash, resolve_country)
+from ..sources.tables import work_folder
+from .leading_pairs import leading_pairs
+from .similar_names import plain_name, spread
 
 #: A name is fuzzily equal from this token-sort ratio.
 FUZZY = 0.80
@@ -140,19 +142,43 @@ def entity_keys(legal: Column, dba: Column) -> dict[str, Column]:
     return {"equal": F.array(*map(F.lower, both)), "starts": prefixes(F.lower(both[1])), "prefix": starts, "word": F.concat(*(F.split(normalize_text(n), " ") for n in both))}
 
 
-def candidates(rows: DataFrame, entities: DataFrame) -> DataFrame:
-    """(row_id, entity_id) once each, of one country: every pair that a rule accepts, but for names without a Latin letter or digit,
-    whose ratios say nothing. Rules 1 to 9 give no score without alike names, which come from a similarity join that lets only such
-    pass; the other ways to agree of rules 10 to 15 are equal keys."""
-    country = lambda c: F.upper(filled(F.col(c)))
-    tried = name_variants(rows).select("row_id", country("norm_country").alias("grp"), "tried_name")
-    named = tried.select("row_id", "grp", plain_name(F.col("tried_name")).alias("name")).where("name <> ''").distinct()
-    known = entities.select("entity_id", country("country").alias("grp"), F.explode(F.array(*(plain_name(filled(F.col(c))) for c in ("legal_name", "dba_name")))).alias("other")).where("other <> ''").distinct()
-    alike = similar_names(named, known.select("grp", F.col("other").alias("name")), round(100 * FUZZY))
-    alike = named.join(alike, ["grp", "name"]).join(known, ["grp", "other"]).select("row_id", "entity_id")
-    a = tried.select("row_id", F.explode(exact_keys(F.col("grp"), request_keys(F.col("tried_name")))).alias("k")).distinct()
-    b = entities.select("entity_id", F.explode(exact_keys(country("country"), entity_keys(F.col("legal_name"), F.col("dba_name")))).alias("k"))
-    return spread(alike.unionByName(a.join(b, "k").select("row_id", "entity_id")), "row_id", "entity_id").distinct()
+def candidates(rows: DataFrame, entities: DataFrame, least: float | None = None) -> DataFrame:
+    """(row_id, entity_id) once each, of one country: every pair that can be the cascade's choice for its row. Columns that are not
+    there read as empty.
+
+    Rules 1 to 10 and 12 ask for alike names, or equal ones, which are alike: leading_pairs() compares names and gives the pairs that
+    no other comes before. The other ways to agree of rules 11 to 15 are equal keys, asked for rows that no rule up to 10 settles.
+    Names without a Latin letter or digit, whose ratios say nothing, meet by equal keys only.
+    """
+    def of(df: DataFrame, column: str) -> Column:
+        return filled(F.col(column)) if column in df.columns else F.lit("")
+
+    def present(text: Column, value: Column) -> Column:
+        return F.when(text != "", value)
+
+    own, entity = (lambda c: of(rows, c)), (lambda c: of(entities, c))
+    country = F.upper(own("norm_country")), F.upper(entity("country"))
+    tried = F.transform(variants(F.col("norm_supplier_name")), lambda v: F.struct(v["variant"].alias("variant"), plain_name(v["name"]).alias("plain"), F.lower(v["name"]).alias("lower")))
+    asked = rows.select(
+        "row_id", country[0].alias("grp"), tried.alias("tried"), present(own("norm_city"), normalize_city(own("norm_city"))).alias("city"), F.lower(own("full_form_state")).alias("state"),
+        postal_comparable(own("norm_postal_code"), own("norm_country")).alias("code"), present(own("norm_street_address"), plain_address(own("norm_street_address"))).alias("street"))
+    asked = asked.withColumn("odd", F.exists("tried", lambda v: v["plain"] == ""))
+    known = entities.select(
+        "entity_id", country[1].alias("grp"), plain_name(entity("legal_name")).alias("legal"), plain_name(entity("dba_name")).alias("dba"), F.lower(entity("legal_name")).alias("legal_whole"), F.lower(entity("dba_name")).alias("dba_whole"),
+        present(entity("city"), normalize_city(entity("city"))).alias("city"), F.lower(entity("state")).alias("state"), postal_comparable(entity("postal_code"), entity("country")).alias("code"),
+        present(entity("street_address"), plain_address(entity("street_address"))).alias("street"))
+    path = work_folder(rows.sparkSession, "leading")  # read twice, and written once
+    leading_pairs(asked, known, RULES, floors(least), FUZZY).write.mode("overwrite").parquet(path)
+    leading = rows.sparkSession.read.parquet(path)
+    open_rows = name_variants(rows.join(leading.where("settled").select("row_id").distinct(), "row_id", "left_anti")).select("row_id", F.upper(filled(F.col("norm_country"))).alias("grp"), "tried_name")
+    a = open_rows.select("row_id", F.explode(exact_keys(F.col("grp"), request_keys(F.col("tried_name")))).alias("k")).distinct()
+    b = entities.select("entity_id", F.explode(exact_keys(country[1], entity_keys(F.col("legal_name"), F.col("dba_name")))).alias("k"))
+    return spread(leading.select("row_id", "entity_id").unionByName(a.join(b, "k").select("row_id", "entity_id")), "row_id", "entity_id").distinct()
+
+
+def floors(least: float | None) -> list[float]:
+    """The least score of each rule, where none below `least` counts."""
+    return [r.least if least is None else max(r.least, least) for r in RULES]
 
 
 def cascade(rows: DataFrame, entities: DataFrame, least: float | None = None) -> DataFrame:
@@ -165,7 +191,7 @@ def cascade(rows: DataFrame, entities: DataFrame, least: float | None = None) ->
     tried = F.transform(variants(F.col("norm_supplier_name")), lambda v: let(plain_name(v["name"]), lambda n: F.struct(v["variant"].alias("variant"), v["name"].alias("name"), v["suffix"].alias("suffix"), n.alias("plain"), letter_masks(n).alias("masks"))))
     known = entities.select("entity_id", *(F.col(c).alias(f"e_{c}") for c in ("legal_name", "dba_name", "street_address", "city", "state", "postal_code", "country")))
     sides = [let(plain_name(filled(F.col(f"e_{s}_name"))), lambda n: F.struct(n.alias("plain"), letter_codes(n).alias("codes"))) for s in ("legal", "dba")]
-    pairs = candidates(rows, entities).join(rows.withColumn("__tried", tried), "row_id").join(known.withColumn("__sides", F.array(*sides)), "entity_id")
+    pairs = (candidates(rows, entities) if least is None else candidates(rows, entities, least)).join(rows.withColumn("__tried", tried), "row_id").join(known.withColumn("__sides", F.array(*sides)), "entity_id")
     pairs = pairs.where(F.upper(filled(F.col("norm_country"))) == F.upper(filled(F.col("e_country"))))
     own = {"city": F.col("norm_city"), "state": F.col("full_form_state"), "postal_code": F.col("norm_postal_code"), "country": F.col("norm_country")}
     entity = {"city": F.col("e_city"), "state": F.col("e_state"), "postal_code": F.col("e_postal_code")}
@@ -190,9 +216,8 @@ def cascade(rows: DataFrame, entities: DataFrame, least: float | None = None) ->
     pairs = pairs.select("row_id", "entity_id", "variant", "suffix", F.explode(F.array(found)).alias("__k")).select("*", "__k.*")  # a generator: else the optimizer copies each agreement into every rule
     pairs = pairs.withColumns({f"__score_{b}": match_score(F.col("__name"), F.col("__street"), F.col("__geo"), F.col("__state"), F.lit(b == "broad")) for b in ("broad", "narrow")})
     tried = []
-    for r in RULES:
+    for r, floor in zip(RULES, floors(least)):
         score = F.col("__score_broad" if r.broad else "__score_narrow")
-        floor = r.least if least is None else max(r.least, least)
         tried.append(F.when(rule_holds(r) & (score > 0) & (score >= floor), F.struct(F.lit(r.number).alias("rule"), score.alias("score"))))
     hits = pairs.withColumn("__hit", F.explode(F.array_compact(F.array(*tried)))).select("row_id", "entity_id", "variant", "suffix", F.col("__hit.rule").alias("rule"), F.col("__hit.score").alias("score"))
     w = Window.partitionBy("row_id").orderBy("rule", "variant", F.col("score").desc(), "entity_id")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import similarity
-from ledgerlark.operators import matching, similar_names
+from ledgerlark.operators import leading_pairs, matching, similar_names
 from ledgerlark.plans import catalogue
 
 
@@ -129,3 +129,31 @@ def test_exact_keys_meet_what_the_other_rules_accept(spark):
 def test_no_python_but_for_sliding_addresses(spark, sf_dir):
     plan = catalogue.rule_cascade(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "_partial_ratio" in plan
+
+
+def test_only_pairs_that_can_win_among_names_all_alike(spark, monkeypatch):
+    r = random.Random(8)
+    number = lambda i: f"Vendor {i * 37 % 1000:06d}"
+    long = "Amalgamated Warehousing and Distribution of the Northern Provinces " * 2
+    rows = [(i, (f"Shop DBA {number(i)}", number(i), long + number(i))[i % 3], f"{i % 40} Main Street" if i % 4 else "", ("", "Town", "town hall")[i % 7 % 3], f"1{i % 30:03d}" if i % 6 else "", "DEU" if i % 9 else "FRA", "Bavaria" if i % 5 == 0 else "") for i in range(120)]
+    rows += [(900, "アクメ DBA Vendor 000037", "", "Town", "", "DEU", ""), (901, "!!!", "", "Town", "", "DEU", "")]
+    entities = [(f"E{j:03d}", (number(j) + " Inc", long + number(j), "!!!")[j % 8 // 3], number(r.randrange(60)), f"{j % 40} Main St", ("Town", "town hall", "")[j % 3], ("", "bavaria")[j % 2], f"1{j % 30:03d}-{j % 2}", "DEU" if j % 5 else "FRA") for j in range(130)]
+    rows = spark.createDataFrame(rows, "row_id int, norm_supplier_name string, norm_street_address string, norm_city string, norm_postal_code string, norm_country string, full_form_state string")
+    entities = spark.createDataFrame(entities, "entity_id string, legal_name string, dba_name string, street_address string, city string, state string, postal_code string, country string")
+    whole = leading_pairs.leading_pairs
+    monkeypatch.setattr(matching, "leading_pairs", lambda *a: whole(*a, block=16, cells=8))  # several blocks a country
+    got, strict, found = sorted(map(tuple, matching.cascade(rows, entities).collect())), sorted(map(tuple, matching.cascade(rows, entities, 0.82).collect())), matching.candidates(rows, entities).where("row_id < 900").count()
+    monkeypatch.setattr(matching, "candidates", lambda a, b, *least: a.select("row_id").where("row_id < 900").crossJoin(b.select("entity_id")).unionAll(whole_odd))
+    whole_odd = spark.createDataFrame([(900, e.entity_id) for e in entities.collect() if e.country == "DEU" and max(2 * similarity.lcs(a, b) / (len(a) + len(b)) for a in ("dba vendor 000037", "000037 vendor") for b in (" ".join(sorted("".join(c for c in n.lower() if c.isalnum() or c == " ").split())) for n in (e.legal_name, e.dba_name))) >= 0.8] + [(901, e.entity_id) for e in entities.collect() if e.country == "DEU" and e.legal_name == "!!!"], "row_id int, entity_id string")
+    assert got == sorted(map(tuple, matching.cascade(rows, entities).collect())) and strict == sorted(map(tuple, matching.cascade(rows, entities, 0.82).collect()))
+    assert len({r[3] for r in got}) > 6 and found < 6 * 120  # of 15,600 pairs
+
+
+def test_ratios_of_arrays_and_addresses_in_python(spark):
+    texts = [(" ".join(a.split()), " ".join(b.split())) for a, b in pairs_of_texts(5, 200)]
+    names = leading_pairs.Names([b for _, b in texts if set(b) <= set(similarity.ALPHABET)])
+    for a in [a for a, _ in texts if a and set(a) <= set(similarity.ALPHABET)]:
+        assert names.ratios(a, range(len(names.names))).tolist() == [2 * similarity.lcs(a, b) / (len(a) + len(b)) for b in names.names]
+    df = spark.createDataFrame(texts, "a string, b string")
+    for a, b, want, x, y in rows_of(df, "a", "b", similarity.address_similarity(F.col("a"), F.col("b")), similarity.plain_address(F.col("a")), similarity.plain_address(F.col("b"))):
+        assert want == pytest.approx(similarity.address_value(x, y), abs=1e-12) or not (a and b)
