@@ -53,48 +53,105 @@ def centred(v: np.ndarray, langs: list[str], topics: Topics) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, sample: int = 20_000, rounds: int = 25, long_word: int = 6, seed: int = 17) -> Topics:
-    """Spherical k-means of hashed word vectors on a sample of about `sample` documents (never over twice as many), drawn by a
-    hash of doc_id and text. Fewer documents with long words than topics give as many topics as there are documents."""
-    n = docs.count()
+#: Sums over documents are sums of whole numbers of this part of 1, so that they don't depend on the order of the rows.
+UNIT = 1 << 24
+
+
+def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: int = 25, long_word: int = 6, seed: int = 17) -> Topics:
+    """Spherical k-means of the hashed word vectors of all documents. The first centre is the document of the least hash of doc_id and
+    text, each next one the document farthest from those so far. Vectors are written once, as two bytes a component; every round
+    reads them and gives sums by centre, of which there are few. Fewer different documents with long words than topics give as many
+    topics as there are documents."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NONE)).alias("lang")
-    key = F.xxhash64(F.lit(seed), "doc_id", "text").alias("key")
-    rows = docs.select(lang, F.col("text").cast("string").alias("text"), key).where("text is not null")
-    if n > sample:
-        rows = rows.where(F.pmod("key", F.lit(1 << 30)) < int((1 << 30) * sample / n)).limit(2 * sample)
+    rows = docs.select(lang, F.col("text").cast("string").alias("text"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("key")).where("text is not null")
 
-    def run(batches):
+    def vectors(batches):
         import pyarrow as pa
 
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
             out = []
             for i, j in mb_slices(offsets):
-                out += [v.astype("<f4").tobytes() if v.any() else None for v in word_vectors(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], buckets, long_word)[1]]
+                out += [v.astype("<f2").tobytes() if v.any() else None for v in word_vectors(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], buckets, long_word)[1]]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), pa.array(out, pa.binary())], ["key", "lang", "v"])
 
-    held = sorted(mapped(rows, run, "key long, lang string, v binary").where("v is not null").distinct().collect())
-    if not held:
+    held = saved(mapped(rows, vectors, "key long, lang string, v binary").where("v is not null"), "vectors")
+
+    def read(batch) -> np.ndarray:
+        return np.frombuffer(b"".join(batch.column("v").to_pylist()), "<f2").astype(np.float64).reshape(-1, buckets)
+
+    def sums(batches):
+        """Count and sum of each language's vectors."""
+        import pyarrow as pa
+
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names, own = np.unique(batch.column("lang").to_pylist(), return_inverse=True)
+            add = np.zeros((len(names), buckets + 1))
+            np.add.at(add, own, np.hstack([np.ones((len(own), 1)), np.rint(read(batch) * UNIT)]))
+            for name, x in zip(names.tolist(), add.astype(np.int64)):
+                total[name] = total.get(name, 0) + x
+        for name, x in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([x.tolist()], pa.list_(pa.int64()))], ["name", "x"])
+
+    def summed(run, kind: str) -> dict:
+        parts = mapped(held, run, f"name {kind}, x array<long>").select("name", F.posexplode("x").alias("i", "x")).groupBy("name", "i").agg(F.sum("x").alias("x"))
+        found = parts.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("x")).select("name", "x.x").collect()
+        return {r["name"]: np.array(r["x"], np.float64) for r in found}
+
+    by_lang = summed(sums, "string")
+    if not by_lang:
         return Topics(np.zeros((0, buckets)), {}, np.zeros(buckets))
-    v = np.array([np.frombuffer(r["v"], "<f4") for r in held], np.float64)
-    langs = [r["lang"] for r in held]
-    topics = Topics(np.zeros((0, buckets)), {x: v[[y == x for y in langs]].mean(axis=0) for x in set(langs)}, v.mean(axis=0))
-    x = centred(v, langs, topics)
-    first = [0]  # each next centre is the document farthest from those so far
-    near = x @ x[0]
-    while len(first) < min(n_topics, len(x)):
-        first.append(int(near.argmin()))
-        near = np.maximum(near, x @ x[first[-1]])
-    centres = x[first]
+    whole = sum(by_lang.values())
+    topics = Topics(np.zeros((0, buckets)), {k: x[1:] / x[0] / UNIT for k, x in by_lang.items()}, whole[1:] / whole[0] / UNIT)
+
+    def farthest(centres: np.ndarray):
+        """The document of a partition that is farthest from all centres (its highest cosine, to six places), of equal ones the least key."""
+        def run(batches):
+            import pyarrow as pa
+
+            best = None
+            for batch in batches:
+                near = (centred(read(batch), batch.column("lang").to_pylist(), topics) @ centres.T).round(6).max(axis=1) if len(centres) else np.zeros(batch.num_rows)
+                keys = batch.column("key").to_numpy()
+                k = np.lexsort((keys, near))[0]
+                if best is None or (near[k], keys[k]) < best[:2]:
+                    best = near[k], keys[k], batch.column("lang")[k].as_py(), batch.column("v")[k].as_py()
+            if best:
+                yield pa.RecordBatch.from_arrays([pa.array([float(best[0])]), pa.array([int(best[1])]), pa.array([best[2]]), pa.array([best[3]], pa.binary())], ["near", "key", "lang", "v"])
+
+        return mapped(held, run, "near double, key long, lang string, v binary").orderBy("near", "key", "lang", "v").first()
+
+    centres = np.zeros((0, buckets))
+    while len(centres) < n_topics:
+        r = farthest(centres)
+        if len(centres) and r["near"] >= 1 - 1e-6:  # all documents are at a centre
+            break
+        centres = np.vstack([centres, centred(np.frombuffer(r["v"], "<f2").astype(np.float64)[None], [r["lang"]], topics)])
+
+    def assigned(centres: np.ndarray):
+        def run(batches):
+            import pyarrow as pa
+
+            total = np.zeros((len(centres), buckets), np.int64)
+            for batch in batches:
+                x = centred(read(batch), batch.column("lang").to_pylist(), topics)
+                own = (x @ centres.T).round(6).argmax(axis=1)
+                total += (np.eye(len(centres))[own].T @ np.rint(x * UNIT)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(centres)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.int64()))], ["name", "x"])
+
+        return run
+
     for _ in range(rounds):
-        own = (x @ centres.T).round(6).argmax(axis=1)
-        total = np.zeros_like(centres)
-        np.add.at(total, own, x)
+        total = summed(assigned(centres), "int")
+        total = np.array([total[k] for k in range(len(centres))]) / UNIT
         size = np.linalg.norm(total, axis=1, keepdims=True)
-        new = np.where(size > 1e-9, total / np.maximum(size, 1e-12), centres)
-        if np.allclose(new, centres, atol=1e-9):
-            break
+        new = np.where(size > 1e-6, total / np.maximum(size, 1e-12), centres)
+        done = np.allclose(new, centres, atol=1e-9)
         centres = new
+        if done:
+            break
+    discard(held)
     topics.centroids = centres
     return topics
 

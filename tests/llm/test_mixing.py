@@ -127,3 +127,15 @@ def test_topics_are_clusters_of_word_use(spark):
         v = centred(word_vectors(*text_bytes(pa.array([rows[i][1]])), 256, 6)[1], ["en"], topics)[0]
         cos = [sum(a * b for a, b in zip(v, c)) for c in topics.centroids]
         assert got[i] == f"t{cos.index(max(cos))}"
+
+
+def test_topics_learn_from_every_document(spark):
+    """More documents than a sample would hold, and one of them with words of its own: it is the farthest, so it is a centre."""
+    common = spark.range(45_000).selectExpr("id AS doc_id", "concat('garden flower meadow people ', if(id % 2 = 0, 'blossom', 'petals')) AS text", "'s' AS source", "'en' AS lang")
+    for odd in (7, 44_999, 50_000):
+        docs = common.where(f"doc_id <> {odd}").unionAll(spark.createDataFrame([(odd, "engine piston clutch gearbox exhaust", "s", "en")], "doc_id long, text string, source string, lang string"))
+        topics = fit_topics(docs, n_topics=3)
+        got = {(r.topic, r.odd): r.n for r in measure(docs, topics).selectExpr("topic", f"doc_id = {odd} AS odd").groupBy("topic", "odd").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
+        assert len(got) == 3 and [n for (_, own), n in got.items() if own] == [1]
+    again = fit_topics(docs.repartition(7), n_topics=3)
+    assert np.array_equal(again.centroids, topics.centroids) and np.array_equal(again.mean, topics.mean)
