@@ -149,6 +149,8 @@ def first_rules(rules, floors: list[float], legal: np.ndarray, dba: np.ndarray,
 
 def choose(row: dict, entities: Entities, known: Choice, rules, floors: list[float], fuzzy: float) -> None:
     """Lets a row meet a batch of entities, those of its postal code first: their rules come early, and then few others count."""
+    if row["code"] not in entities.codes and all("postal" in r.place for r in rules if r.number <= known.best[0]):
+        return
     place = entities.place(row["city"], row["state"], row["code"])
     geo = place["city"] | place["postal"]
     reach = np.full(entities.n, NEVER)  # the first rule that alike names would meet
