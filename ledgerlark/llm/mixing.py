@@ -8,7 +8,7 @@ are fitted on the driver up to a number of cells, else by joins; both ways take
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,13 +28,25 @@ def stalled(errors: list[float]) -> bool:
     return len(errors) > STALL and errors[-1] > 0.8 * errors[-1 - STALL]
 
 
+#: Up to this number of languages their means go with the code of a task, else they are joined to the rows.
+DRIVER_LANGS = 1024
+
+
 @dataclass
 class Topics:
-    """Unit centroids (topic x bucket) of documents' hashed words, after the mean of a document's language is taken off."""
+    """Unit centroids (topic x bucket) of documents' hashed words, after the mean of a document's language is taken off. Means of
+    more than DRIVER_LANGS languages are a written table (__lang, __mean) instead."""
 
     centroids: np.ndarray
     means: dict[str, np.ndarray] = field(default_factory=dict)
     mean: np.ndarray | None = None
+    table: DataFrame | None = None
+
+    def with_means(self, rows: DataFrame) -> DataFrame:
+        """rows, with the column __mean of their language where the means are a table."""
+        if self.table is None:
+            return rows
+        return rows.join(small(self.table), F.coalesce(F.col("lang").cast("string"), F.lit(NONE)) == F.col("__lang"), "left").drop("__lang")
 
 
 def word_vectors(raw: np.ndarray, offsets: np.ndarray, buckets: int, long_word: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,8 +60,14 @@ def word_vectors(raw: np.ndarray, offsets: np.ndarray, buckets: int, long_word:
     return np.diff(ends), v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
-def centred(v: np.ndarray, langs: list[str], topics: Topics) -> np.ndarray:
-    out = v - np.array([topics.means.get(x, topics.mean) for x in langs])
+def centred(v: np.ndarray, langs: list[str], topics: Topics, joined=None) -> np.ndarray:
+    """joined: the Arrow column __mean of the rows, where the means of languages are a table; null for a language without one."""
+    if joined is None:
+        means = np.array([topics.means.get(x, topics.mean) for x in langs])
+    else:
+        means = np.tile(topics.mean, (len(joined), 1))
+        means[joined.is_valid().to_numpy(zero_copy_only=False)] = joined.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(topics.mean))
+    out = v - means
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
@@ -57,11 +75,12 @@ def centred(v: np.ndarray, langs: list[str], topics: Topics) -> np.ndarray:
 UNIT = 1 << 24
 
 
-def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: int = 25, long_word: int = 6, seed: int = 17) -> Topics:
+def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: int = 25, long_word: int = 6, seed: int = 17, driver_langs: int = DRIVER_LANGS) -> Topics:
     """Spherical k-means of the hashed word vectors of all documents. The first centre is the document of the least hash of doc_id and
     text, each next one the document farthest from those so far. Vectors are written once, as two bytes a component; every round
-    reads them and gives sums by centre, of which there are few. Fewer different documents with long words than topics give as many
-    topics as there are documents."""
+    reads them and gives sums by centre, of which there are few. Of more than `driver_langs` languages no mean reaches the driver: they
+    are joined to the vectors once, which then are written centred. Fewer different documents with long words than topics give as
+    many topics as there are documents."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NONE)).alias("lang")
     rows = docs.select(lang, F.col("text").cast("string").alias("text"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("key")).where("text is not null")
 
@@ -85,25 +104,56 @@ def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: i
         import pyarrow as pa
 
         total: dict[str, np.ndarray] = {}
+
+        def send():
+            for name, x in total.items():
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([x.tolist()], pa.list_(pa.int64()))], ["name", "x"])
+            total.clear()
+
         for batch in batches:
             names, own = np.unique(batch.column("lang").to_pylist(), return_inverse=True)
             add = np.zeros((len(names), buckets + 1))
             np.add.at(add, own, np.hstack([np.ones((len(own), 1)), np.rint(read(batch) * UNIT)]))
             for name, x in zip(names.tolist(), add.astype(np.int64)):
                 total[name] = total.get(name, 0) + x
-        for name, x in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([x.tolist()], pa.list_(pa.int64()))], ["name", "x"])
+            if len(total) > 512:
+                yield from send()
+        yield from send()
 
-    def summed(run, kind: str) -> dict:
+    def summed(run, kind: str) -> DataFrame:
         parts = mapped(held, run, f"name {kind}, x array<long>").select("name", F.posexplode("x").alias("i", "x")).groupBy("name", "i").agg(F.sum("x").alias("x"))
-        found = parts.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("x")).select("name", "x.x").collect()
-        return {r["name"]: np.array(r["x"], np.float64) for r in found}
+        return parts.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("x")).select("name", "x.x")
 
-    by_lang = summed(sums, "string")
-    if not by_lang:
+    by_lang = saved(summed(sums, "string"), "languages")
+    n_langs = by_lang.count()
+    if not n_langs:
         return Topics(np.zeros((0, buckets)), {}, np.zeros(buckets))
-    whole = sum(by_lang.values())
-    topics = Topics(np.zeros((0, buckets)), {k: x[1:] / x[0] / UNIT for k, x in by_lang.items()}, whole[1:] / whole[0] / UNIT)
+    whole = np.array([r["x"] for r in by_lang.select(F.posexplode("x").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()], np.float64)
+    topics = Topics(np.zeros((0, buckets)), {}, whole[1:] / whole[0] / UNIT)
+    few = n_langs <= driver_langs
+    if few:
+        topics.means = {r["name"]: np.array(r["x"][1:], np.float64) / r["x"][0] / UNIT for r in by_lang.collect()}
+    else:
+        mean = F.transform(F.slice("x", 2, buckets), lambda x: x.cast("double") / F.col("x")[0].cast("double") / F.lit(float(UNIT)))
+        topics.table = saved(by_lang.select(F.col("name").alias("__lang"), mean.alias("__mean")), "means")
+    model = replace(topics, table=None)  # for the tasks
+
+    def centre(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x = centred(read(batch), [], model, batch.column("__mean"))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), pa.array([v.tobytes() for v in x], pa.binary())], ["key", "lang", "v"])
+
+    def points(batch) -> np.ndarray:
+        if few:
+            return centred(read(batch), batch.column("lang").to_pylist(), model)
+        return np.frombuffer(b"".join(batch.column("v").to_pylist()), np.float64).reshape(-1, buckets)
+
+    if not few:
+        old, held = held, saved(mapped(topics.with_means(held), centre, held.schema), "centred")
+        discard(old)
+    discard(by_lang)
 
     def farthest(centres: np.ndarray):
         """The document of a partition that is farthest from all centres (its highest cosine, to six places), of equal ones the least key."""
@@ -112,11 +162,11 @@ def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: i
 
             best = None
             for batch in batches:
-                near = (centred(read(batch), batch.column("lang").to_pylist(), topics) @ centres.T).round(6).max(axis=1) if len(centres) else np.zeros(batch.num_rows)
-                keys = batch.column("key").to_numpy()
+                x, keys = points(batch), batch.column("key").to_numpy()
+                near = (x @ centres.T).round(6).max(axis=1) if len(centres) else np.zeros(batch.num_rows)
                 k = np.lexsort((keys, near))[0]
                 if best is None or (near[k], keys[k]) < best[:2]:
-                    best = near[k], keys[k], batch.column("lang")[k].as_py(), batch.column("v")[k].as_py()
+                    best = near[k], keys[k], batch.column("lang")[k].as_py(), x[k].tobytes()
             if best:
                 yield pa.RecordBatch.from_arrays([pa.array([float(best[0])]), pa.array([int(best[1])]), pa.array([best[2]]), pa.array([best[3]], pa.binary())], ["near", "key", "lang", "v"])
 
@@ -127,7 +177,7 @@ def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: i
         r = farthest(centres)
         if len(centres) and r["near"] >= 1 - 1e-6:  # all documents are at a centre
             break
-        centres = np.vstack([centres, centred(np.frombuffer(r["v"], "<f2").astype(np.float64)[None], [r["lang"]], topics)])
+        centres = np.vstack([centres, np.frombuffer(r["v"], np.float64)])
 
     def assigned(centres: np.ndarray):
         def run(batches):
@@ -135,7 +185,7 @@ def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: i
 
             total = np.zeros((len(centres), buckets), np.int64)
             for batch in batches:
-                x = centred(read(batch), batch.column("lang").to_pylist(), topics)
+                x = points(batch)
                 own = (x @ centres.T).round(6).argmax(axis=1)
                 total += (np.eye(len(centres))[own].T @ np.rint(x * UNIT)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(centres)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.int64()))], ["name", "x"])
@@ -143,8 +193,7 @@ def fit_topics(docs: DataFrame, n_topics: int = 8, buckets: int = 256, rounds: i
         return run
 
     for _ in range(rounds):
-        total = summed(assigned(centres), "int")
-        total = np.array([total[k] for k in range(len(centres))]) / UNIT
+        total = np.array([r["x"] for r in sorted(summed(assigned(centres), "int").collect(), key=lambda r: r["name"])], np.float64) / UNIT
         size = np.linalg.norm(total, axis=1, keepdims=True)
         new = np.where(size > 1e-6, total / np.maximum(size, 1e-12), centres)
         done = np.allclose(new, centres, atol=1e-9)
@@ -163,7 +212,7 @@ def measure(docs: DataFrame, topics: Topics, long_word: int = 6, text: str = "te
     rows = docs.drop(*added).withColumn(text, F.col(text).cast("string"))
     kept = [f for f in rows.schema.fields if keep_text or f.name != text]
     out = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("topic", T.StringType())])
-    buckets = topics.centroids.shape[1]
+    buckets, model, joined = topics.centroids.shape[1], replace(topics, table=None), topics.table is not None
 
     def run(batches):
         import pyarrow as pa
@@ -171,15 +220,16 @@ def measure(docs: DataFrame, topics: Topics, long_word: int = 6, text: str = "te
         for batch in batches:
             raw, offsets = text_bytes(batch.column(text))
             langs = [NONE if x is None else x for x in batch.column("lang").cast(pa.string()).to_pylist()]
+            means = batch.column("__mean") if joined else None
             n, names = [np.zeros(0, np.int64)], []
             for i, j in mb_slices(offsets):
                 k, v = word_vectors(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], buckets, long_word)
                 n.append(k)
-                best = (centred(v, langs[i:j], topics) @ topics.centroids.T).round(6).argmax(axis=1) if len(topics.centroids) else np.zeros(j - i, int)
-                names += [f"t{b}" if has and len(topics.centroids) else NONE for b, has in zip(best, v.any(axis=1))]
+                best = (centred(v, langs[i:j], model, means.slice(i, j - i) if joined else None) @ model.centroids.T).round(6).argmax(axis=1) if len(model.centroids) else np.zeros(j - i, int)
+                names += [f"t{b}" if has and len(model.centroids) else NONE for b, has in zip(best, v.any(axis=1))]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(np.concatenate(n)), pa.array(names, pa.string())], [*(f.name for f in kept), *added])
 
-    return mapped(rows, run, out)
+    return mapped(topics.with_means(rows), run, out)
 
 
 def reachable(present: np.ndarray, power: float, budget: float, reach: float) -> np.ndarray:

@@ -3,6 +3,8 @@ import math
 import numpy as np
 import pytest
 
+from ledgerlark.llm import mixing
+from ledgerlark.llm.common import small
 from ledgerlark.llm.mixing import CLOSE, DIMS, NONE, fit_mix, fit_topics, measure, mix, op9_mixing, plan, rake, reachable
 
 
@@ -139,3 +141,21 @@ def test_topics_learn_from_every_document(spark):
         assert len(got) == 3 and [n for (_, own), n in got.items() if own] == [1]
     again = fit_topics(docs.repartition(7), n_topics=3)
     assert np.array_equal(again.centroids, topics.centroids) and np.array_equal(again.mean, topics.mean)
+
+
+def test_means_of_many_languages_are_joined(spark, monkeypatch):
+    """As many languages as documents, nulls among them: the same topics as with means on the driver, which gets none of them here."""
+    rows = [(i, f"garden{i % 5} flower{i % 7} meadow{i % 3} people", "s", None if i % 50 == 0 else f"l{i % 1500}") for i in range(3000)] + [(3000, "a of", "s", "never"), (3001, None, "s", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(3)
+    few, many = fit_topics(docs, driver_langs=2000), fit_topics(docs)
+    assert few.table is None and len(few.means) == 1471 and not many.means and many.table.count() == 1471
+    assert np.array_equal(few.centroids, many.centroids) and np.array_equal(few.mean, many.mean)
+    want = {r.doc_id: r.topic for r in measure(docs, few).collect()}
+    for most in (1 << 26, 0):  # broadcast, shuffled
+        monkeypatch.setattr(mixing, "small", lambda df, most=most: small(df, most))
+        out = measure(docs, many)
+        assert out.columns == ["doc_id", "source", "lang", "n_tokens", "topic"] and {r.doc_id: r.topic for r in out.collect()} == want and len(want) == 3002
+    other = docs.selectExpr("doc_id", "text", "source", "concat(lang, 'x') AS lang")  # languages without a mean get that of all
+    got = [sorted(map(tuple, measure(other, t).select("doc_id", "topic").collect())) for t in (few, many)]
+    assert got[0] == got[1]
+    assert mix(docs).count() == 3002

@@ -85,3 +85,13 @@ def test_each_row_of_an_id_has_its_own_fate(spark):
             ([(4, a), (4, b), (3, b), (5, a), (5, c)], [(3, b), (4, a), (5, c)]), ([(None, a), (4, a), (None, b), (None, b)], [(4, a), (None, b)]), ([(7, ""), (7, None), (7, "")], [(7, ""), (7, None), (7, "")])):
         kept = p.join_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
         assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_mixing_stage_learns_topics_from_every_document(spark):
+    """One document with words of its own, among more than a sample would hold and by its hash in the last half: it is a topic, so
+    it is drawn with the probability of a rare topic, .9, and not with its neighbours' of about .8."""
+    text, between = "engine piston clutch gearbox exhaust", "pmod(xxhash64(5, id), 4503599627370496L) / 4503599627370496 between 0.82 and 0.89"
+    odd = spark.range(45_000).where(f"{between} and pmod(xxhash64(17, id, '{text}'), 1024) > 512").agg({"id": "min"}).first()[0]
+    docs = spark.range(45_000).selectExpr("id AS doc_id", f"if(id = {odd}, '{text}', concat('garden flower meadow people during ', if(id % 2 = 0, 'blossom', 'petals'))) AS text", "'en' AS lang", "'s' AS source")
+    kept = {r.doc_id for r in p.mix_sources(spark, docs, "").select("doc_id").collect()}
+    assert kept & {r.id for r in spark.range(45_000).where(between).collect()} == {odd}
