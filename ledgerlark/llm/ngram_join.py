@@ -204,8 +204,8 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: int, long: bool) -> DataFrame:
-    """Short lists of every document as packed rows: (bucket, tokens, doc ids, sizes); long: those of frequent tokens, else of
-    all others. Rows of a task with equal sets count once; null ids have no lists."""
+    """Short lists of every document. long: those of frequent tokens, as rows (token, doc, n); else of all others, as packed rows
+    (bucket, tokens, doc ids, sizes). Rows of a task with equal sets count once; null ids have no lists."""
 
     def run(batches):
         import pyarrow as pa
@@ -216,12 +216,16 @@ def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: i
 
         def flush():
             token, doc, n = (np.concatenate(x) for x in zip(*held))
+            if long:
+                for k in range(0, len(token), 100_000):
+                    yield pa.RecordBatch.from_pydict({"token": token[k : k + 100_000].view(np.int64), "doc": doc[k : k + 100_000], "n": n[k : k + 100_000]})
+                return
             bucket = (token >> np.uint64(32)).astype(np.int64) % buckets
             order = np.lexsort((token, bucket))
             bucket = bucket[order]
             cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
             pack = lambda x, kind: [x[order[a:b]].astype(kind).tobytes() for a, b in zip(cut[:-1], cut[1:])]
-            return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[cut[:-1]], pa.int32()), "token": pa.array(pack(token, "<u8"), pa.binary()), "doc": pa.array(pack(doc, "<i8"), pa.binary()), "n": pa.array(pack(n, "<u4"), pa.binary())})
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[cut[:-1]], pa.int32()), "token": pa.array(pack(token, "<u8"), pa.binary()), "doc": pa.array(pack(doc, "<i8"), pa.binary()), "n": pa.array(pack(n, "<u4"), pa.binary())})
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -246,12 +250,12 @@ def scan_postings(docs: DataFrame, size: int, percent: int, frequent, buckets: i
                         held.append((first, np.full(len(first), ids[i + d], np.int64), np.full(len(first), b - a, np.int64)))
                         held_n += len(first)
                 if held_n > BLOCK:
-                    yield flush()
+                    yield from flush()
                     held, held_n = [], 0
         if held:
-            yield flush()
+            yield from flush()
 
-    return mapped(docs.select("doc_id", "text"), run, "bucket int, token binary, doc binary, n binary")
+    return mapped(docs.select("doc_id", "text"), run, "token long, doc long, n long" if long else "bucket int, token binary, doc binary, n binary")
 
 
 LISTS = "token long, doc long, n long, length long"
@@ -282,16 +286,9 @@ def rare_lists(postings: DataFrame, buckets: int) -> DataFrame:
 
 
 def long_lists(postings: DataFrame) -> DataFrame:
-    """Entries of the frequent tokens' lists of two documents or more; their lengths are a bounded table that is broadcast."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            for r in b.to_pylist():
-                yield pa.RecordBatch.from_pydict({"token": np.frombuffer(r["token"], "<u8").view(np.int64), "doc": np.frombuffer(r["doc"], "<i8"), "n": np.frombuffer(r["n"], "<u4").astype(np.int64)})
-
-    rows = saved(mapped(postings, run, "token long, doc long, n long"), "long")
+    """Entries of the frequent tokens' lists of two documents or more; their lengths are a bounded table that is broadcast. The
+    postings come as rows: a second step in Python would keep two workers a core alive, in all later stages too."""
+    rows = saved(postings, "long")
     lengths = rows.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     return rows.join(F.broadcast(lengths), "token").select("token", "doc", "n", "length")
 

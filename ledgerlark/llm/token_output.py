@@ -10,8 +10,10 @@ Segments are rows of a Parquet dataset written by Spark's committer: lost execut
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,6 +25,20 @@ MAGIC = b"RPK2"
 SEGMENT_SCHEMA = "part int, seq int, n_docs long, n_ids long, blob binary"
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str, changed: int, size: int):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def loaded(path: str):
+    """The tokenizer at `path`, one in a process for all of its tasks: each one that has encoded leaves some MB behind that no
+    trim gives back, so one a task would let a worker grow with the number of its tasks."""
+    at = os.stat(path)
+    return _loaded(path, at.st_mtime_ns, at.st_size)
+
+
 class Encoder:
     """Whole-text encoding with the tokenizers library, a vocabulary entry at a time.
 
@@ -36,12 +52,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, keep: int = 1 << 19, chunk: int = 1 << 18):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would take those of others
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.keep, self.chunk = Tokenizer.from_file(path), keep, chunk
+        self.tokenizer, self.keep, self.chunk = loaded(path), keep, chunk
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.table = np.ones(256, bool)
         self.table[0x20] = False
@@ -463,7 +475,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer_path)  # not kept between tasks: its 80 MB would count in every later stage of the worker
+        encoder = Encoder(tokenizer_path)  # its piece table is not kept between tasks: it would count in every later stage of the worker
         first_rule = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         own, seq, ids, counts, keys, held = TaskContext.get().partitionId(), 0, [], [], [], 0
 

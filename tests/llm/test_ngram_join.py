@@ -5,7 +5,9 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerlark.llm.ngram_join import divide_skip, join, need, op3_ngram_join, pairs_of_long_lists, pairs_of_short_lists, sketches
+from ledgerlark.llm import ngram_join
+from ledgerlark.llm.ngram_join import (
+    Frequent, divide_skip, join, long_lists, need, op3_ngram_join, pairs_of_long_lists, pairs_of_short_lists, scan_postings, shingle_sets, sketches)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -124,3 +126,21 @@ def test_odd_rows(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in join(docs).collect()), key=str)
     assert got == sorted([(None, 2, 2), (3, 2, 2), (2, 2, 2), (2, 2, 2), (None, 1, None), (9, 1, 9), (None, 0, None)], key=str)
     assert join(docs.limit(0)).count() == 0
+
+
+def test_long_lists_take_one_step_in_python(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g"), (3, "a b c d e f"), (None, "a b c d"), (4, "x"), (5, None)], "doc_id long, text string").coalesce(1)
+    raw = np.frombuffer(b"a b c d e f", np.uint8)
+    tokens, _ = shingle_sets(raw, np.array([0, len(raw)]), 4)  # a..d, b..e, c..f: the first two are in documents 1 and 2
+    frequent = spark.sparkContext.broadcast(Frequent(tokens, np.arange(1, 4)))
+    plans, write = [], ngram_join.saved
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(ngram_join, "saved", watched)
+    rows = long_lists(scan_postings(docs, 4, 1, frequent, 8, True)).collect()
+    assert sorted((r["doc"], r["n"], r["length"]) for r in rows) == [(1, 3, 2), (1, 3, 2), (2, 3, 2), (2, 3, 2)]
+    assert {r["token"] for r in rows} <= set(tokens.view(np.int64).tolist())
+    assert [p.count("MapInArrow") for p in plans] == [1]

@@ -1,12 +1,15 @@
+import ctypes
+import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 from ledgerlark.llm.common import work_path
 from ledgerlark.llm.token_output import (
-    PAYS, SEGMENT_SCHEMA, Encoder, Segment, default_tokenizer, op6_token_output, pack, pack_lengths, repair, token_output, unpack_lengths, write_tokens)
+    PAYS, SEGMENT_SCHEMA, Encoder, Segment, default_tokenizer, loaded, op6_token_output, pack, pack_lengths, repair, token_output, unpack_lengths, write_tokens)
 
 ODD = ["don't we'll I'D ''s a's'x", 'x1y2 3z*** aODD = [ODD = [ODD = [\n\nThe end.\nNext', 'A\n\nB', 'q.\n Z', None, "", " ", "  ", "a  b", "x \n y", "x\n\n b", "a \nb", "end ", " lead", "<|endoftext|> x <|endoftext|>", "ünï 中文 😀's it's", "a  b", "\t\tq   r", "w " * 5000, "same text here"]
 
@@ -129,3 +132,32 @@ def test_letters_of_the_direct_way():
     for code in [*range(0x21, 0x2FF), 0x4E2D, 0x1F600]:
         raw = np.frombuffer(chr(code).encode(), np.uint8)
         assert e.latin(raw).all() == (chr(code).isalpha() and code < 0x250), hex(code)
+
+
+def test_a_worker_does_not_grow_with_its_tasks():
+    def held():
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+        return sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+    rng = np.random.default_rng(0)
+
+    def task():
+        e = Encoder(default_tokenizer(), keep=1 << 16)
+        texts = [" ".join("".join(map(chr, rng.integers(97, 123, k))) for k in rng.integers(2, 12, 2000)) for _ in range(10)]
+        assert sum(len(ids) for _, ids, _ in e.batch(pa.array(texts))) > 0
+
+    for _ in range(2):
+        task()
+    before = held()
+    for _ in range(10):
+        task()
+    assert held() - before < 15
+
+
+def test_a_tokenizer_written_anew_is_read_anew(tmp_path):
+    path = tmp_path / "t.json"
+    for words in (["a", "b"], ["a", "b", "c"]):
+        Tokenizer(models.WordLevel({w: i for i, w in enumerate(words)}, unk_token="a")).save(str(path))
+        assert loaded(str(path)).get_vocab_size() == len(words)
+    assert loaded(str(path)) is loaded(str(path))
